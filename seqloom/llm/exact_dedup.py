@@ -205,6 +205,8 @@ def keep_first(docs: DataFrame) -> DataFrame:
 
     Rows that repeat a doc_id and its text are one document: one of them stays.
     """
-    ids = exact_dedup(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    whole = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    return whole.dropDuplicates(["doc_id"])
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    ids = exact_dedup(docs).where("kept").select(name.alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
+    squeezed = F.translate(F.coalesce("text", F.lit("")), SPACE.decode(), "")
+    whole = docs.withColumns({"_id": name, "_sha": F.sha2(squeezed, 256)}).join(ids, ["_id", "_sha"], "left_semi")
+    return whole.dropDuplicates(["_id", "_sha"]).select(*docs.columns)
