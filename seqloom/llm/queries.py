@@ -55,15 +55,16 @@ ORACLES: dict[str, str] = {
         WITH r AS (SELECT doc_id, source, coalesce('s' || source, '') AS key,
                           len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
                           ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS hash FROM documents),
-        s AS (SELECT source, key, sum(size)::BIGINT AS source_size,
-                     [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS weight FROM r GROUP BY ALL),
+        g AS (SELECT source, key, sum(size)::BIGINT AS source_size FROM r GROUP BY source, key),
+        s AS (SELECT *, [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS weight FROM g),
         l AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - 2 * coalesce(sum(source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
                      / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
               FROM s WINDOW o AS (ORDER BY source_size / weight, source NULLS LAST)),
         t AS (SELECT key, source_size, coalesce(least(2 * source_size::DOUBLE, weight *
                      (SELECT arg_min(level, source_size / weight) FROM l WHERE level * weight < 2 * source_size)), 2 * source_size::DOUBLE) AS target FROM l),
         a AS (SELECT *, CASE WHEN target > source_size THEN target - source_size ELSE target END AS budget FROM t),
-        h AS (SELECT key, hash, sum(size) AS n, sum(sum(size)) OVER (PARTITION BY key ORDER BY hash) - sum(size) AS below FROM r GROUP BY key, hash),
+        b AS (SELECT key, hash, sum(size) AS n FROM r GROUP BY key, hash),
+        h AS (SELECT *, sum(n) OVER (PARTITION BY key ORDER BY hash) - n AS below FROM b),
         e AS (SELECT key, max(hash) AS hash, max(below) AS below, arg_max(n, hash) AS n FROM h JOIN a USING (key) WHERE below <= budget GROUP BY key),
         c AS (SELECT a.*, CASE WHEN below + n - budget <= budget - below THEN hash + 1 ELSE hash END AS lim FROM a JOIN e USING (key))
         SELECT doc_id, size, source_size, target,
