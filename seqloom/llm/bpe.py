@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
 A pre-token of n bytes is a doubly linked list of parts. Each mergeable pair of neighbours waits in the bucket of its
-merge rank, a list of positions. A bitmap of three levels over the ranks (64 buckets a word, 64 words a word, ...) says
-which buckets are in use; the next rank is found by find-first-set from the top, so taking the lowest rank costs three
+merge rank, a list of positions. A bitmap of two levels over the ranks (256 buckets a word, and one word over the words) says
+which buckets are in use; the next rank is found by find-first-set from the top, so taking the lowest rank costs two
 steps however many pairs wait. Entries are not removed when a neighbour is merged: they are checked when taken and
 skipped if stale. A bucket's positions are taken from the left, as the lowest rank's leftmost pair merges first.
 
@@ -27,8 +27,15 @@ from pyspark.sql import functions as F
 
 from seqloom.llm.common import scan_conf
 
-#: Entries that a task's look-up tables hold before they are emptied.
+#: Entries of a task's young look-up table; when it is full it becomes the old one, and what is met there comes back.
 HELD = 400_000
+#: Bits of a rank within a word of the bitmap: 256 buckets a word, one word over the words.
+WORD, MASK = 8, 255
+BIT = [1 << i for i in range(256)]
+#: Fixed pattern of the byte-level vocabularies; texts are cut into spans under this one alone.
+STANDARD = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: One of these after letters, at the end of a span, is a pre-token of its own.
+STOPS = frozenset(".,;:!?")
 
 
 @functools.cache
@@ -38,79 +45,67 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
-class RankQueue:
-    """Positions by rank; ``pop`` gives the lowest rank and its leftmost position."""
-
-    WIDTH = 6
-
-    def __init__(self):
-        self.buckets: dict[int, list[int]] = {}
-        self.words: list[dict[int, int]] = [{}, {}]
-        self.top = 0
-
-    def push(self, rank: int, at: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket:
-            heapq.heappush(bucket, at)
-            return
-        self.buckets[rank] = [at]
-        low, middle = self.words
-        a, b = rank >> 6, rank >> 12
-        low[a] = low.get(a, 0) | 1 << (rank & 63)
-        middle[b] = middle.get(b, 0) | 1 << (a & 63)
-        self.top |= 1 << b
-
-    def pop(self) -> tuple[int, int] | None:
-        if not self.top:
-            return None
-        low, middle = self.words
-        b = (self.top & -self.top).bit_length() - 1
-        word = middle[b]
-        a = b << 6 | (word & -word).bit_length() - 1
-        bits = low[a]
-        rank = a << 6 | (bits & -bits).bit_length() - 1
-        bucket = self.buckets[rank]
-        at = heapq.heappop(bucket)
-        if not bucket:
-            low[a] = bits = bits & (bits - 1)
-            if not bits:
-                middle[b] = word = word & (word - 1)
-                if not word:
-                    self.top &= self.top - 1
-        return rank, at
-
-
 def merge(data: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The ids of one pre-token."""
-    n = len(data)
+    """The ids of one pre-token. The queue is written out here: calls would cost more than its steps."""
     if (whole := ranks.get(data)) is not None:
         return [whole]
-    get = ranks.get
+    get, n = ranks.get, len(data)
     after, before, end = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
-    pair = [get(data[i : i + 2], -1) for i in range(n - 1)] + [-1]
-    queue = RankQueue()
+    pair = [get(data[i : i + 2]) for i in range(n - 1)]
+    pair.append(None)
+    buckets: dict[int, list[int]] = {}
+    words: dict[int, int] = {}
+    top = 0
     for i, r in enumerate(pair):
-        if r >= 0:
-            queue.push(r, i)
-    while (taken := queue.pop()) is not None:
-        rank, i = taken
+        if r is not None:
+            if r in buckets:
+                buckets[r].append(i)  # positions ascend, so the list is a heap
+            else:
+                buckets[r] = [i]
+                a = r >> WORD
+                words[a] = words.get(a, 0) | BIT[r & MASK]
+                top |= 1 << a
+    while top:
+        a = (top & -top).bit_length() - 1
+        bits = words[a]
+        one = bits & -bits
+        rank = a << WORD | one.bit_length() - 1
+        bucket = buckets[rank]
+        if len(bucket) > 1:
+            i = heapq.heappop(bucket)
+        else:
+            i = bucket[0]
+            del buckets[rank]
+            words[a] = bits = bits ^ one
+            if not bits:
+                top &= top - 1
         if pair[i] != rank:
             continue  # stale: a neighbour was merged since
         j = after[i]
         k = end[i] = end[j]
-        pair[j] = -1
+        pair[j] = None
         after[i] = nxt = after[j]
+        p = before[i]
+        new = []
         if nxt < n:
             before[nxt] = i
-            pair[i] = r = get(data[i : end[nxt]], -1)
-            if r >= 0:
-                queue.push(r, i)
+            pair[i] = r = get(data[i : end[nxt]])
+            if r is not None:
+                new.append((r, i))
         else:
-            pair[i] = -1
-        if (p := before[i]) >= 0:
-            pair[p] = r = get(data[p:k], -1)
-            if r >= 0:
-                queue.push(r, p)
+            pair[i] = None
+        if p >= 0:
+            pair[p] = r = get(data[p:k])
+            if r is not None:
+                new.append((r, p))
+        for r, at in new:
+            if r in buckets:
+                heapq.heappush(buckets[r], at)
+            else:
+                buckets[r] = [at]
+                a = r >> WORD
+                words[a] = words.get(a, 0) | BIT[r & MASK]
+                top |= 1 << a
     out, i = [], 0
     while i < n:
         out.append(ranks[data[i : end[i]]])
@@ -134,33 +129,41 @@ class Encoder:
     """Encodes texts as the vocabulary's own library does for ordinary text."""
 
     def __init__(self, path: str, pattern: str):
-        self.ranks, self.find = read_ranks(path), regex.compile(pattern).findall
+        self.ranks, self.find, self.cut = read_ranks(path), regex.compile(pattern).findall, pattern == STANDARD
         self.tokens = {v: k for k, v in self.ranks.items()}
-        self.spans: dict[str, list[int]] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.young: dict[str, list[int]] = {}
+        self.old: dict[str, list[int]] = {}
 
     def piece(self, s: str) -> list[int]:
-        ids = self.pieces.get(s)
-        if ids is None:
-            ids = merge(s.encode(), self.ranks)
-            if len(s) < 40:
-                if len(self.pieces) >= HELD:
-                    self.pieces.clear()
-                self.pieces[s] = ids
-        return ids
+        """The ids of one pre-token."""
+        ids = self.young.get(s)
+        return self.keep(s, self.old.get(s) or merge(s.encode(), self.ranks)) if ids is None else ids
 
-    def span(self, s: str) -> list[int]:
-        ids = [i for p in self.find(s) for i in self.piece(p)]
+    def keep(self, s: str, ids: list[int]) -> list[int]:
         if len(s) < 40:
-            if len(self.spans) >= HELD:
-                self.spans.clear()
-            self.spans[s] = ids
+            if len(self.young) >= HELD:
+                self.young, self.old = {}, self.young
+            self.young[s] = ids
         return ids
 
+    def span(self, s: str) -> list[int]:
+        """The ids of a span that is not in the young table."""
+        if (ids := self.old.get(s)) is None:
+            word = s[1:] if s[:1] == " " else s
+            if word.isalpha():
+                ids = merge(s.encode(), self.ranks)
+            elif word[-1:] in STOPS and word[:-1].isalpha():
+                ids = self.piece(s[:-1]) + self.piece(word[-1])
+            else:
+                ids = [i for p in self.find(s) for i in self.piece(p)]
+        return self.keep(s, ids)
+
     def encode(self, text: str) -> list[int]:
-        out, get = [], self.spans.get
+        if not self.cut:
+            return [i for p in self.find(text) for i in self.piece(p)]
+        out: list[int] = []
         for s in spans(text):
-            ids = get(s)
+            ids = self.young.get(s)
             out += self.span(s) if ids is None else ids
         return out
 

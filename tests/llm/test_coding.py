@@ -35,19 +35,14 @@ def test_bpe_is_tiktoken(spark):
     assert sorted((str(r[0]), *r[1:]) for r in got) == want
 
 
-def test_rank_queue_order():
-    rng, queue, held = random.Random(5), bpe.RankQueue(), []
-    for _ in range(5000):
-        if rng.random() < 0.6 or not held:
-            x = (rng.choice([rng.randrange(50), rng.randrange(60_000)]), rng.randrange(1000))
-            held.append(x)
-            queue.push(*x)
-        else:
-            low = min(held)
-            held.remove(low)
-            assert queue.pop() == low
-    assert [queue.pop() for _ in range(len(held))] == sorted(held)
-    assert queue.pop() is None
+def test_long_pre_tokens():
+    ranks = bpe.read_ranks(TIKTOKEN_FILE)
+    ours = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(5)
+    for n in (1, 2, 3, 10, 1000, 200_000):
+        word = "".join(rng.choice("abcdeilnorst") for _ in range(n))
+        assert bpe.merge(word.encode(), ranks) == ours.encode_ordinary(word)
+    assert bpe.merge(b"a" * 100_001, ranks) == ours.encode_ordinary("a" * 100_001)
 
 
 @pytest.mark.parametrize("extra", [False, True])
