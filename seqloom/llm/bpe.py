@@ -45,67 +45,81 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+@functools.cache
+def _two_bytes(key: int) -> tuple[list[int | None], int]:
+    """The rank of each pair of bytes, of the vocabulary that ``merge`` was given, and the words of its bitmap."""
+    ranks = _known[key]
+    return [ranks.get(bytes((i >> 8, i & 255))) for i in range(1 << 16)], (max(ranks.values()) >> WORD) + 1
+
+
+_known: dict[int, dict[bytes, int]] = {}
+
+
 def merge(data: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The ids of one pre-token. The queue is written out here: calls would cost more than its steps."""
     if (whole := ranks.get(data)) is not None:
         return [whole]
+    _known[id(ranks)] = ranks
+    two, size = _two_bytes(id(ranks))
     get, n = ranks.get, len(data)
     after, before, end = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
-    pair = [get(data[i : i + 2]) for i in range(n - 1)]
+    pair = [two[a << 8 | b] for a, b in zip(data, data[1:], strict=False)]
     pair.append(None)
-    buckets: dict[int, list[int]] = {}
-    words: dict[int, int] = {}
+    buckets: dict[int, int | list[int]] = {}  # a position, or a heap of several
+    words = [0] * size
     top = 0
-    for i, r in enumerate(pair):
+    for at, r in enumerate(pair):
         if r is not None:
             if r in buckets:
-                buckets[r].append(i)  # positions ascend, so the list is a heap
+                if type(held := buckets[r]) is int:
+                    buckets[r] = [held, at]
+                else:
+                    held.append(at)  # positions ascend, so the list is a heap
             else:
-                buckets[r] = [i]
-                a = r >> WORD
-                words[a] = words.get(a, 0) | BIT[r & MASK]
-                top |= 1 << a
+                buckets[r] = at
+                words[r >> WORD] |= BIT[r & MASK]
+                top |= 1 << (r >> WORD)
     while top:
         a = (top & -top).bit_length() - 1
         bits = words[a]
         one = bits & -bits
         rank = a << WORD | one.bit_length() - 1
-        bucket = buckets[rank]
-        if len(bucket) > 1:
-            i = heapq.heappop(bucket)
-        else:
-            i = bucket[0]
+        i = buckets[rank]
+        if type(i) is int or len(i) == 1:
             del buckets[rank]
             words[a] = bits = bits ^ one
             if not bits:
                 top &= top - 1
+            if type(i) is not int:
+                i = i[0]
+        else:
+            i = heapq.heappop(i)
         if pair[i] != rank:
             continue  # stale: a neighbour was merged since
         j = after[i]
         k = end[i] = end[j]
         pair[j] = None
         after[i] = nxt = after[j]
-        p = before[i]
-        new = []
         if nxt < n:
             before[nxt] = i
-            pair[i] = r = get(data[i : end[nxt]])
-            if r is not None:
-                new.append((r, i))
+            r = pair[i] = get(data[i : end[nxt]])
         else:
-            pair[i] = None
-        if p >= 0:
-            pair[p] = r = get(data[p:k])
+            r = pair[i] = None
+        at = i
+        while True:  # the new pair on the right, then the one on the left
             if r is not None:
-                new.append((r, p))
-        for r, at in new:
-            if r in buckets:
-                heapq.heappush(buckets[r], at)
-            else:
-                buckets[r] = [at]
-                a = r >> WORD
-                words[a] = words.get(a, 0) | BIT[r & MASK]
-                top |= 1 << a
+                if r in buckets:
+                    if type(held := buckets[r]) is int:
+                        buckets[r] = [held, at] if held < at else [at, held]
+                    else:
+                        heapq.heappush(held, at)
+                else:
+                    buckets[r] = at
+                    words[r >> WORD] |= BIT[r & MASK]
+                    top |= 1 << (r >> WORD)
+            if at != i or (at := before[i]) < 0:
+                break
+            r = pair[at] = get(data[at:k])
     out, i = [], 0
     while i < n:
         out.append(ranks[data[i : end[i]]])
