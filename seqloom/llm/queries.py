@@ -8,13 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.llm import bpe, exact_dedup, mixing, secrets, token_files, toxicity
+from seqloom.llm import bpe, exact_dedup, lattice, mixing, secrets, token_files, toxicity
 from seqloom.llm.common import documents
 
 TIKTOKEN_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+PIECE_FILE = public_tokenizers.path("piece_bpe_32k.model")
 TOKENIZERS_FILE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score(documents(spark, sf_dir), PIECE_FILE)
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), TIKTOKEN_FILE, public_tokenizers.PATTERN)
 
@@ -47,6 +52,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lattice": op1_lattice,
     "op2_bpe": op2_bpe,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
