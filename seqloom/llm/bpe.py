@@ -19,6 +19,8 @@ import base64
 import functools
 import hashlib
 import heapq
+import re
+from itertools import chain
 
 import pyarrow as pa
 import regex
@@ -36,6 +38,9 @@ BIT = [1 << i for i in range(256)]
 STANDARD = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: One of these after letters, at the end of a span, is a pre-token of its own.
 STOPS = frozenset(".,;:!?")
+#: White space next to white space or at the end.
+WIDE = re.compile(r"\s(?:\s|\Z)")
+LONG = 40
 
 
 @functools.cache
@@ -128,7 +133,10 @@ def merge(data: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 def spans(text: str) -> list[str]:
-    """The text in spans that begin with a space before a non-space (but the first): no pre-token crosses them."""
+    """The text in spans that no pre-token of STANDARD crosses: cut before a space that precedes a non-space and,
+    where white space stands alone everywhere, around newlines too."""
+    if "\0" not in text and not WIDE.search(text):
+        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
     parts = text.split(" ")
     out = [parts[0]]
     for p in parts[1:]:
@@ -139,47 +147,75 @@ def spans(text: str) -> list[str]:
     return out
 
 
+def letters(s: str) -> bool:
+    """Whether a span is one pre-token of letters."""
+    return s.isalpha() or s[:1] == " " and s[1:].isalpha()
+
+
+class Known:
+    """Two generations of looked-up spans: a full young table becomes the old one, from which what is met again comes
+    back. Spans of LONG characters and more are let go when ``forget`` is called."""
+
+    def __init__(self, held: int = HELD):
+        self.young, self.old, self.held, self.long = {}, {}, held, []
+
+    def table(self, wanted: set[str], fresh) -> dict:
+        """A table with all wanted spans. ``fresh`` adds what neither generation has, given the list and the table."""
+        young = self.young
+        new = wanted.difference(young)
+        if new:
+            if len(young) + len(new) > self.held:
+                self.old, young, new = young, {}, wanted
+                self.young = young
+            old, missing = self.old, []
+            for s in new:
+                if (v := old.get(s)) is None:
+                    missing.append(s)
+                else:
+                    young[s] = v
+            fresh(missing, young)
+            self.long += [s for s in missing if len(s) >= LONG]
+        return young
+
+    def forget(self) -> None:
+        for s in self.long:
+            self.young.pop(s, None)
+        self.long.clear()
+
+
 class Encoder:
     """Encodes texts as the vocabulary's own library does for ordinary text."""
 
     def __init__(self, path: str, pattern: str):
-        self.ranks, self.find, self.cut = read_ranks(path), regex.compile(pattern).findall, pattern == STANDARD
+        self.ranks, self.find = read_ranks(path), regex.compile(pattern).findall
+        self.cut = spans if pattern == STANDARD else self.find
         self.tokens = {v: k for k, v in self.ranks.items()}
-        self.young: dict[str, list[int]] = {}
-        self.old: dict[str, list[int]] = {}
-
-    def piece(self, s: str) -> list[int]:
-        """The ids of one pre-token."""
-        ids = self.young.get(s)
-        return self.keep(s, self.old.get(s) or merge(s.encode(), self.ranks)) if ids is None else ids
-
-    def keep(self, s: str, ids: list[int]) -> list[int]:
-        if len(s) < 40:
-            if len(self.young) >= HELD:
-                self.young, self.old = {}, self.young
-            self.young[s] = ids
-        return ids
-
-    def span(self, s: str) -> list[int]:
-        """The ids of a span that is not in the young table."""
-        if (ids := self.old.get(s)) is None:
-            word = s[1:] if s[:1] == " " else s
-            if word.isalpha():
-                ids = merge(s.encode(), self.ranks)
-            elif word[-1:] in STOPS and word[:-1].isalpha():
-                ids = self.piece(s[:-1]) + self.piece(word[-1])
+        self.known = Known()
+
+    def fresh(self, new: list[str], table: dict[str, tuple[int, ...]]) -> None:
+        ranks = self.ranks
+
+        def piece(p):
+            if (ids := table.get(p)) is None:
+                ids = tuple(merge(p.encode(), ranks))
+                if len(p) < LONG:
+                    table[p] = ids
+            return ids
+
+        for s in new:
+            if self.cut is not spans or letters(s):
+                table[s] = piece(s)
+            elif s[-1:] in STOPS and letters(s[:-1]):
+                table[s] = piece(s[:-1]) + piece(s[-1])
             else:
-                ids = [i for p in self.find(s) for i in self.piece(p)]
-        return self.keep(s, ids)
+                table[s] = tuple(i for p in self.find(s) for i in piece(p))
 
     def encode(self, text: str) -> list[int]:
-        if not self.cut:
-            return [i for p in self.find(text) for i in self.piece(p)]
-        out: list[int] = []
-        for s in spans(text):
-            ids = self.young.get(s)
-            out += self.span(s) if ids is None else ids
-        return out
+        cut = self.cut(text)
+        table = self.known.table(set(cut), self.fresh)
+        ids = list(chain.from_iterable(map(table.__getitem__, cut)))
+        self.known.forget()
+        return ids
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
