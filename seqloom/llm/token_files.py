@@ -21,10 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.llm import files
-from seqloom.llm.bpe import HELD, spans
+from seqloom.llm.bpe import STOPS, Known, letters, spans
 from seqloom.llm.common import scan_conf, shared_dir, staged
 
 
+#: Words that are encoded as one text.
+WORDS = 200
+
+
 class Speller:
     """Encodes texts with the tokenizers library; spans met before are looked up."""
 
@@ -34,21 +38,34 @@ class Speller:
         self.coder = Tokenizer.from_file(path)
         self.coder.encode_special_tokens = True
         self.width = "<u2" if self.coder.get_vocab_size() <= 1 << 16 else "<u4"
-        self.held: dict[str, bytes] = {}
+        self.known = Known()
+
+    def fresh(self, new: list[str], table: dict[str, bytes]) -> None:
+        words = {s for s in new if s[:1] == " " and letters(s)}
+        stopped = [s for s in new if s[-1:] in STOPS and s[:1] == " " and letters(s[:-1])]
+        need = list(words.union(s[:-1] for s in stopped).difference(table))
+        # words that begin with a space are a pre-token each, so many go in one text and come apart by word number
+        for i in range(0, len(need), WORDS):
+            part = need[i : i + WORDS]
+            e = self.coder.encode("".join(part), add_special_tokens=False)
+            ids, n = np.array(e.ids, self.width), np.bincount(e.word_ids, minlength=len(part))
+            ends = (np.cumsum(n) * ids.itemsize).tolist()
+            flat, at = ids.tobytes(), 0
+            for s, end in zip(part, ends, strict=True):
+                table[s] = flat[at:end]
+                at = end
+        rest = list(set(new).difference(words, stopped).union({s[-1] for s in stopped} - table.keys()))
+        for s, e in zip(rest, self.coder.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            table[s] = np.array(e.ids, self.width).tobytes()
+        for s in stopped:
+            table[s] = table[s[:-1]] + table[s[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, in the file's integers."""
         cut = [spans(t) for t in texts]
-        held = self.held
-        new = list({s for c in cut for s in c if s not in held})
-        if len(held) + len(new) > HELD:
-            held.clear()
-            new = list({s for c in cut for s in c})
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            for s, e in zip(part, self.coder.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                held[s] = np.array(e.ids, self.width).tobytes()
-        out = [b"".join(map(held.__getitem__, c)) for c in cut]
+        table = self.known.table(set().union(*cut), self.fresh)
+        out = [b"".join(map(table.__getitem__, c)) for c in cut]
+        self.known.forget()
         return out
 
 
