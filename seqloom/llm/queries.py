@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.llm import bpe, exact_dedup, lattice, mixing, secrets, token_files, toxicity
+from seqloom.llm import bpe, exact_dedup, lattice, minhash, mixing, secrets, token_files, toxicity
 from seqloom.llm.common import documents
 
 TIKTOKEN_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -24,6 +24,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), TIKTOKEN_FILE, public_tokenizers.PATTERN)
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), width=2, percent=80)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
@@ -54,6 +58,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lattice": op1_lattice,
     "op2_bpe": op2_bpe,
+    "op4_minhash": op4_minhash,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
     "op7_secrets": op7_secrets,
@@ -62,6 +67,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op4_minhash": r"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS x FROM documents),
+        s AS (SELECT doc_id, unnest(list_transform(range(1, len(x)), lambda i: x[i] || ' ' || x[i + 1])) AS g FROM w WHERE len(x) > 1
+              UNION SELECT doc_id, x[1] FROM w WHERE len(x) = 1),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+        e AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+        l AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+        r(doc_id, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.doc_id AND r.c < l.b)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id, m.c = d.doc_id AS kept
+        FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(c) AS c FROM r GROUP BY 1) m USING (doc_id)""",
     "op6_mixing": r"""
         WITH r AS (SELECT doc_id, source, coalesce('s' || source, '') AS key,
                           len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
