@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.llm import bpe, exact_dedup, lattice, minhash, mixing, secrets, token_files, toxicity
+from seqloom.llm import bpe, embeddings, exact_dedup, lattice, minhash, mixing, secrets, token_files, toxicity
 from seqloom.llm.common import documents
 
 TIKTOKEN_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -24,6 +24,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), TIKTOKEN_FILE, public_tokenizers.PATTERN)
 
 
+def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), cosine=0.9)
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), width=2, percent=80)
 
@@ -58,6 +62,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lattice": op1_lattice,
     "op2_bpe": op2_bpe,
+    "op3_embeddings": op3_embeddings,
     "op4_minhash": op4_minhash,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
@@ -67,6 +72,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_embeddings": r"""
+        WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+                             WHERE embedding IS NOT NULL AND list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN embedding]) AND list_bool_or([x <> 0 FOR x IN embedding])),
+        l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a, v b WHERE a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+        r(vec_id, c) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.vec_id AND r.c < l.b),
+        n AS (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY 1)
+        SELECT e.vec_id, coalesce(n.n, 0) AS n_links, m.c AS component_id, m.c = e.vec_id AS kept
+        FROM embeddings e LEFT JOIN n USING (vec_id) JOIN (SELECT vec_id, min(c) AS c FROM r GROUP BY 1) m USING (vec_id)""",
     "op4_minhash": r"""
         WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS x FROM documents),
         s AS (SELECT doc_id, unnest(list_transform(range(1, len(x)), lambda i: x[i] || ' ' || x[i + 1])) AS g FROM w WHERE len(x) > 1
