@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 
 from seqloom.functions import seq as S
 from seqloom.operators import alignments as A
+from seqloom.operators import cover as C
 from seqloom.operators import hits as H
 from seqloom.operators import sequences as Q
 from seqloom.operators import taxonomy as T
 from seqloom.plans import views as V
+from seqloom.plans.stages import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -381,3 +383,11 @@ def union_inputs(spark, sf_dir):
 @query(f"WITH {V.HITS}, {V.TAXONOMY} SELECT DISTINCT taxon AS taxid FROM hits UNION SELECT taxid FROM taxonomy")
 def distinct_taxids(spark, sf_dir):
     return V.hits(spark, sf_dir).select(F.col("taxon").alias("taxid")).union(V.taxonomy(spark, sf_dir).select("taxid")).distinct()
+
+
+# order-dependent operators, tested against plain loops
+
+
+@query()
+def greedy_centroids(spark, sf_dir):
+    return C.greedy_centroids(V.alignments(spark, sf_dir), stage)
