@@ -32,14 +32,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def join_lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", salts: int = 32) -> DataFrame:
+def join_lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", salts: int = 32, rows: int | None = None) -> DataFrame:
     """Join to ``right``, which has one row per key, whatever the skew of ``left``.
 
-    ``right`` should be cheap to count. Up to BROADCAST_ROWS rows it is broadcast. Beyond that, every row of it is
-    repeated once per salt and the rows of ``left`` are spread over the salts, so that a key that holds a third of
-    all rows is dealt to ``salts`` tasks. ``how`` is inner or left.
+    ``rows`` is a bound on the rows of ``right``, if one is known; else they are counted, so ``right`` should be cheap to
+    count. Up to BROADCAST_ROWS rows it is broadcast. Beyond that, every row of it is repeated once per salt and the
+    rows of ``left`` are spread over the salts, so that a key that holds a third of all rows is dealt to ``salts``
+    tasks. ``how`` is inner or left.
     """
-    if right.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if (right.limit(BROADCAST_ROWS + 1).count() if rows is None else rows) <= BROADCAST_ROWS:
         return left.join(F.broadcast(right), on, how)
     spread = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)))
     copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
@@ -49,26 +50,26 @@ def join_lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "in
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of the undirected ``edges`` (a long, b long): rows (node, component = smallest member).
 
-    Alternates the large-star and small-star steps, each a minimum with map-side combining and a skew-proof join;
-    the edge set is staged each round. Self loops and repeated edges are allowed; nodes without edges do not appear.
+    Alternates the large-star and small-star steps, each a minimum with map-side combining and a skew-proof join; the
+    edge set is staged each round, until every edge leads from a node of one edge to a root. Self loops and repeated
+    edges are allowed; nodes without edges do not appear.
     """
-    def settle(pairs: DataFrame) -> tuple[DataFrame, tuple]:
-        out = staged(pairs.where("u != v").distinct(), name)
-        return out, tuple(out.agg(F.count("*"), F.expr("sum(cast(xxhash64(u, v) as decimal(38,0)))")).first())
-
-    now, mark = settle(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")))
+    now = staged(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), name)
     while True:
-        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), name)
-        large = join_lookup(both.where("v > u"), low, ["u"]).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = staged(large.where("u != v").distinct(), name)
-        low = staged(large.groupBy("u").agg(F.min("v").alias("m")), name)
-        hung = join_lookup(large, low, ["u"])
-        small = hung.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        now, new = settle(small)
-        if new == mark:
+        ends = now.select(F.inline(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("up")), F.struct(F.col("v").alias("node"), F.lit(0).alias("up")))))
+        roles = ends.groupBy("node").agg(F.sum("up").alias("ups"), F.min("up").alias("root"))
+        n, loose = roles.agg(F.count("*"), F.count(F.when((F.col("ups") > 1) | (F.col("ups") > 0) & (F.col("root") == 0), 1))).first()
+        if not loose:
             break
-        mark = new
+        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = join_lookup(both.where("v > u"), low, ["u"], rows=n).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        if n > BROADCAST_ROWS:
+            large = staged(large, name)
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        hung = join_lookup(large, low, ["u"], rows=n)
+        small = hung.select(F.inline(F.array(F.struct(F.greatest("v", "m").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))))
+        now = staged(small.where("u <> v").distinct(), name)
     stars = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.union(stars.select(F.col("component").alias("node"), "component").distinct())
 
