@@ -11,7 +11,7 @@ c, N: the word's and all tokens of the class; d: a discount from words seen once
 discounts pay for the spellings; Z: the sum over spellings by pieces. A class is a language of the training documents;
 a text's probability is marginal over classes too: log sum over classes of share times product over tokens.
 
-Piece weights begin from the vocabulary's own scores (its order) and are estimated anew by one expectation step over all
+Piece weights begin from the vocabulary's own scores (its order) and are estimated anew by STEPS expectation steps over all
 training words; nothing is sampled. The pieces themselves never change.
 
 Counts of words follow the corpus. Each task counts its words, Spark adds the counts up. Words above a count that at
@@ -42,6 +42,8 @@ CLASSES = 6
 HELD = 400_000
 #: Longest piece looked for, in characters; words above MANY characters go one by one.
 MANY = 48
+#: Expectation steps over all training words.
+STEPS = 2
 MARK = "▁"  # what the vocabulary puts before a word
 
 
@@ -147,7 +149,7 @@ def spell(p: Pieces, weight: np.ndarray, words: list[str], counts: np.ndarray |
     return forward[n], used
 
 
-def by_length(words: list[str], size: int = 4096):
+def by_length(words: list[str], size: int = 8192):
     """Indices of words of equal length, in blocks of at most ``size`` (fewer where words are long)."""
     groups: dict[int, list[int]] = {}
     for k, w in enumerate(words):
@@ -226,6 +228,19 @@ class Model:
         return np.column_stack([self.base(counts.sum(1)), both])
 
 
+def expected_uses(path: str, weight: np.ndarray, batches):
+    """The expected uses of each piece over a task's words, which count c."""
+    p = pieces(path)
+    used = np.zeros(len(p.text))
+    for b in batches:
+        marked = [MARK + w.decode(errors="replace") for w in b.column("word").to_pylist()]
+        n = b.column("c").to_numpy()
+        for g in by_length(marked):
+            used += spell(p, weight, [marked[i] for i in g], n[g].astype(float))[1]
+    at = np.flatnonzero(used)
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(used[at])], ["piece", "used"])
+
+
 def learn(docs: DataFrame, path: str) -> tuple[Model, DataFrame]:
     """The model, and the table of all words (word, c0.., n) with their training counts."""
     spark = docs.sparkSession
@@ -235,6 +250,7 @@ def learn(docs: DataFrame, path: str) -> tuple[Model, DataFrame]:
         classes = [r["lang"] for r in langs.orderBy(F.desc("count"), "lang").limit(CLASSES).collect()]
     k = len(classes) + 1
     words = staged(count_words(docs, classes), "words")
+    scan_conf(spark, 50_000)  # rows are short, and blocks of one length should be long
     cs = [f"c{i}" for i in range(k)]
     total = "+".join(cs)
     one = words.agg(*[F.sum(c).alias(f"s_{c}") for c in cs], F.count(F.expr(f"CASE WHEN {total} > 0 THEN 1 END")).alias("v"),
@@ -250,24 +266,17 @@ def learn(docs: DataFrame, path: str) -> tuple[Model, DataFrame]:
     spread = np.where(kinds > 0, discount * kinds / np.maximum(totals, 1), 0.5)
     shares = (ends + 1 / k) / (ends.sum() + 1)
 
-    def expected(batches):
-        p = pieces(path)
-        used = np.zeros(len(p.text))
-        for b in batches:
-            marked = [MARK + w.decode(errors="replace") for w in b.column("word").to_pylist()]
-            n = b.column("c").to_numpy()
-            for g in by_length(marked):
-                used += spell(p, p.start, [marked[i] for i in g], n[g].astype(float))[1]
-        at = np.flatnonzero(used)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(used[at])], ["piece", "used"])
-
-    # each word counts once and by the log of its count, as frequent words have arcs of their own
-    learned = words.where(f"{total} > 0").selectExpr("word", f"ln(1 + {total}) AS c").mapInArrow(expected, "piece int, used double")
     p = pieces(path)
-    used = np.full(len(p.text), 1e-3)
-    for r in learned.groupBy("piece").agg(F.sum("used").alias("used")).collect():  # at most one row a piece
-        used[r[0]] += r[1]
-    model = Model(path, np.log(used / used.sum()), tokens, distinct, ends, totals, shares, discount, spread, {}, np.zeros((0, k + 1)))
+    weight = p.start
+    # each word counts by the log of its count, as frequent words have arcs of their own
+    learned = words.where(f"{total} > 0").selectExpr("word", f"ln(1 + {total}) AS c")
+    for _ in range(STEPS):
+        uses = learned.mapInArrow(functools.partial(expected_uses, path, weight), "piece int, used double")
+        used = np.full(len(p.text), 1e-3)
+        for r in uses.groupBy("piece").agg(F.sum("used").alias("used")).collect():  # at most one row a piece
+            used[r[0]] += r[1]
+        weight = np.log(used / used.sum())
+    model = Model(path, weight, tokens, distinct, ends, totals, shares, discount, spread, {}, np.zeros((0, k + 1)))
     # the lowest count that at most TOP words reach
     steps = words.where(F.length("word") <= LONG).groupBy(F.floor(F.log2("n") * 8).alias("step")).count().collect()
     reach, least = 0, 10_000
