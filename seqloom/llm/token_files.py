@@ -38,7 +38,7 @@ class Speller:
         self.coder = Tokenizer.from_file(path)
         self.coder.encode_special_tokens = True
         self.width = "<u2" if self.coder.get_vocab_size() <= 1 << 16 else "<u4"
-        self.known = Known()
+        self.known = Known(700_000)
 
     def fresh(self, new: list[str], table: dict[str, bytes]) -> None:
         words = {s for s in new if s[:1] == " " and letters(s)}
