@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.llm import bpe, embeddings, exact_dedup, lattice, minhash, mixing, secrets, token_files, toxicity
+from seqloom.llm import bpe, embeddings, exact_dedup, lattice, minhash, mixing, passages, secrets, token_files, toxicity
 from seqloom.llm.common import documents
 
 TIKTOKEN_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -51,6 +51,10 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"), F.sha2(written(base), 256).alias("base_sha256"), written("found").alias("spans"))
 
 
+def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.near_passages(documents(spark, sf_dir))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_mixing": op6_mixing,
     "op7_secrets": op7_secrets,
+    "op8_passages": op8_passages,
     "op9_toxicity": op9_toxicity,
     "op10_token_files": op10_token_files,
 }
