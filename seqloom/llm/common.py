@@ -6,8 +6,12 @@ Nothing here collects rows to the driver, and every table that is reused is writ
 
 from __future__ import annotations
 
+import functools
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,8 +78,20 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     return stars.union(stars.select(F.col("component").alias("node"), "component").distinct())
 
 
+@functools.cache
+def ship(application: str) -> None:
+    """Give the running application's tasks this package, wherever they run: once, as a zip of its sources."""
+    package = Path(__file__).resolve().parents[1]
+    path = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="seqloom-")), "seqloom.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    SparkSession.active().sparkContext.addPyFile(path)
+
+
 def scan_conf(spark: SparkSession, rows: int = 2000) -> None:
-    """Rows per Arrow batch for whole documents: some MB each, also where texts are long."""
+    """Before Python tasks: ship the package, and set the rows per Arrow batch for whole documents, some MB each."""
+    ship(spark.sparkContext.applicationId)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
 
