@@ -26,13 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seqloom.llm.common import scan_conf
+from seqloom.llm.common import scan_conf, staged
 
 BUCKETS = 1 << 19
 DIM = 8
 GRAMS = (3, 4, 5)
 #: Most rows of each label that the model is fitted on.
-SAMPLE = 6000
+SAMPLE = 4000
 EPOCHS, BATCH, RATE, DAMP = 5, 64, 0.5, 1e-2
 #: Averages of hundreds of words are small; this brings them to the size that the rates are made for.
 SCALE = 20.0
@@ -67,7 +67,7 @@ class Bags:
             ids = self.held.get(w)
             if ids is None:
                 ids = np.array(bag(w), np.int32)
-                if len(self.held) < HELD and len(w) <= LONG:
+                if len(self.held) < HELD // 3 and len(w) <= LONG:
                     self.held[w] = ids
             parts.append(ids)
         if not parts:
@@ -77,14 +77,19 @@ class Bags:
 
 
 def fit(texts: list[str | None], labels: np.ndarray, seed: int = 7) -> tuple[np.ndarray, float]:
-    """The score of each row (its weight, times its vector, times the difference of the outputs) and the bias."""
-    bags = Bags()
-    docs = [bags.document(t) for t in texts]
+    """Takes the texts out of their list. The score of each row (its weight, times its vector, times the difference of the outputs) and the bias."""
+    bags, docs = Bags(), []
+    while texts:
+        docs.append(bags.document(texts.pop()))
+    docs.reverse()
     used = np.zeros(BUCKETS, np.float32)
     for rows, _ in docs:
         used[rows] += 1
     weight = np.where(used >= min(LEAST, len(docs) / 50), np.log(len(docs) / np.maximum(used, 1)), 0).astype(np.float32)
-    docs = [(rows[keep], (share * weight[rows])[keep]) for rows, share in docs for keep in [weight[rows] > 0]]
+    del bags
+    for i, (rows, share) in enumerate(docs):  # in place: the sample's rows are most of the memory
+        keep = weight[rows] > 0
+        docs[i] = rows[keep], (share * weight[rows])[keep]
     rng = np.random.default_rng(seed)
     table = rng.uniform(-0.1 / DIM, 0.1 / DIM, (BUCKETS, DIM)).astype(np.float32)
     out = rng.normal(0, 1, (2, DIM)).astype(np.float32)
@@ -124,7 +129,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
     The sample is bounded, so one task trains on it; what comes back is BUCKETS numbers."""
     spark = docs.sparkSession
     marked = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    usable = marked.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0).withColumn("h", F.xxhash64("doc_id"))
+    usable = staged(marked.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0).withColumn("h", F.xxhash64("doc_id")), "toxic-labels")
+    toxic, rest = (usable.where(which).count() for which in ("toxic = 1", "toxic <> 1"))
     parts = [usable.where(which).orderBy("h", "doc_id").limit(sample) for which in ("toxic = 1", "toxic <> 1")]
     chosen = parts[0].union(parts[1]).select("doc_id", F.when(F.col("toxic") == 1, 1).otherwise(0).alias("toxic"), "h")
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
@@ -133,14 +139,18 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
         kept = sorted((h, d, t, y) for b in batches for h, d, t, y in zip(*(b.column(c).to_pylist() for c in ("h", "doc_id", "text", "toxic")), strict=True))
         if not kept or len({y for *_, y in kept}) < 2:
             return
-        score, bias = fit([x[2] for x in kept], np.array([x[3] for x in kept]))
+        marks, texts = np.array([x[3] for x in kept]), [x[2] for x in kept]
+        del kept
+        score, bias = fit(texts, marks)
+        # the sample's share of either label is not the rows' own: the bias is moved to theirs
+        bias += math.log(marks.size / marks.sum() - 1) - math.log(rest / toxic)
         yield pa.RecordBatch.from_arrays([pa.array([score.tobytes()], pa.binary()), pa.array([bias], pa.float64())], ["score", "bias"])
 
     got = rows.coalesce(1).select("h", "doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic").mapInArrow(one, "score binary, bias double").collect()
     return (np.frombuffer(got[0][0], np.float32), got[0][1]) if got else (np.zeros(BUCKETS, np.float32), -math.inf)
 
 
-@functools.lru_cache(4)
+@functools.lru_cache(1)
 def _words(model: str) -> dict[bytes, tuple[float, int]]:
     """A worker's table of words for one model."""
     return {}
