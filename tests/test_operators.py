@@ -226,3 +226,12 @@ def test_streaming(spark, tmp_path):
     q = arrival.dereplicated(arrival.arriving_fasta(spark, str(tmp_path / "in"))).writeStream.format("memory").queryName("derep").outputMode("complete").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert [tuple(r) for r in spark.table("derep").collect()] == [("ACCA", 2, "a")]
+
+
+def test_radius_and_pool(spark):
+    t = spark.createDataFrame([(1000, 1100), (1000, 1000), (1, 1)], "best int, most int").select(hits.radius_bits("best", "most"), hits.radius_bits("best", "most", True))
+    got = [tuple(r) for r in t.collect()]
+    assert got[0][0] == pytest.approx(58.32458, abs=1e-4) and got[1][0] == pytest.approx(55.43740, abs=1e-4) and got[2] == (None, None)
+    rows = [("q", "v", 1, 90.0, 90.0, 0.0), ("q", "v", 2, 80.0, 80.0, 0.0), ("q", "v", 3, 10.0, 10.0, 0.0), ("q", "w", 4, 60.0, 0.0, 0.0), ("q", "x", 5, 1.0, 0.0, 0.0)]
+    table = spark.createDataFrame([(*r, 50.0, 60.0 if r[1] == "v" else -1.0, 0.0) for r in rows], "query string, group string, taxon int, overall double, nuc double, aa double, lower double, lower_nuc double, lower_aa double")
+    assert sorted(r["taxon"] for r in hits.pool(table).collect()) == [1, 2, 4]
