@@ -196,7 +196,8 @@ def read_index(manifest: DataFrame) -> DataFrame:
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """A row per document: doc_id, keep_id, group_size, kept, text_sha256; equal texts share keep_id."""
     scan_conf(docs.sparkSession)
-    found = keys(docs).join(read_index(build_index(docs)), ["key", "text_sha256"])
+    # entries grow with the documents, whatever Spark guesses of their size: they are never broadcast
+    found = keys(docs).join(read_index(build_index(docs)).hint("merge"), ["key", "text_sha256"])
     return found.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
