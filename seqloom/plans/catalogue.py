@@ -35,8 +35,8 @@ def query(sql: str | None = None):
 
 
 def six(c: str):
-    """Six places, by the same steps on both sides, as the engines' own rounding differs in ties."""
-    return (F.floor(F.col(c) * 1e6 + 0.5) / 1e6).alias(c)
+    """Six places, by the same steps on both sides; the bound lies beside exact ties, which sums reach with some noise."""
+    return (F.floor(F.col(c) * 1e6 + 0.501) / 1e6).alias(c)
 
 
 W = "WITH "
@@ -112,12 +112,12 @@ def trim_n(spark, sf_dir):
     return V.seqs(spark, sf_dir).select("def", S.trim_n("seq").alias("seq")).where("seq <> ''")
 
 
-@query(f"WITH {V.SEQS} SELECT def, floor((length(regexp_replace(seq, '[^GCgc]', '', 'g')) / length(seq)) * 1e6 + 0.5) / 1e6 AS gc FROM seqs WHERE seq <> ''")
+@query(f"WITH {V.SEQS} SELECT def, floor((length(regexp_replace(seq, '[^GCgc]', '', 'g')) / length(seq)) * 1e6 + 0.501) / 1e6 AS gc FROM seqs WHERE seq <> ''")
 def gc_fraction(spark, sf_dir):
     return V.seqs(spark, sf_dir).where("seq <> ''").select("def", S.gc_fraction("seq").alias("gc")).select("def", six("gc"))
 
 
-@query(f"WITH {V.SEQS} SELECT def, length(seq) AS length, length(replace(replace(seq, 'N', ''), 'n', '')) AS known, floor((length(replace(replace(seq, 'N', ''), 'n', '')) / length(seq) * 100) * 1e6 + 0.5) / 1e6 AS occupancy FROM seqs WHERE seq <> ''")
+@query(f"WITH {V.SEQS} SELECT def, length(seq) AS length, length(replace(replace(seq, 'N', ''), 'n', '')) AS known, floor((length(replace(replace(seq, 'N', ''), 'n', '')) / length(seq) * 100) * 1e6 + 0.501) / 1e6 AS occupancy FROM seqs WHERE seq <> ''")
 def letter_occupancy(spark, sf_dir):
     s = V.seqs(spark, sf_dir).where("seq <> ''")
     return s.select("def", F.length("seq").cast("long").alias("length"), S.known_length("seq").cast("long").alias("known"), S.letter_occupancy("seq").alias("occupancy")).select("def", "length", "known", six("occupancy"))
@@ -128,7 +128,7 @@ def kmer_count(spark, sf_dir):
     return Q.kmer_counts(V.seqs(spark, sf_dir), 3)
 
 
-@query(f"WITH {ENTROPY} SELECT s.def, floor((e) * 1e6 + 0.5) / 1e6 AS entropy FROM seqs s LEFT JOIN ent USING (def)")
+@query(f"WITH {ENTROPY} SELECT s.def, floor((e) * 1e6 + 0.501) / 1e6 AS entropy FROM seqs s LEFT JOIN ent USING (def)")
 def kmer_entropy(spark, sf_dir):
     return Q.entropy(V.seqs(spark, sf_dir)).select("def", six("entropy"))
 
@@ -176,8 +176,8 @@ def blosum_self_score(spark, sf_dir):
     return V.seqs(spark, sf_dir).select("def", S.protein_self_score(F.upper("seq")).cast("long").alias("protein"), S.nucleotide_self_score("seq").cast("long").alias("nucleotide"))
 
 
-@query(f"""WITH {V.HITS} SELECT query, subject, taxon, bits, qstart, qend, floor(((0.625::DOUBLE * bits - ln(0.41::DOUBLE)) / 0.6931471805599453) * 1e6 + 0.5) / 1e6 AS nuc_bits, floor(((0.267::DOUBLE * bits - ln(0.041::DOUBLE)) / 0.6931471805599453) * 1e6 + 0.5) / 1e6 AS prot_bits,
-    floor((least(bits / (qend - qstart + 1), 2 * 0.625::DOUBLE / 0.6931471805599453)) * 1e6 + 0.5) / 1e6 AS density FROM hits""")
+@query(f"""WITH {V.HITS} SELECT query, subject, taxon, bits, qstart, qend, floor(((0.625::DOUBLE * bits - ln(0.41::DOUBLE)) / 0.6931471805599453) * 1e6 + 0.501) / 1e6 AS nuc_bits, floor(((0.267::DOUBLE * bits - ln(0.041::DOUBLE)) / 0.6931471805599453) * 1e6 + 0.501) / 1e6 AS prot_bits,
+    floor((least(bits / (qend - qstart + 1), 2 * 0.625::DOUBLE / 0.6931471805599453)) * 1e6 + 0.501) / 1e6 AS density FROM hits""")
 def raw_to_bit(spark, sf_dir):
     h = V.hits(spark, sf_dir)
     out = h.select("query", "subject", "taxon", "bits", "qstart", "qend", S.raw_to_bits("bits").alias("nuc_bits"), S.raw_to_bits("bits", True).alias("prot_bits"), S.bits_per_base("bits", F.col("qend") - F.col("qstart") + 1).alias("density"))
@@ -220,12 +220,12 @@ def segment_cover(spark, sf_dir):
     return cover_of(spark, sf_dir).groupBy("query", "start", "stop").agg(F.count("*").alias("hits"))
 
 
-@query(f"WITH {COVER} SELECT query, start, taxon, floor((density) * 1e6 + 0.5) / 1e6 AS density, floor((top) * 1e6 + 0.5) / 1e6 AS top FROM best")
+@query(f"WITH {COVER} SELECT query, start, taxon, floor((density) * 1e6 + 0.501) / 1e6 AS density, floor((top) * 1e6 + 0.501) / 1e6 AS top FROM best")
 def top_within_90pct(spark, sf_dir):
     return H.top_taxa(cover_of(spark, sf_dir)).select("query", "start", "taxon", six("density"), six("top"))
 
 
-@query(f"WITH {COVER} SELECT c.query, c.taxon, floor((sum(pow(c.density / b.top, 3.0) * c.len)) * 1e6 + 0.5) / 1e6 AS rep FROM cover c JOIN best b USING (query, start, taxon) GROUP BY ALL")
+@query(f"WITH {COVER} SELECT c.query, c.taxon, floor((sum(pow(c.density / b.top, 3.0) * c.len)) * 1e6 + 0.501) / 1e6 AS rep FROM cover c JOIN best b USING (query, start, taxon) GROUP BY ALL")
 def rep_power_sum(spark, sf_dir):
     return H.representation(cover_of(spark, sf_dir)).select("query", "taxon", six("rep"))
 
@@ -235,12 +235,12 @@ def running_max_hits(spark, sf_dir):
     return H.running_max(cover_of(spark, sf_dir)).select("query", F.col("rn").cast("long").alias("rn"))
 
 
-@query(f"WITH {COVER} SELECT query, taxon, floor((sum(density * len)) * 1e6 + 0.5) / 1e6 AS score, sum(len)::BIGINT AS positions FROM best GROUP BY ALL")
+@query(f"WITH {COVER} SELECT query, taxon, floor((sum(density * len)) * 1e6 + 0.501) / 1e6 AS score, sum(len)::BIGINT AS positions FROM best GROUP BY ALL")
 def taxon_score_sum(spark, sf_dir):
     return H.taxon_scores(cover_of(spark, sf_dir)).select("query", "taxon", six("score"), "positions")
 
 
-@query(f"WITH RECURSIVE {CLOSED}, {GROUP_SQL}, {COVER}, g AS (SELECT query, start, len, \"group\", max(density) AS density FROM best JOIN grp USING (taxon) GROUP BY ALL) SELECT query, \"group\", floor((sum(density * len)) * 1e6 + 0.5) / 1e6 AS score FROM g GROUP BY ALL")
+@query(f"WITH RECURSIVE {CLOSED}, {GROUP_SQL}, {COVER}, g AS (SELECT query, start, len, \"group\", max(density) AS density FROM best JOIN grp USING (taxon) GROUP BY ALL) SELECT query, \"group\", floor((sum(density * len)) * 1e6 + 0.501) / 1e6 AS score FROM g GROUP BY ALL")
 def group_best_sum(spark, sf_dir):
     return H.group_scores(cover_of(spark, sf_dir), groups_of(spark, sf_dir)).select("query", "group", six("score"))
 
@@ -295,7 +295,7 @@ def taxid_repair(spark, sf_dir):
     w AS (SELECT *, rep > (0.5 + (2 / 3 - 0.5) / log2(greatest(total, 2.718281828459045::DOUBLE))) * total AND ancestor <> 10 AS wins FROM n),
     r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY wins DESC, depth DESC, round(rep, 9) DESC, ancestor) AS first, row_number() OVER (PARTITION BY query ORDER BY round(rep, 9) DESC, depth DESC, ancestor) AS second,
                  bool_or(wins) OVER (PARTITION BY query) AS any, count(*) OVER (PARTITION BY query) AS n FROM w)
-    SELECT query, ancestor AS taxid, floor((rep) * 1e6 + 0.5) / 1e6 AS rep, CASE WHEN NOT "any" THEN 'noMajority' WHEN rep < 2 / 3 * total THEN 'noSupermajority' ELSE '' END AS flag FROM r WHERE CASE WHEN "any" THEN first = 1 ELSE second = least(2, n) END""")
+    SELECT query, ancestor AS taxid, floor((rep) * 1e6 + 0.501) / 1e6 AS rep, CASE WHEN NOT "any" THEN 'noMajority' WHEN rep < 2 / 3 * total THEN 'noSupermajority' ELSE '' END AS flag FROM r WHERE CASE WHEN "any" THEN first = 1 ELSE second = least(2, n) END""")
 def weighted_lca(spark, sf_dir):
     reps = H.representation(cover_of(spark, sf_dir)).withColumnRenamed("taxon", "taxid")
     return T.weighted_lca(reps, T.closure(V.taxonomy(spark, sf_dir)), stop=10).select("query", "taxid", six("rep"), "flag")
@@ -359,7 +359,7 @@ def vote_consensus(spark, sf_dir):
     return A.consensus(A.votes(placed_of(spark, sf_dir)))
 
 
-@query("SELECT user_id, floor((sum(value)) * 1e6 + 0.5) / 1e6 AS weight, count(*) AS rows FROM (SELECT DISTINCT user_id, event_type, value, ts FROM events) GROUP BY 1")
+@query("SELECT user_id, floor((sum(value)) * 1e6 + 0.501) / 1e6 AS weight, count(*) AS rows FROM (SELECT DISTINCT user_id, event_type, value, ts FROM events) GROUP BY 1")
 def abundance_quant(spark, sf_dir):
     return A.abundance(V.table(spark, sf_dir, "events"), ["user_id", "event_type", "value", "ts"], "user_id", "value").select("user_id", six("weight"), "rows")
 
