@@ -2,7 +2,8 @@
 
 Known shapes are assignments to secret names, access keys and long hex runs. The token-efficiency test takes runs of
 20 and more key characters that hold a digit and a letter, and counts the tokens that a tiktoken vocabulary needs for
-them: words and identifiers give some three characters a token, random strings fewer than two. Known digests (hex of a
+them: words and identifiers give some three characters a token, random strings fewer than two. Of a run that is not marked as a
+whole, the stretches of 20 and more characters between its words are tested alone, as words dilute the ratio. Known digests (hex of a
 digest's length), UUIDs, numbers and names joined by underscores or hyphens are excluded first, and so is what lies
 within a base span.
 
@@ -37,6 +38,8 @@ DIGEST = re.compile(r"(?i)(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}
 UUID = re.compile(r"(?i)[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}")
 #: Words, each with digits at its end at most, joined by separators: names, slugs, paths.
 NAME = re.compile(r"(?:[A-Z]?[a-z]+[0-9]{0,4}|[A-Z]+[0-9]{0,4}|[0-9]+)(?:[_/=+-]+(?:[A-Z]?[a-z]+[0-9]{0,4}|[A-Z]+[0-9]{0,4}|[0-9]+))*[_/=+-]*")
+PART = re.compile(r"[^_/=+-]+")
+WORD = re.compile(r"[A-Z]?[a-z]+[0-9]{0,4}|[A-Z]+[0-9]{0,4}")
 #: Fewer characters a token than this mark a random string.
 RATIO = 2.0
 
@@ -54,18 +57,43 @@ def vocabulary(path: str, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("secrets", pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens={})
 
 
+def unworded(run: str) -> list[tuple[int, int]]:
+    """(start, end) of the longest stretches of the run's parts between separators without words, UUIDs and digests;
+    numbers count within a stretch only."""
+    out, at = [], 0
+    known = [*UUID.finditer(run)]
+    for m in [*known, None]:
+        end = m.start() if m else len(run)
+        stretch = None
+        for part in PART.finditer(run, at, end):
+            if WORD.fullmatch(part[0]) or DIGEST.fullmatch(part[0]):
+                out += [stretch] if stretch else []
+                stretch = None
+            elif not part[0].isdigit():
+                stretch = (stretch[0] if stretch else part.start(), part.end())
+        out += [stretch] if stretch else []
+        at = m.end() if m else end
+    return out
+
+
 def random_spans(text: str, coder: tiktoken.Encoding, base: list[tuple[int, int, str]], ratio: float = RATIO) -> list[tuple[int, int, str]]:
     """(start, end, "random") of runs that the vocabulary codes badly."""
-    out = []
-    for m in RUN.finditer(text):
-        s, e = m.span()
-        run = m[0]
+    def marked(s: int, e: int) -> bool:
+        run = text[s:e]
         if not (DIGIT.search(run) and LETTER.search(run)) or DIGEST.fullmatch(run) or UUID.fullmatch(run) or NAME.fullmatch(run):
-            continue
+            return False
         if any(a <= s and e <= b for a, b, _ in base):
-            continue
-        if len(run) / len(coder.encode_ordinary(run)) < ratio:
-            out.append((s, e, "random"))
+            return False
+        return len(run) / len(coder.encode_ordinary(run)) < ratio
+
+    out = []
+    for m in RUN.finditer(text):
+        if marked(*m.span()):
+            out.append((*m.span(), "random"))
+        elif DIGIT.search(m[0]):
+            # words joined to a random string hide it
+            parts = [(m.start() + a, m.start() + b) for a, b in unworded(m[0]) if 20 <= b - a < len(m[0])]
+            out += [(a, b, "random") for a, b in parts if marked(a, b)]
     return out
 
 

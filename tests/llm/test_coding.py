@@ -92,3 +92,17 @@ def test_secrets(spark):
 def test_random_strings(text, hit):
     coder = secrets.vocabulary(TIKTOKEN_FILE, public_tokenizers.PATTERN)
     assert bool(secrets.random_spans(text, coder, [])) == hit
+
+
+@pytest.mark.parametrize("front,back", [("/services/configuration/integrations/", ""), ("/services/configuration/integrations/webhooks/", "/events/latest"), ("service_configuration_token=", "")])
+def test_random_strings_beside_words(front, back):
+    import string
+
+    coder = secrets.vocabulary(TIKTOKEN_FILE, public_tokenizers.PATTERN)
+    rng = random.Random(67)
+    keys = ["".join(rng.choice(string.ascii_letters + string.digits) for _ in range(24)) for _ in range(200)]
+    keys = [k for k in keys if re.search("[0-9]", k)]
+    for k in keys:
+        got = secrets.random_spans(front + k + back, coder, [])
+        assert any(s <= len(front) and e >= len(front) + 24 for s, e, _ in got)
+    assert not secrets.unworded("/services/configuration/123e4567-e89b-12d3-a456-426614174000/integrations/9e107d9d372bb6826bd81d3542a419d6/latest")
