@@ -146,6 +146,14 @@ def test_merge_fixpoint(spark, stage):
     assert {r["seq"] for r in got} == {whole, rows[3][1]}
 
 
+def test_merging_that_goes_on_is_told(spark, stage):
+    rng = random.Random(2)
+    whole = "".join(rng.choice("ACGT") for _ in range(1000))
+    rows = spark.createDataFrame([("a", whole[:400]), ("b", whole[250:700]), ("c", whole[560:])], "def string, seq string")
+    with pytest.raises(ValueError, match="goes on"):
+        merge.merged(rows, merge.MODES["default"], stage, rounds=1)
+
+
 def test_overlay_mask_improve(spark, stage):
     g = spark.createDataFrame([("g", "ACGNNTAC"), ("h", "AAAAAAAAAA")], "def string, seq string")
     parts = spark.createDataFrame([("g", 2, 1, "GTCA"), ("g", 3, 2, "A")], "parent string, start int, priority int, seq string")
