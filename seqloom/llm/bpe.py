@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqloom.llm.common import scan_conf
+from seqloom.llm.common import ship, small
 
 #: Entries of a task's young look-up table; when it is full it becomes the old one, and what is met there comes back.
 HELD = 400_000
@@ -229,11 +229,11 @@ def encoder(path: str, pattern: str) -> Encoder:
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id and the ids of its text."""
-    scan_conf(docs.sparkSession, 1000)
+    ship(docs.sparkSession)
 
     def run(batches):
         e = encoder(path, pattern)
-        for b in batches:
+        for b in small(batches):
             ids = [e.encode(t or "") for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
@@ -242,12 +242,12 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 of the ids in decimal, decoded_sha256 of the bytes decoded from the ids."""
-    scan_conf(docs.sparkSession, 1000)
+    ship(docs.sparkSession)
 
     def run(batches):
         e = encoder(path, pattern)
         decimal = list(map(str, range(max(e.tokens) + 1)))
-        for b in batches:
+        for b in small(batches):
             counts, coded, plain = [], [], []
             for t in b.column("text").to_pylist():
                 ids = e.encode(t or "")

@@ -6,13 +6,16 @@ Nothing here collects rows to the driver, and every table that is reused is writ
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import os
+import re
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,18 +24,34 @@ BROADCAST_ROWS = 200_000
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``. Only where that is unset (tests) is a temporary one set."""
+    """A new folder below ``spark.checkpoint.dir``. Where that is unset, a local session gets a temporary one; a cluster's
+    machines would not see each other's, so there it is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         root = tempfile.mkdtemp(prefix="seqloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession):
+    """What is written here leaves no shuffle files behind."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: cuts the lineage, and fixes what is random."""
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -79,8 +98,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
 
 @functools.cache
-def ship(application: str) -> None:
-    """Give the running application's tasks this package, wherever they run: once, as a zip of its sources."""
+def _shipped(application: str) -> None:
     package = Path(__file__).resolve().parents[1]
     path = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="seqloom-")), "seqloom.zip")
     with zipfile.ZipFile(path, "w") as z:
@@ -89,10 +107,28 @@ def ship(application: str) -> None:
     SparkSession.active().sparkContext.addPyFile(path)
 
 
-def scan_conf(spark: SparkSession, rows: int = 2000) -> None:
-    """Before Python tasks: ship the package, and set the rows per Arrow batch for whole documents, some MB each."""
-    ship(spark.sparkContext.applicationId)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+def ship(spark: SparkSession) -> None:
+    """Before Python tasks: give the running application's tasks this package, wherever they run, once, as a zip."""
+    _shipped(spark.sparkContext.applicationId)
+
+
+def small(batches, rows: int = 1000):
+    """Arrow batches of at most so many rows, as whole documents become Python objects a batch at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
+def large(batches, rows: int = 50_000):
+    """Arrow batches of short rows put together to at least so many, but for the last."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(x.num_rows for x in held) >= rows:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqloom.llm.common import components, scan_conf, staged
+from seqloom.llm.common import components, ship, small, staged
 
 W, MISS, BLOCK = 2.0, 0.01, 2048
 
@@ -69,7 +69,7 @@ def unit(data: list[bytes]) -> np.ndarray:
 def read_vectors(table: DataFrame) -> DataFrame:
     """vec_id, digest and data (null where the vector links with nothing)."""
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             digests, data = [], []
             for d, x in zip(b.column("vec_id").to_pylist(), b.column("embedding").to_pylist(), strict=True):
                 ok = d is not None and x and None not in x
@@ -88,7 +88,7 @@ def read_vectors(table: DataFrame) -> DataFrame:
 def near_duplicates(table: DataFrame, cosine: float = 0.9) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row."""
     spark = table.sparkSession
-    scan_conf(spark)
+    ship(spark)
     rows = staged(read_vectors(table), "vectors")
     classes = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
     classes = staged(classes, "vector-classes")
@@ -97,7 +97,7 @@ def near_duplicates(table: DataFrame, cosine: float = 0.9) -> DataFrame:
     k, tables = plan(vectors.count(), cosine)
 
     def hashed(batches):
-        for b in batches:
+        for b in small(batches):
             data, node = b.column("data").to_pylist(), b.column("node").to_numpy()
             sizes = np.array([len(x) for x in data])
             for size in np.unique(sizes):
@@ -115,7 +115,7 @@ def near_duplicates(table: DataFrame, cosine: float = 0.9) -> DataFrame:
     def linked(batches):
         """Runs of equal (bucket, t, i, j) follow each other, also over the ends of batches."""
         held: list[tuple] = []
-        for b in batches:
+        for b in small(batches):
             for r in zip(*(b.column(c).to_pylist() for c in ("bucket", "t", "i", "j", "part", "node", "copies", "data")), strict=True):
                 if held and held[-1][:4] != r[:4]:
                     if out := _links(held, k, tables, cosine):

@@ -1,7 +1,7 @@
 """Exact deduplication over an extendible-hash index in shared files.
 
 1. ``keys``: each row gets the 64-bit hash and the SHA-256 of its text without ASCII white space.
-2. ``build_index``: tasks first merge the copies they hold themselves (a hot text leaves each task once a batch),
+2. ``build_index``: tasks first merge the copies they hold themselves (a hot text leaves a task once in HELD bytes),
    then rows go by hash range to owner tasks. An owner keeps a directory of 2^depth slots over buckets; an overfull bucket
    is split and the directory doubled when needed. Keys that are equal in all 64 bits are chained in one bucket, and
    members of a chain are told apart by comparing bytes. Each owner writes its directory and buckets to the shared
@@ -22,17 +22,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqloom.llm import files
-from seqloom.llm.common import scan_conf, shared_dir, staged
+from seqloom.llm.common import shared_dir, ship, small, staged
 
 SPACE = b" \t\n\x0b\x0c\r"
 BUCKET = 256
 #: One entry of a bucket page.
 ENTRY = np.dtype([("key", "<i8"), ("keep", "<i8"), ("null", "?"), ("points", "<i8"), ("count", "<i8"), ("sha", "S64")])
 MAGIC = b"XHASH001"
+#: Bytes of distinct texts in which a task merges copies before it hands them on.
+HELD = 32 << 20
 
 
 def squeeze(text: str | None) -> bytes:
@@ -106,7 +108,7 @@ def look_up(data, key: int) -> np.ndarray:
 def keys(docs: DataFrame) -> DataFrame:
     """A narrow row per document: doc_id, key, text_sha256, points (code points of the original text)."""
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             texts = b.column("text").to_pylist()
             data = [squeeze(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
@@ -123,28 +125,52 @@ def _better(a: tuple, b: tuple) -> tuple:
     return min(a, b, key=rank)
 
 
+def even_numbers(spark: SparkSession, n: int) -> list[int]:
+    """For each of n owners a number of its own, such that hash partitioning by it gives every owner a task of its own."""
+    place = F.pmod(F.hash("number"), F.lit(n))
+    found = spark.range(24 * n).select(F.col("id").cast("int").alias("number")).groupBy(place.alias("place")).agg(F.min("number").alias("number")).collect()
+    free = iter(range(24 * n, 25 * n))
+    by_place = dict(map(tuple, found))
+    return [by_place[p] if p in by_place else next(free) for p in range(n)]
+
+
 def build_index(docs: DataFrame, owners: int | None = None, bucket: int = BUCKET) -> DataFrame:
     """Write the index; return its manifest (owner, path, entries). ``owners`` defaults to twice the input splits."""
     narrow = docs.select(F.col("doc_id").cast("long"), "text")
     owners = owners or max(8, 2 * narrow.rdd.getNumPartitions())
     root = shared_dir(docs.sparkSession, "exact-index")
 
+    numbers = even_numbers(docs.sparkSession, owners)
+
     def merged(batches):
-        for b in batches:
-            found: dict[bytes, list] = {}
+        found: dict[bytes, list] = {}
+        held = 0
+
+        def handed():
+            """Some rows at a time, as texts can be long."""
+            names = list(found)
+            for at in range(0, len(names), 1000):
+                part = names[at : at + 1000]
+                key, best = [key_of(x) for x in part], [found[x] for x in part]
+                owner = [numbers[(k + (1 << 63)) * owners >> 64] for k in key]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(owner, pa.int32()), pa.array(key, pa.int64()), pa.array([x[0][0] for x in best], pa.int64()), pa.array([x[0][1] for x in best], pa.int64()), pa.array([x[1] for x in best], pa.int64()), pa.array(part, pa.binary())],
+                    ["owner", "key", "keep", "points", "count", "data"],
+                )
+            found.clear()
+
+        for b in small(batches):
             for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
                 data, new = squeeze(t), (d, len(t or ""))
                 if (old := found.get(data)) is None:
                     found[data] = [new, 1]
+                    held += len(data)
                 else:
                     old[0], old[1] = _better(old[0], new), old[1] + 1
-            key = [key_of(x) for x in found]
-            owner = [(k + (1 << 63)) * owners >> 64 for k in key]
-            best = list(found.values())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(owner, pa.int32()), pa.array(key, pa.int64()), pa.array([x[0][0] for x in best], pa.int64()), pa.array([x[0][1] for x in best], pa.int64()), pa.array([x[1] for x in best], pa.int64()), pa.array(found, pa.large_binary() if sum(map(len, found)) >> 31 else pa.binary())],
-                ["owner", "key", "keep", "points", "count", "data"],
-            )
+            if held > HELD:
+                yield from handed()
+                held = 0
+        yield from handed()
 
     def owned(batches):
         index, owner, last, chain_data = ExtendibleIndex(bucket), None, None, []
@@ -154,7 +180,7 @@ def build_index(docs: DataFrame, owners: int | None = None, bucket: int = BUCKET
             n = sum(len(c) for b in {id(b): b for b in index.slots}.values() for c in b[1].values())
             return pa.RecordBatch.from_arrays([pa.array([owner], pa.int32()), pa.array([path]), pa.array([n], pa.int64())], ["owner", "path", "entries"])
 
-        for b in batches:
+        for b in small(batches):
             for o, k, d, p, c, data in zip(*(b.column(i).to_pylist() for i in range(6)), strict=True):
                 if o != owner:
                     if owner is not None:
@@ -182,7 +208,7 @@ def build_index(docs: DataFrame, owners: int | None = None, bucket: int = BUCKET
 def read_index(manifest: DataFrame) -> DataFrame:
     """An entry per distinct text: key, text_sha256, keep_id, group_size."""
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             for path in b.column("path").to_pylist():
                 _, _, e = open_index(files.mapped(path))
                 yield pa.RecordBatch.from_arrays(
@@ -195,19 +221,19 @@ def read_index(manifest: DataFrame) -> DataFrame:
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """A row per document: doc_id, keep_id, group_size, kept, text_sha256; equal texts share keep_id."""
-    scan_conf(docs.sparkSession)
+    ship(docs.sparkSession)
     # entries grow with the documents, whatever Spark guesses of their size: they are never broadcast
     found = keys(docs).join(read_index(build_index(docs)).hint("merge"), ["key", "text_sha256"])
     return found.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The documents, each text once (the row that ``exact_dedup`` keeps), with their own columns.
+    """The documents, each text once (the row that ``exact_dedup`` keeps), with their own columns, whatever their names.
 
     Rows that repeat a doc_id and its text are one document: one of them stays.
     """
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    ids = exact_dedup(docs).where("kept").select(name.alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
+    ids = exact_dedup(docs).where("kept").select(name.alias("id"), F.col("text_sha256").alias("sha")).distinct()
     squeezed = F.translate(F.coalesce("text", F.lit("")), SPACE.decode(), "")
-    whole = docs.withColumns({"_id": name, "_sha": F.sha2(squeezed, 256)}).join(ids, ["_id", "_sha"], "left_semi")
-    return whole.dropDuplicates(["_id", "_sha"]).select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), name.alias("id"), F.sha2(squeezed, 256).alias("sha"))
+    return rows.join(ids, ["id", "sha"], "left_semi").dropDuplicates(["id", "sha"]).select("row.*")

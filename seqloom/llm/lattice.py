@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.llm.common import scan_conf, staged
+from seqloom.llm.common import large, ship, small, staged
 
 #: Most words that are sent to every task, and the longest of them in bytes: some 20 MB.
 TOP, LONG = 200_000, 64
@@ -170,7 +170,7 @@ def held_out(col: str = "doc_id"):
 
 def count_words(docs: DataFrame, classes: list[str]) -> DataFrame:
     """word (binary), c: training counts by class, n: count in all documents."""
-    scan_conf(docs.sparkSession, 1000)
+    ship(docs.sparkSession)
     k = len(classes) + 1
 
     def run(batches):
@@ -187,7 +187,7 @@ def count_words(docs: DataFrame, classes: list[str]) -> DataFrame:
             for at in range(0, len(words), 20_000):
                 yield whole.slice(at, 20_000)
 
-        for b in batches:
+        for b in small(batches):
             for t, c, h in zip(*(b.column(x).to_pylist() for x in ("text", "class", "held")), strict=True):
                 found[k if h else c].update(split(t))
             if sum(map(len, found)) > HELD:
@@ -232,7 +232,7 @@ def expected_uses(path: str, weight: np.ndarray, batches):
     """The expected uses of each piece over a task's words, which count c."""
     p = pieces(path)
     used = np.zeros(len(p.text))
-    for b in batches:
+    for b in large(batches):
         marked = [MARK + w.decode(errors="replace") for w in b.column("word").to_pylist()]
         n = b.column("c").to_numpy()
         for g in by_length(marked):
@@ -250,7 +250,6 @@ def learn(docs: DataFrame, path: str) -> tuple[Model, DataFrame]:
         classes = [r["lang"] for r in langs.orderBy(F.desc("count"), "lang").limit(CLASSES).collect()]
     k = len(classes) + 1
     words = staged(count_words(docs, classes), "words")
-    scan_conf(spark, 50_000)  # rows are short, and blocks of one length should be long
     cs = [f"c{i}" for i in range(k)]
     total = "+".join(cs)
     one = words.agg(*[F.sum(c).alias(f"s_{c}") for c in cs], F.count(F.expr(f"CASE WHEN {total} > 0 THEN 1 END")).alias("v"),
@@ -296,7 +295,7 @@ def score_words(words: DataFrame, model: Model, cs: list[str]) -> DataFrame:
     held = words.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for b in batches:
+        for b in large(batches):
             if not b.num_rows:
                 continue
             counts = np.column_stack([b.column(c).to_numpy() for c in cs])
@@ -313,14 +312,14 @@ def score(docs: DataFrame, path: str) -> DataFrame:
     model, rare = learn(docs, path)
     k = len(model.totals)
     held = spark.sparkContext.broadcast(model)  # at most TOP words
-    scan_conf(spark, 1000)
+    ship(spark)
 
     def run(batches):
         from pyspark import TaskContext
 
         m, row = held.value, TaskContext.get().partitionId() << 40
         get = m.words.get
-        for b in batches:
+        for b in small(batches):
             sums, sizes, left, counts, ends = [], [], [], [], [0]
             for t in b.column("text").to_pylist():
                 found = Counter(split(t))

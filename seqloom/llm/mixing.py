@@ -50,13 +50,21 @@ def targets(sizes: DataFrame) -> DataFrame:
     return stepped.select("source", "source_size", F.coalesce(F.least(cap, first * F.col("weight")), cap).alias("target"))
 
 
-def mix(docs: DataFrame) -> DataFrame:
-    """A row per document: doc_id, source, size, source_size, target (its source's), taken (words, repeats counted)."""
-    digest = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    rows = docs.select("doc_id", "source", words("text").alias("size"), F.conv(F.substring(digest, 1, BITS * LEVELS // 4), 16, 10).cast("long").alias("hash"))
-    # a source's code, so that null is a key like any other
-    rows = staged(rows.withColumn("key", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit(""))), "mix-rows")
-    aims = staged(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size"))).withColumn("key", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit(""))).withColumn("budget", F.when(F.col("target") > F.col("source_size"), F.col("target") - F.col("source_size")).otherwise(F.col("target"))), "mix-aims")
+def hashed(doc_id: str = "doc_id") -> Column:
+    digest = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
+    return F.conv(F.substring(digest, 1, BITS * LEVELS // 4), 16, 10).cast("long")
+
+
+def key(source: str = "source") -> Column:
+    """A source's code, so that null is a key like any other."""
+    return F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit(""))
+
+
+def cuts(rows: DataFrame) -> DataFrame:
+    """Per source: key, source_size, target, limit (of the hash). ``rows``: source, key, hash, size."""
+    sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    budget = F.when(F.col("target") > F.col("source_size"), F.col("target") - F.col("source_size")).otherwise(F.col("target"))
+    aims = staged(targets(sums).withColumn("key", key()).withColumn("budget", budget), "mix-aims")
     # per source: the hash prefix reached so far, and what is below it
     edge = aims.select("key", "budget", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("below"))
     for depth in range(1, LEVELS + 1):
@@ -70,15 +78,28 @@ def mix(docs: DataFrame) -> DataFrame:
     # the rows of the last bucket share all bits: they come in if that leaves the sum nearer to the budget
     last = join_lookup(rows, edge, ["key"]).where(F.col("hash") == F.col("prefix")).groupBy("key").agg(F.sum("size").alias("rest"))
     cut = edge.join(last, "key").withColumn("limit", F.when(F.col("below") + F.col("rest") - F.col("budget") <= F.col("budget") - F.col("below"), F.col("prefix") + 1).otherwise(F.col("prefix")))
-    per = staged(aims.join(cut.select("key", "limit"), "key", "left").select("key", "source_size", "target", "limit"), "mix-cuts")
+    return staged(aims.join(cut.select("key", "limit"), "key", "left").select("key", "source_size", "target", "limit"), "mix-cuts")
+
+
+def copies() -> Column:
     once = F.when(F.col("target") > F.col("source_size"), 1).otherwise(0)
-    copies = once + F.when(F.col("hash") < F.col("limit"), 1).otherwise(0)
-    return join_lookup(rows, per, ["key"]).select("doc_id", "source", "size", "source_size", "target", (F.col("size") * F.least(copies, F.lit(EPOCHS))).alias("taken"), F.least(copies, F.lit(EPOCHS)).alias("copies"))
+    return F.least(once + F.when(F.col("hash") < F.col("limit"), 1).otherwise(0), F.lit(EPOCHS))
+
+
+def measured(docs: DataFrame) -> DataFrame:
+    return staged(docs.select("doc_id", "source", words("text").alias("size"), hashed().alias("hash"), key().alias("key")), "mix-rows")
+
+
+def mix(docs: DataFrame) -> DataFrame:
+    """A row per document: doc_id, source, size, source_size, target (its source's), taken (words, repeats counted)."""
+    rows = measured(docs)
+    return join_lookup(rows, cuts(rows), ["key"]).select("doc_id", "source", "size", "source_size", "target", (F.col("size") * copies()).alias("taken"), copies().alias("copies"))
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """The documents as the mix takes them: dropped, once or twice, with their own columns. Documents without words
-    are copied like any other. Rows that share a doc_id are taken alike."""
-    copies = mix(docs).groupBy("doc_id").agg(F.max("copies").alias("_n")).where("_n > 0")
-    taken = docs.join(copies.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")))
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
+    """The documents as the mix takes them: dropped, once or twice, with their own columns, whatever their names. Documents
+    without words are copied like any other; rows that share a doc_id and a source are taken alike. Texts are not shuffled."""
+    per = cuts(measured(docs))
+    rows = join_lookup(docs.select(F.struct("*").alias("row"), hashed().alias("hash"), key().alias("key")), per, ["key"])
+    taken = rows.select("row", F.explode(F.when(copies() > 0, F.sequence(F.lit(1), copies()))).alias("copy"))
+    return taken.select("row.*")

@@ -22,7 +22,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 
 from seqloom.llm.bpe import read_ranks
-from seqloom.llm.common import scan_conf
+from seqloom.llm.common import ship, small
 
 #: Fixed patterns: kind, pattern, group whose length counts, its least length. Kinds are in order of report.
 BASE = (
@@ -99,12 +99,12 @@ def random_spans(text: str, coder: tiktoken.Encoding, base: list[tuple[int, int,
 
 def scan(docs: DataFrame, path: str, pattern: str, ratio: float = RATIO) -> DataFrame:
     """doc_id and found: array of (kind, start, end, random?) by start, then kind."""
-    scan_conf(docs.sparkSession)
+    ship(docs.sparkSession)
 
     def run(batches):
         coder = vocabulary(path, pattern)
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-        for b in batches:
+        for b in small(batches):
             rows = []
             for t in b.column("text").to_pylist():
                 base = base_spans(t) if t else []

@@ -13,6 +13,7 @@ doc_id follow each other by text; an empty table gives an empty manifest. doc_id
 from __future__ import annotations
 
 import functools
+import re
 import zlib
 
 import numpy as np
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from seqloom.llm import files
 from seqloom.llm.bpe import STOPS, Known, letters, spans
-from seqloom.llm.common import scan_conf, shared_dir, staged
+from seqloom.llm.common import shared_dir, ship, small, staged
 
 
 #: Words that are encoded as one text.
@@ -36,7 +37,8 @@ class Speller:
         from tokenizers import Tokenizer
 
         self.coder = Tokenizer.from_file(path)
-        self.coder.encode_special_tokens = True
+        marks = sorted(t.content for t in self.coder.get_added_tokens_decoder().values())
+        self.marked = re.compile("|".join(map(re.escape, marks))) if marks else None
         self.width = "<u2" if self.coder.get_vocab_size() <= 1 << 16 else "<u4"
         self.known = Known(700_000)
 
@@ -62,9 +64,11 @@ class Speller:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, in the file's integers."""
-        cut = [spans(t) for t in texts]
+        # a text that holds one of the vocabulary's special tokens goes to the library whole
+        whole = {i: np.array(self.coder.encode(t, add_special_tokens=False).ids, self.width).tobytes() for i, t in enumerate(texts) if self.marked and self.marked.search(t)}
+        cut = [[] if i in whole else spans(t) for i, t in enumerate(texts)]
         table = self.known.table(set().union(*cut), self.fresh)
-        out = [b"".join(map(table.__getitem__, c)) for c in cut]
+        out = [whole[i] if i in whole else b"".join(map(table.__getitem__, c)) for i, c in enumerate(cut)]
         self.known.forget()
         return out
 
@@ -76,7 +80,7 @@ def speller(path: str) -> Speller:
 
 def write_tokens(docs: DataFrame, path: str, end_id: int = 0, shards: int | None = None) -> DataFrame:
     """Write the files; return the manifest (shard, ids, off, doc, width, n_null, n_docs, n_ids, base)."""
-    scan_conf(docs.sparkSession, 1000)
+    ship(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("long"), "text")
     shards = shards or max(8, 2 * narrow.rdd.getNumPartitions())
     root = shared_dir(docs.sparkSession, "tokens")
@@ -91,7 +95,7 @@ def write_tokens(docs: DataFrame, path: str, end_id: int = 0, shards: int | None
 
         def coded():  # a batch at a time goes to the file
             nonlocal nulls
-            for b in batches:
+            for b in small(batches):
                 names.append(b.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False))
                 nulls += b.column("doc_id").null_count
                 rows = [x + end for x in e.encode([t or "" for t in b.column("text").to_pylist()])]
@@ -120,7 +124,7 @@ def write_tokens(docs: DataFrame, path: str, end_id: int = 0, shards: int | None
 def read_tokens(manifest: DataFrame) -> DataFrame:
     """A row per document, from the files: doc_id, start, n_tokens, ids_crc32 of its ids as 32-bit integers."""
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             for r in b.to_pylist():
                 ids, off, doc = (np.frombuffer(files.mapped(r[k]), t) for k, t in (("ids", f"<u{r['width']}"), ("off", "<u8"), ("doc", "<i8")))
                 for i in range(0, len(doc), 4096):

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seqloom.llm.common import scan_conf, staged
+from seqloom.llm.common import ship, small, staged
 
 BUCKETS = 1 << 19
 DIM = 8
@@ -133,7 +133,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
     toxic, rest = (usable.where(which).count() for which in ("toxic = 1", "toxic <> 1"))
     parts = [usable.where(which).orderBy("h", "doc_id").limit(sample) for which in ("toxic = 1", "toxic <> 1")]
     chosen = parts[0].union(parts[1]).select("doc_id", F.when(F.col("toxic") == 1, 1).otherwise(0).alias("toxic"), "h")
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # of rows that repeat a doc_id, the least text counts, so that reruns agree
+    rows = rows.groupBy("h", "doc_id", "toxic").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
 
     def one(batches):
         kept = sorted((h, d, t, y) for b in batches for h, d, t, y in zip(*(b.column(c).to_pylist() for c in ("h", "doc_id", "text", "toxic")), strict=True))
@@ -146,7 +148,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
         bias += math.log(marks.size / marks.sum() - 1) - math.log(rest / toxic)
         yield pa.RecordBatch.from_arrays([pa.array([score.tobytes()], pa.binary()), pa.array([bias], pa.float64())], ["score", "bias"])
 
-    got = rows.coalesce(1).select("h", "doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic").mapInArrow(one, "score binary, bias double").collect()
+    got = rows.coalesce(1).select("h", "doc_id", "text", "toxic").mapInArrow(one, "score binary, bias double").collect()
     return (np.frombuffer(got[0][0], np.float32), got[0][1]) if got else (np.zeros(BUCKETS, np.float32), -math.inf)
 
 
@@ -158,7 +160,7 @@ def _words(model: str) -> dict[bytes, tuple[float, int]]:
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
     """The documents' doc_id and score, 0 to 1."""
-    scan_conf(docs.sparkSession)
+    ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers
     name = uuid.uuid4().hex
 
@@ -175,7 +177,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
                 known[w] = found
             return found
 
-        for b in batches:
+        for b in small(batches):
             out = []
             for t in b.column("text").to_pylist():
                 total, n, get = 0.0, 0, known.get
@@ -200,5 +202,5 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that score below 0.5, with their own columns (their own score column too, if they have one)."""
     model = train(docs, labels)
-    marked = score(docs.select(F.struct(*docs.columns).alias("_row"), "text"), model)
-    return marked.where("score < 0.5").select(*[F.col("_row")[c].alias(c) for c in docs.columns])
+    marked = score(docs.select(F.struct("*").alias("row"), "text"), model)
+    return marked.where("score < 0.5").select("row.*")

@@ -50,8 +50,7 @@ def test_token_files(spark, extra):
     from tokenizers import Tokenizer
 
     coder = Tokenizer.from_file(TOKENIZERS_FILE)
-    coder.encode_special_tokens = True
-    rows = [(7 * i % 1009, t) for i, t in enumerate(texts())] + [(5, "b"), (5, "a"), (5, "a"), (None, "none")]
+    rows = [(7 * i % 1009, t) for i, t in enumerate([*texts(), "a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>\n<|endoftext|> y"])] + [(5, "b"), (5, "a"), (5, "a"), (None, "none")]
     docs = table(spark, [(*r, "x") for r in rows], "doc_id long, text string, start string") if extra else table(spark, rows)
     got = token_files.read_tokens(token_files.write_tokens(docs, TOKENIZERS_FILE, shards=5)).collect()
     at, want = 0, []

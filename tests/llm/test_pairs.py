@@ -84,6 +84,8 @@ def test_documents(spark, width, small, monkeypatch):
     assert {i: r["n_shingles"] for i, r in got.items() if i is not None} == sizes
     assert {i: r["component_id"] for i, r in got.items() if i is not None} == at
     assert all(r["kept"] == (r["component_id"] == i) for i, r in got.items() if i is not None)
+    clash = minhash.one_each(table.selectExpr("*", "'k' AS _kept", "1 AS kept", "2 AS id", "3 AS row", "4 AS component_id"), width)
+    assert {tuple(r)[4:] for r in clash.collect()} == {("k", 1, 2, 3, 4)}
     stay = minhash.one_each(table, width)
     assert stay.columns == table.columns and sorted(str(r[0]) for r in stay.collect()) == sorted([*(str(i) for i in at if at[i] == i), "None"])
 

@@ -29,6 +29,10 @@ def test_exact_dedup(spark):
     assert sorted(map(str, (tuple(r) for r in got))) == sorted(map(str, want))
     kept = exact_dedup.keep_first(table)
     assert kept.columns == table.columns and kept.count() == len(groups)
+    clash = table.selectExpr("*", "'mine' AS _id", "doc_id AS _sha", "1 AS sha", "2 AS id", "3 AS row", "4 AS `a.b`")
+    kept = exact_dedup.keep_first(clash)
+    assert kept.columns == clash.columns and {(r["_id"], r["sha"], r["id"], r["row"]) for r in kept.collect()} == {("mine", 1, 2, 3)}
+    assert all(r["_sha"] == r["doc_id"] for r in kept.collect())
     assert exact_dedup.exact_dedup(table.limit(0)).count() == 0
 
 
@@ -71,6 +75,8 @@ def test_mixing(spark, n):
         taken[r["source"]] += r["taken"]
     assert all(abs(taken[s] - target[s]) <= 60 for s in size)
     assert sorted(map(str, mixing.mix(table.repartition(3)).collect())) == sorted(map(str, got))
+    clash = table.selectExpr("*", "doc_id AS _id", "7 AS _n", "8 AS _copy", "9 AS copy", "1 AS limit", "2 AS target", "'k' AS key", "3 AS row")
+    assert all(r["_id"] == r["doc_id"] and (r["_n"], r["_copy"], r["copy"], r["limit"], r["target"], r["key"], r["row"]) == (7, 8, 9, 1, 2, "k", 3) for r in mixing.mixed(clash).collect())
     mixed = mixing.mixed(table)
     assert mixed.columns == table.columns and Counter(r["doc_id"] for r in mixed.collect()) == sum((Counter({r["doc_id"]: r["copies"]}) for r in got if r["copies"]), Counter())
 
