@@ -55,6 +55,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder, bucketed by ``key`` as finely as it was split, and read it back: joins
+    by ``key`` then move the other side alone."""
+    spark, n = df.sparkSession, max(8, df.rdd.getNumPartitions())
+    table = f"{name}_{uuid.uuid4().hex}"
+    with shuffles_removed(spark):
+        df.repartition(n, key).write.format("parquet").bucketBy(n, key).option("path", shared_dir(spark, name)).saveAsTable(table)
+    return spark.table(table)
+
+
 def join_lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", salts: int = 32, rows: int | None = None) -> DataFrame:
     """Join to ``right``, which has one row per key, whatever the skew of ``left``.
 
