@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 #: A side of at most this many rows (of a few longs each, so some MB) may be broadcast.
 BROADCAST_ROWS = 200_000
+BATCH_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -118,8 +119,12 @@ def _shipped(application: str) -> None:
 
 
 def ship(spark: SparkSession) -> None:
-    """Before Python tasks: give the running application's tasks this package, wherever they run, once, as a zip."""
+    """Before Python tasks: give the running application's tasks this package, wherever they run, once, as a zip. Arrow
+    batches stay at BATCH_BYTES, which whole documents need and short rows do not feel, unless a smaller bound is set."""
     _shipped(spark.sparkContext.applicationId)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name).lower().rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(name, f"{BATCH_BYTES}b")
 
 
 def small(batches, rows: int = 1000):
