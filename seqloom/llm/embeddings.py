@@ -1,18 +1,21 @@
 """Near-duplicate vectors by Euclidean p-stable hashing, with exact cosine checks.
 
 Vectors are brought to length 1, so that a cosine of 0.9 is a distance of 0.447. A table hashes a vector by K quantised
-projections floor((a . v + b) / W), a normal and b uniform. K grows with the log of the number of vectors, so that a bucket
-holds about one stranger, and the number of tables follows from K so that a pair at the threshold is missed by all with
-a chance of MISS (closer pairs: far less). Every vector is in every table.
+projections floor((a . v + b) / W), a normal and b uniform. K grows with the log of the number of vectors, so that few
+strangers share a bucket, and the number of tables follows from K so that a pair at the threshold is missed by all with
+a chance of MISS (closer pairs: far less). Tables are at most TABLES: beyond some 10^5 vectors, buckets grow instead. Every
+vector is in every table.
 
-Buckets of several vectors are worked on in tasks: all cosines of a bucket in double precision, as one matrix product.
-A pair that collides in an earlier table too is left to that table, so each link is seen once and counts add up. No pairs
-leave a task: it reports links per vector and the components within the bucket. A bucket above BLOCK vectors is cut, and
-each pair of its parts is a task of its own. Copies of a vector are one node with a count.
+Vectors move to buckets of several alone. There, all cosines are taken in double precision, for all buckets of a batch at
+once, or as a matrix product in a large one. A pair that collides in an earlier table too is left to that table, so each
+link is seen once and counts add up. No pairs leave a task: it reports links per vector and the components within the
+bucket. A bucket above BLOCK vectors is cut, and each pair of its parts is a task of its own. Copies of a vector are one
+node with a count.
 
 Defined results: vectors that are null, empty or zero or hold null or non-finite components link with nothing, as do
-rows without a vec_id and vectors of different lengths; rows that repeat a vec_id and its vector count as copies; an empty
-table gives an empty result. Only vec_id (integral) and embedding are read.
+rows without a vec_id and vectors of different lengths; rows that repeat a vec_id count as vectors of their own, so that a
+repeated vector is a copy and another one under the same vec_id links by itself; an empty table gives an empty result. Only
+vec_id (integral) and embedding are read.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ from pyspark.sql import functions as F
 from seqloom.llm.common import components, ship, small, staged
 
 W, MISS, BLOCK = 2.0, 0.01, 2048
+#: Most tables; projections beyond those that leave one stranger a bucket; the largest bucket that is not a matrix product.
+TABLES, MORE, FEW = 160, 3, 32
 
 
 def chance(distance: float) -> float:
@@ -40,8 +45,11 @@ def chance(distance: float) -> float:
 
 def plan(n: int, cosine: float) -> tuple[int, int]:
     """Projections a table and tables, for n vectors."""
-    k = max(4, math.ceil(math.log(max(n, 2)) / -math.log(chance(math.sqrt(2)))))
-    return k, math.ceil(math.log(MISS) / math.log(1 - chance(math.sqrt(2 - 2 * cosine)) ** k))
+    tables = lambda k: math.ceil(math.log(MISS) / math.log(1 - chance(math.sqrt(2 - 2 * cosine)) ** k))
+    k = max(4, math.ceil(math.log(max(n, 2)) / -math.log(chance(math.sqrt(2))))) + MORE
+    while k > 4 and tables(k) > TABLES:
+        k -= 1
+    return k, tables(k)
 
 
 @functools.lru_cache(8)
@@ -61,39 +69,42 @@ def buckets(v: np.ndarray, k: int, tables: int) -> np.ndarray:
         return x ^ (x >> 29)
 
 
-def unit(data: list[bytes]) -> np.ndarray:
-    v = np.stack([np.frombuffer(x, "<f8") for x in data])
+def unit(data: list[bytes], kind: str) -> np.ndarray:
+    v = np.frombuffer(b"".join(data), kind).reshape(len(data), -1).astype("<f8")
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
-def read_vectors(table: DataFrame) -> DataFrame:
-    """vec_id, digest and data (null where the vector links with nothing)."""
+def read_vectors(table: DataFrame) -> tuple[DataFrame, str]:
+    """vec_id, digest and data (null where the vector links with nothing), and the numbers that data holds: those of the table
+    where they are 32-bit, else 64-bit ones scaled so that squares neither overflow nor vanish."""
+    kind = "<f4" if "float" in dict(table.dtypes)["embedding"] else "<f8"
+
     def run(batches):
         for b in small(batches):
             digests, data = [], []
-            for d, x in zip(b.column("vec_id").to_pylist(), b.column("embedding").to_pylist(), strict=True):
-                ok = d is not None and x and None not in x
-                v = np.array(x, "<f8") if ok else np.zeros(0)
-                # scaled so that squares neither overflow nor vanish
+            for d, x in zip(b.column("vec_id").to_pylist(), b.column("embedding"), strict=True):
+                ok = d is not None and x.is_valid and len(x.values) and not x.values.null_count
+                v = x.values.to_numpy(zero_copy_only=False).astype(kind) if ok else np.zeros(0)
                 top = np.abs(v).max(initial=0)
                 ok = ok and 0 < top < np.inf and np.isfinite(v).all()
-                raw = ((v / top) + 0.0).tobytes() if ok else None
+                raw = ((v if kind == "<f4" else v / top) + np.zeros(1, kind)).tobytes() if ok else None
                 digests.append(hashlib.sha256(raw).digest()[:16] if ok else None)
                 data.append(raw)
             yield pa.RecordBatch.from_arrays([b.column("vec_id"), pa.array(digests, pa.binary()), pa.array(data, pa.binary())], ["vec_id", "digest", "data"])
 
-    return table.select(F.col("vec_id").cast("long"), "embedding").mapInArrow(run, "vec_id long, digest binary, data binary")
+    numbers = table.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<float>" if kind == "<f4" else "array<double>").alias("embedding"))
+    return numbers.mapInArrow(run, "vec_id long, digest binary, data binary"), kind
 
 
 def near_duplicates(table: DataFrame, cosine: float = 0.9) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row."""
     spark = table.sparkSession
     ship(spark)
-    rows = staged(read_vectors(table), "vectors")
-    classes = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
-    classes = staged(classes, "vector-classes")
-    firsts = rows.join(classes, [rows.digest == classes.digest, rows.vec_id == classes.node]).select("node", "copies", "data")
-    vectors = staged(firsts.dropDuplicates(["node"]), "vector-nodes")
+    read, kind = read_vectors(table)
+    rows = staged(read, "vectors")
+    one = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.any_value("data").alias("data"))
+    vectors = staged(one.withColumn("node", F.monotonically_increasing_id()), "vector-nodes")
+    classes = vectors.drop("data")
     k, tables = plan(vectors.count(), cosine)
 
     def hashed(batches):
@@ -102,63 +113,112 @@ def near_duplicates(table: DataFrame, cosine: float = 0.9) -> DataFrame:
             sizes = np.array([len(x) for x in data])
             for size in np.unique(sizes):
                 at = np.flatnonzero(sizes == size)
-                x = buckets(unit([data[i] for i in at]), k, tables)
+                x = buckets(unit([data[i] for i in at], kind), k, tables)
                 yield pa.RecordBatch.from_arrays([pa.array(x.reshape(-1)), pa.array(np.tile(np.arange(tables, dtype=np.int32), len(at))), pa.array(np.repeat(node[at], tables))], ["bucket", "t", "node"])
 
     member = staged(vectors.mapInArrow(hashed, "bucket long, t int, node long"), "vector-buckets")
     full = member.groupBy("bucket", "t").agg(F.count("*").alias("m")).where("m > 1")
     parts = F.ceil(F.col("m") / BLOCK).cast("int")
-    met = member.join(full, ["bucket", "t"]).withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    met = met.join(vectors, "node").select("bucket", "t", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "copies", "data")
+    met = member.join(full.hint("merge"), ["bucket", "t"]).withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    met = met.join(vectors.hint("merge"), "node").select("bucket", "t", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "copies", "data")
     dealt = met.repartition("bucket", "t", "i", "j").sortWithinPartitions("bucket", "t", "i", "j")
+    names = ["bucket", "t", "i", "j"]
 
     def linked(batches):
         """Runs of equal (bucket, t, i, j) follow each other, also over the ends of batches."""
-        held: list[tuple] = []
-        for b in small(batches):
-            for r in zip(*(b.column(c).to_pylist() for c in ("bucket", "t", "i", "j", "part", "node", "copies", "data")), strict=True):
-                if held and held[-1][:4] != r[:4]:
-                    if out := _links(held, k, tables, cosine):
-                        yield out
-                    held = []
-                held.append(r)
-        if held and (out := _links(held, k, tables, cosine)):
-            yield out
+        held: list[pa.RecordBatch] = []
+        for b in batches:
+            if not b.num_rows:
+                continue
+            key = np.stack([b.column(c).to_numpy() for c in names])
+            other = np.flatnonzero((key != key[:, -1:]).any(0))
+            if len(other):
+                cut = int(other[-1]) + 1
+                yield from _links(pa.Table.from_batches([*held, b.slice(0, cut)]), kind, k, tables, cosine)
+                b, held = b.slice(cut), []
+            held.append(b)
+        if held:
+            yield from _links(pa.Table.from_batches(held), kind, k, tables, cosine)
 
     found = staged(dealt.mapInArrow(linked, "node long, links long, root long"), "vector-links")
     total = found.groupBy("node").agg(F.sum("links").alias("links"))
     label = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    per = classes.join(total, "node", "left").join(label, "node", "left")
-    place = staged(per.select("digest", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("component", "node").alias("c")), "vector-places")
+    per = classes.join(total, "node", "left").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = per.groupBy("component").agg(F.min("least").alias("c"))
+    place = staged(per.join(least, "component").select("digest", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n"), "c"), "vector-places")
     # copies of one vector can be a third of all rows: Spark splits them, as a place is one row
     out = rows.drop("data").join(place, "digest", "left")
     whole = F.coalesce("c", "vec_id")
     return out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), whole.alias("component_id"), F.coalesce(F.col("vec_id") == whole, F.lit(True)).alias("kept"))
 
 
-def _links(run: list[tuple], k: int, tables: int, cosine: float) -> pa.RecordBatch | None:
-    """What one task's part of a bucket has: a row per vector with links, its links by copies, and its least fellow."""
-    _, t, i, j = run[0][:4]
-    if len(run) < 2:
-        return None
-    part, node, copies = (np.array([r[c] for r in run]) for c in (4, 5, 6))
-    v = unit([r[7] for r in run])
-    near = v @ v.T >= cosine
-    near &= part[:, None] != part if i != j else True
-    np.fill_diagonal(near, False)
-    at = np.flatnonzero(near.any(1))
-    if not len(at):
-        return None
-    near, code = near[np.ix_(at, at)], buckets(v[at], k, tables)
-    for s in range(t):
-        near &= code[:, s][:, None] != code[:, s]
-    if not near.any():
-        return None
-    root = node[at]
+def _links(t: pa.Table, kind: str, k: int, tables: int, cosine: float):
+    """Of whole runs: a row per vector with links, its links by copies, and its least fellow."""
+    key = np.stack([t.column(c).to_numpy() for c in ("bucket", "t", "i", "j")])
+    start = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(0)]))
+    size = np.diff(np.append(start, len(t)))
+    part, node, copies = (t.column(c).to_numpy() for c in ("part", "node", "copies"))
+    data = t.column("data").to_pylist()
+    length = np.array([len(x) for x in data])
+    few = np.repeat(size <= FEW, size)
+    group = np.repeat(np.arange(len(size)), size)
+    for n in np.unique(length):  # vectors of one length do not share buckets with others
+        rows = np.flatnonzero(few & (length == n))
+        if len(rows):
+            pairs = []
+            v = unit([data[i] for i in rows], kind)
+            for d in range(1, FEW):
+                p = np.flatnonzero(group[rows[d:]] == group[rows[:-d]])
+                if not len(p):
+                    break
+                x, y = rows[p], rows[p + d]
+                p = p[(key[2][x] == key[3][x]) | (part[x] != part[y])]
+                p = p[np.einsum("ij,ij->i", v[p], v[p + d]) >= cosine]
+                pairs.append((p, p + d))
+            p, q = (np.concatenate([x[c] for x in pairs]) if pairs else np.zeros(0, np.int64) for c in (0, 1))
+            if len(p):
+                used, back = np.unique(np.concatenate([p, q]), return_inverse=True)
+                code = buckets(v[used], k, tables)
+                table = key[1][rows]
+                keep = np.ones(len(p), bool)
+                for at in range(0, len(p), 4096):
+                    keep[at : at + 4096] = _first(code, back[: len(p)][at : at + 4096], back[len(p) :][at : at + 4096], table[p[at : at + 4096]])
+                yield from _told(rows, p[keep], q[keep], node, copies)
+    for g in np.flatnonzero(size > FEW):
+        rows = np.arange(start[g], start[g] + size[g])
+        v = unit([data[i] for i in rows], kind) if (length[rows] == length[rows[0]]).all() else None
+        if v is None:
+            continue
+        near = v @ v.T >= cosine
+        if key[2, start[g]] != key[3, start[g]]:
+            near &= part[rows][:, None] != part[rows]
+        near = np.triu(near, 1)
+        at = np.flatnonzero(near.any(0) | near.any(1))
+        if len(at):
+            near, code = near[np.ix_(at, at)], buckets(v[at], k, tables)
+            for s in range(int(key[1, start[g]])):
+                near &= code[:, s][:, None] != code[:, s]
+            yield from _told(rows[at], *np.nonzero(near), node, copies)
+
+
+def _first(code: np.ndarray, p: np.ndarray, q: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Whether a pair shares no table before the one it was met in."""
+    return ~((code[p] == code[q]) & (np.arange(code.shape[1]) < table[:, None])).any(1)
+
+
+def _told(rows: np.ndarray, p: np.ndarray, q: np.ndarray, node: np.ndarray, copies: np.ndarray):
+    """What the links between rows[p] and rows[q] come to, per row."""
+    if not len(p):
+        return
+    mine = node[rows]
+    links = np.bincount(p, copies[rows[q]], len(rows)) + np.bincount(q, copies[rows[p]], len(rows))
+    root = mine.copy()
     while True:
-        new = np.minimum(root, np.where(near, root, np.iinfo(np.int64).max).min(1))
+        new = root.copy()
+        np.minimum.at(new, p, root[q])
+        np.minimum.at(new, q, root[p])
         if (new == root).all():
             break
         root = new
-    has = near.any(1)
-    return pa.RecordBatch.from_arrays([pa.array(node[at][has]), pa.array((near @ copies[at])[has]), pa.array(root[has])], ["node", "links", "root"])
+    has = links > 0
+    yield pa.RecordBatch.from_arrays([pa.array(mine[has]), pa.array(links[has].astype(np.int64)), pa.array(root[has])], ["node", "links", "root"])
