@@ -78,25 +78,6 @@ def group_scores(cover: DataFrame, groups: DataFrame) -> DataFrame:
     return best.groupBy("query", "group").agg(F.sum(F.col("density") * F.col("length")).alias("score"))
 
 
-def contest(cover: DataFrame, groups: DataFrame, target: str, lose: float = 0.99, rescue: float = 0.98) -> DataFrame:
-    """query, good, bad, rescued, best_group, removed: positions on which the target group is within ``lose`` of the best.
-
-    A losing position counts as rescued if the target is still within ``rescue`` of the best. A query is removed if over
-    half of its positions are bad, or the target's sum is below the best other group's."""
-    best = top_taxa(cover).join(groups, "taxon").groupBy("query", "start", "length", "group").agg(F.max("density").alias("density"))
-    wide = best.groupBy("query", "start", "length").agg(F.max("density").alias("all"), F.max(F.when(F.col("group") == target, F.col("density"))).alias("own"))
-    ratio = F.coalesce(F.col("own") / F.col("all"), F.lit(0.0))
-    counted = wide.select("query", "length", (ratio < rescue).alias("bad"), ((ratio >= rescue) & (ratio < lose)).alias("rescued"))
-    per = counted.groupBy("query").agg(
-        F.sum(F.when(~F.col("bad") & ~F.col("rescued"), F.col("length")).otherwise(0)).alias("good"),
-        F.sum(F.when(F.col("bad"), F.col("length")).otherwise(0)).alias("bad"), F.sum(F.when(F.col("rescued"), F.col("length")).otherwise(0)).alias("rescued"),
-    )
-    sums = group_scores(cover, groups)
-    lead = sums.groupBy("query").agg(F.max_by("group", F.struct(F.round("score", 9), F.col("group"))).alias("best_group"), F.max("score").alias("best"), F.max(F.when(F.col("group") == target, F.col("score"))).alias("own"))
-    removed = (F.col("bad") / (F.col("good") + F.col("bad") + F.col("rescued")) > 0.5) | (F.coalesce("own", F.lit(0.0)) < F.col("best") * (1 - 1e-12))
-    return per.join(lead, "query").select("query", "good", "bad", "rescued", "best_group", removed.alias("removed"))
-
-
 def radius_bits(best, attainable, protein: bool = False):
     """How many bits below the best score a taxon may lie and still count as a candidate, from the best score and what a
     perfect alignment would attain; null for scores of 1 and less, where the logs vanish.
@@ -108,19 +89,3 @@ def radius_bits(best, attainable, protein: bool = False):
     blur = -F.log(identity) / (F.log(best) * F.log10(best)) + floor
     radius = math.e / F.log10(best) * blur + -F.log10(identity) / F.log10(100 * blur) * blur
     return F.when(best > 1, radius * best)
-
-
-def pool(scores: DataFrame) -> DataFrame:
-    """query, group, taxon: the taxa of each group that stay candidates.
-
-    ``scores`` has query, group, taxon, overall, nuc, aa and the query's limits lower, lower_nuc, lower_aa. Of three tiers, a
-    group takes the first that is not empty: the best taxon by nuc or by aa and those above both limits whose protein
-    evidence does not speak against them; those above the overall limit without weak nuc; those above the overall limit."""
-    top = lambda c: F.row_number().over(Window.partitionBy("query", "group").orderBy(F.col(c).desc(), "taxon")) == 1
-    strong = (F.col("overall") > F.col("lower")) & (F.col("nuc") > F.col("lower_nuc")) & ~((F.col("aa") < F.col("lower_aa")) & (F.col("aa") > 200))
-    first = (top("nuc") & (F.col("nuc") > 0)) | (top("aa") & (F.col("aa") > 0)) | strong
-    second = (F.col("overall") > F.col("lower")) & ~(F.col("nuc") < F.col("lower_nuc"))
-    tier = F.when(first, 1).when(second, 2).when(F.col("overall") > F.col("lower"), 3)
-    placed = scores.withColumn("tier", tier).where("tier IS NOT NULL")
-    lowest = F.min("tier").over(Window.partitionBy("query", "group"))
-    return placed.withColumn("lowest", lowest).where("tier = lowest").select("query", "group", "taxon")

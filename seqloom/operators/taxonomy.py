@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from seqloom.plans.stages import stage
+
 # Taxon groups by their root.
 GROUPS = {10239: "virus", 28384: "others", 12884: "viroids", 12908: "unclassified", 131567: "cellularOrganisms"}
 ROOT, HOPS = 1, 100
@@ -16,10 +18,11 @@ def closure(taxonomy: DataFrame, hops: int = HOPS) -> DataFrame:
     Paths double in length each turn, so a tree of depth d takes log2(d) joins; paths above ``hops`` are left out.
     """
     edges = taxonomy.where(f"taxid <> {ROOT} AND parent <> {ROOT} AND parent <> taxid").select("taxid", F.col("parent").alias("ancestor"), F.lit(1).alias("hops"))
-    paths, length = edges, 1
+    # each turn's paths are written and read back, so that a plan scans each once, whatever the depth
+    paths, length = stage(edges), 1
     while length < hops:
         right = paths.select(F.col("taxid").alias("ancestor"), F.col("ancestor").alias("far"), F.col("hops").alias("more"))
-        longer = paths.where(F.col("hops") == length).join(right, "ancestor").select("taxid", F.col("far").alias("ancestor"), (F.col("hops") + F.col("more")).alias("hops"))
+        longer = stage(paths.where(F.col("hops") == length).join(right, "ancestor").select("taxid", F.col("far").alias("ancestor"), (F.col("hops") + F.col("more")).alias("hops")))
         if longer.isEmpty():
             break
         paths, length = paths.union(longer), 2 * length

@@ -245,16 +245,6 @@ def group_best_sum(spark, sf_dir):
     return H.group_scores(cover_of(spark, sf_dir), groups_of(spark, sf_dir)).select("query", "group", six("score"))
 
 
-@query(f"""WITH RECURSIVE {CLOSED}, {GROUP_SQL}, {COVER}, g AS (SELECT query, start, len, "group", max(density) AS density FROM best JOIN grp USING (taxon) GROUP BY ALL),
-    p AS (SELECT query, start, len, coalesce(max(CASE WHEN "group" = 'first' THEN density END) / max(density), 0) AS ratio FROM g GROUP BY query, start, len),
-    c AS (SELECT query, sum(CASE WHEN ratio >= 0.99 THEN len ELSE 0 END)::BIGINT AS good, sum(CASE WHEN ratio < 0.98 THEN len ELSE 0 END)::BIGINT AS bad, sum(CASE WHEN ratio >= 0.98 AND ratio < 0.99 THEN len ELSE 0 END)::BIGINT AS rescued FROM p GROUP BY query),
-    s AS (SELECT query, "group", sum(density * len) AS score FROM g GROUP BY ALL),
-    l AS (SELECT query, arg_max("group", (round(score, 9), "group")) AS best_group, max(score) AS best, max(CASE WHEN "group" = 'first' THEN score END) AS own FROM s GROUP BY query)
-    SELECT query, good, bad, rescued, best_group, (bad / (good + bad + rescued) > 0.5 OR coalesce(own, 0) < best * (1 - 1e-12)) AS removed FROM c JOIN l USING (query)""")
-def group_contest(spark, sf_dir):
-    return H.contest(cover_of(spark, sf_dir), groups_of(spark, sf_dir), "first")
-
-
 # taxonomy
 
 

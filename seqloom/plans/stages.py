@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def folder(spark: SparkSession) -> str:
-    """What ``spark.checkpoint.dir`` names; a temporary folder only where it is unset, as in tests."""
+    """What ``spark.checkpoint.dir`` names. Where it is unset, a local session gets a temporary folder; a cluster's machines would
+    not see each other's, so there it is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         root = tempfile.mkdtemp(prefix="seqloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

@@ -72,3 +72,30 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
 ALIGNMENTS = """alignments AS (
     SELECT l_orderkey AS read, l_suppkey AS reference, l_linenumber::BIGINT AS pos,
            round(l_discount * 100)::INT AS mismatch, l_quantity::BIGINT AS size FROM lineitem)"""
+
+
+def dual_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hits with kind, by the line's flag: NUC or AA."""
+    i = table(spark, sf_dir, "lineitem").withColumn("kind", F.when(F.col("l_returnflag") == "N", "NUC").otherwise("AA"))
+    return i.select(
+        F.col("l_orderkey").alias("query"), "kind", (F.col("l_suppkey") + 100_000).alias("taxon"), F.col("l_linenumber").cast("long").alias("qstart"),
+        (F.col("l_linenumber") + F.col("l_quantity") - 1).cast("long").alias("qend"), (F.col("l_extendedprice") / 1000).alias("bits"),
+        F.round(100 * (1 - F.col("l_discount")), 2).alias("pident"), (F.col("l_tax") * 2).alias("evalue"), F.col("l_partkey").alias("subject"),
+    )
+
+
+DUAL_HITS = """dhits AS (
+    SELECT l_orderkey AS query, CASE WHEN l_returnflag = 'N' THEN 'NUC' ELSE 'AA' END AS kind, l_suppkey + 100000 AS taxon, l_linenumber::BIGINT AS qstart,
+           (l_linenumber + l_quantity - 1)::BIGINT AS qend, l_extendedprice / 1000 AS bits,
+           round(100 * (1 - l_discount), 2) AS pident, l_tax * 2 AS evalue, l_partkey AS subject FROM lineitem)"""
+
+
+def scaffolds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """query, seq: for each order, letters from its key's digest, with some N and lower case."""
+    hexes = F.md5(F.col("o_orderkey").cast("string").cast("binary"))
+    size = (60 + F.floor("o_totalprice") % 37).cast("int")
+    seq = F.substring(F.translate(F.concat(hexes, hexes, hexes), "0123456789abcdef", "ACGTACGTACGTACNa"), F.lit(1), size)
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("query"), seq.alias("seq"))
+
+
+SCAFFOLDS = """scaf AS (SELECT o_orderkey AS query, substr(translate(repeat(md5(o_orderkey::VARCHAR), 3), '0123456789abcdef', 'ACGTACGTACGTACNa'), 1, (60 + floor(o_totalprice)::BIGINT % 37)::BIGINT) AS seq FROM orders)"""

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seqloom.operators import alignments as A
-from seqloom.operators import cover, hits, merge, pileup, taxonomy
+from seqloom.operators import cover, decide, hits, merge, pileup, taxonomy
 from seqloom.sources import flat_files
 
 
@@ -240,6 +240,60 @@ def test_radius_and_pool(spark):
     t = spark.createDataFrame([(1000, 1100), (1000, 1000), (1, 1)], "best int, most int").select(hits.radius_bits("best", "most"), hits.radius_bits("best", "most", True))
     got = [tuple(r) for r in t.collect()]
     assert got[0][0] == pytest.approx(58.32458, abs=1e-4) and got[1][0] == pytest.approx(55.43740, abs=1e-4) and got[2] == (None, None)
-    rows = [("q", "v", 1, 90.0, 90.0, 0.0), ("q", "v", 2, 80.0, 80.0, 0.0), ("q", "v", 3, 10.0, 10.0, 0.0), ("q", "w", 4, 60.0, 0.0, 0.0), ("q", "x", 5, 1.0, 0.0, 0.0)]
-    table = spark.createDataFrame([(*r, 50.0, 60.0 if r[1] == "v" else -1.0, 0.0) for r in rows], "query string, group string, taxon int, overall double, nuc double, aa double, lower double, lower_nuc double, lower_aa double")
-    assert sorted(r["taxon"] for r in hits.pool(table).collect()) == [1, 2, 4]
+    rows = [("q", "v", 1, 90.0, 90.0, 0.0), ("q", "v", 2, 80.0, 80.0, 0.0), ("q", "v", 3, 10.0, 10.0, 0.0), ("q", "w", 4, 55.0, 1.0, 0.0), ("q", "x", 5, 1.0, 1.0, 0.0), ("q", "s", 6, 95.0, 70.0, 9.0), ("q", "y", 7, 58.0, 0.0, 0.0)]
+    table = spark.createDataFrame(rows, "query string, group string, taxon int, overall double, nuc double, aa double")
+    bounds = spark.createDataFrame([("q", 50.0, 60.0, 0.0)], "query string, lower double, lower_nuc double, lower_aa double")
+    # 4 is above the overall limit alone, with weak nuc; 5 is alone in its group but no candidate; 6 is a suppressor's
+    assert sorted(r["taxon"] for r in decide.pool(table, bounds, ["s"]).collect()) == [1, 2, 4, 7]
+
+
+def contest_of(spark, hits_, groups, seq="ACGT" * 25):
+    table = spark.createDataFrame([("q", k, t, a, b, bits, i + 1) for i, (k, t, a, b, bits) in enumerate(hits_)], "query string, kind string, taxon int, qstart long, qend long, bits double, rn int")
+    scaffolds = spark.createDataFrame([("q", seq)], "query string, seq string")
+    named = spark.createDataFrame(list(groups.items()), "taxon int, group string")
+    ev = decide.evidence(decide.supported(decide.covered(table)))
+    return ev, named, scaffolds
+
+
+def test_contest_traced_by_hand(spark):
+    """100 letters; the virus has the first half, a suppressor is 1.5 % better on ten of these letters and cells 5 % better on ten."""
+    groups = {1: "virus", 2: "others", 3: "cells"}
+    rows = [("AA", 1, 1, 50, 50.0), ("AA", 2, 1, 10, 10.15), ("AA", 3, 11, 20, 10.5)]
+    ev, named, scaffolds = contest_of(spark, rows, groups)
+    got = decide.contest(ev, named, scaffolds, "virus", ["others"]).collect()[0]
+    assert (got["total"], got["bad"], got["lost"], got["rescued"], got["unaligned"], got["status"]) == (100, 10, 10, 10, 50, "KEPT")
+    power = lambda r: r**27 / 3
+    virus = 10 * power(1 / 1.015) + 10 * power(1 / 1.05) + 30 * power(1)
+    mean = (virus + 10 * power(1) + 10 * power(1)) / 50
+    assert got["own_rep"] == pytest.approx((math.log10(virus) * 50 + mean * 50) / 100) and got["best_group"] == "virus"
+    stats = {r["group"]: tuple(r)[2:] for r in decide.rescue_stats(ev, named, scaffolds, "virus", ["others"]).collect()}
+    assert stats["others"] == (10, pytest.approx(1 / 1.015)) and stats["cells"] == (10, pytest.approx(1 / 1.05))
+    # nothing of the target: filtered, whatever else is there
+    ev, named, scaffolds = contest_of(spark, [("NUC", 3, 1, 100, 100.0)], groups)
+    got = decide.contest(ev, named, scaffolds, "virus", ["others"]).collect()[0]
+    assert (got["bad"], got["status"], got["best_group"]) == (100, "FILTERED", "cells")
+
+
+def test_evidence_of_both_kinds(spark):
+    """A nucleotide hit at .95 of the top counts .857375 beside protein hits, .083448 without."""
+    rows = [("NUC", 1, 1, 20, 20.0), ("NUC", 2, 1, 20, 19.0), ("AA", 1, 1, 10, 10.0)]
+    ev, _, _ = contest_of(spark, rows, {1: "virus", 2: "others"})
+    got = {(r["start"], r["kind"], r["taxon"]): r["rep"] for r in ev.collect()}
+    assert got[1, "NUC", 2] == pytest.approx(0.857375) and got[11, "NUC", 2] == pytest.approx(0.083448, abs=1e-6) and got[1, "AA", 1] == pytest.approx(1 / 3)
+    both = sorted(tuple(r)[1:] for r in decide.both_kinds(decide.supported(decide.covered(spark.createDataFrame([("q", *r, i) for i, r in enumerate(rows)], "query string, kind string, taxon int, qstart long, qend long, bits double, rn int")))).collect())
+    assert both == [(1, 10, 1.0, 1, 1.0, 2), (11, 10, None, None, 1.0, 2)]
+
+
+def test_radius_has_a_least_width(spark):
+    tops = spark.createDataFrame([("a", 30.0, 10.0, 20.0, 40.0, 12.0, 25.0), ("b", 1000.0, 0.0, 1000.0, 1100.0, 0.0, 1100.0)], "query string, top double, top_aa double, top_nuc double, self_all double, self_aa double, self_nuc double")
+    got = {r["query"]: r for r in decide.limits(tops).collect()}
+    assert got["a"]["radius"] == 50 and got["a"]["lower_nuc"] == pytest.approx(20 - 50 * 2 / 3) and got["a"]["lower_aa"] == pytest.approx(10 - 50 / 3)
+    assert got["b"]["radius"] == pytest.approx(58.32458, abs=1e-4)
+
+
+def test_closure_scans_each_turn_once(spark):
+    depth = 40
+    tree = spark.createDataFrame([(1, 1)] + [(i, i - 1) for i in range(2, depth + 2)], "taxid long, parent long")
+    closed = taxonomy.closure(tree)
+    assert closed.count() == depth * (depth + 1) // 2
+    assert closed._jdf.queryExecution().executedPlan().toString().count("Scan") <= 12
