@@ -193,14 +193,15 @@ def pool(scored: DataFrame, bounds: DataFrame, suppressors: list[str] = ()) -> D
 
 
 def pool_weights(candidates: DataFrame, ev: DataFrame, tops: DataFrame, lettered: DataFrame) -> DataFrame:
-    """query, taxon, rep: candidates' representation by the letters of the scaffold, scaled by the accuracy of each kind."""
+    """query, taxon, rep: candidates' representation by the letters of the scaffold, scaled by the accuracy of each kind (to nine
+    places, as a perfect one is a case of its own)."""
     of = lambda k: F.sum(F.when(F.col("kind") == k, F.col("rep") * F.col("length")).otherwise(0.0))
     raw = ev.groupBy("query", "taxon").agg(of("AA").alias("aa_"), of("NUC").alias("nuc_"))
     rows = candidates.join(raw, ["query", "taxon"]).join(tops.drop("top"), "query").join(lettered.select("query", "total"), "query")
     rows = rows.withColumns({"rep_aa": F.col("aa_") / F.col("total"), "rep_nuc": F.col("nuc_") / F.col("total")})
     least = lambda c: F.least(F.lit(1.0), F.coalesce(F.min(F.when(F.col(c) > 0, F.col(c))).over(Window.partitionBy("query")), F.lit(1.0)))
     identity = (2 * F.try_divide("top_nuc", "self_nuc") + 3) / 5
-    rows = rows.withColumns({"low_aa": least("rep_aa"), "low_nuc": least("rep_nuc"), "acc_aa": F.coalesce(F.try_divide("top_aa", "self_aa"), F.lit(0.0)), "acc_nuc": F.when(F.col("top_nuc") > 0, identity).otherwise(0.0)})
+    rows = rows.withColumns({"low_aa": least("rep_aa"), "low_nuc": least("rep_nuc"), "acc_aa": F.round(F.coalesce(F.try_divide("top_aa", "self_aa"), F.lit(0.0)), 9), "acc_nuc": F.round(F.when(F.col("top_nuc") > 0, identity).otherwise(0.0), 9)})
     return rows.select("query", "taxon", (S.scale_accuracy("rep_aa", "low_aa", "acc_aa") + S.scale_accuracy("rep_nuc", "low_nuc", "acc_nuc")).alias("rep"))
 
 

@@ -159,7 +159,7 @@ def candidate_pool(spark, sf_dir):
 
 @query(f"""{FULL}, {LIMITS}, {POOL}, {LETTERS},
     raw AS (SELECT query, taxon, sum(CASE WHEN kind = 'AA' THEN rep * len ELSE 0 END) AS aa_, sum(CASE WHEN kind = 'NUC' THEN rep * len ELSE 0 END) AS nuc_ FROM ev GROUP BY ALL),
-    rs AS (SELECT query, taxon, aa_ / total AS ra, nuc_ / total AS rn, top_aa / nullif(self_aa, 0) AS acc_aa, CASE WHEN top_nuc > 0 THEN (2 * top_nuc / self_nuc + 3) / 5 ELSE 0 END AS acc_nuc
+    rs AS (SELECT query, taxon, aa_ / total AS ra, nuc_ / total AS rn, round(top_aa / nullif(self_aa, 0), 9) AS acc_aa, round(CASE WHEN top_nuc > 0 THEN (2 * top_nuc / self_nuc + 3) / 5 ELSE 0 END, 9) AS acc_nuc
            FROM pool JOIN raw USING (query, taxon) JOIN tops USING (query) JOIN lt USING (query)),
     rl AS (SELECT *, least(1, coalesce(min(CASE WHEN ra > 0 THEN ra END) OVER (PARTITION BY query), 1)) AS la, least(1, coalesce(min(CASE WHEN rn > 0 THEN rn END) OVER (PARTITION BY query), 1)) AS ln_, coalesce(acc_aa, 0) AS aa FROM rs)
     SELECT query, taxon, {rounded("rep / sum(rep) OVER (PARTITION BY query)", 'share')} FROM (SELECT query, taxon, CASE WHEN aa = 1 OR ra = 0 THEN ra ELSE pow(ra / la, pow(aa, 10)) END + CASE WHEN acc_nuc = 1 OR rn = 0 THEN rn ELSE pow(rn / ln_, pow(acc_nuc, 10)) END AS rep FROM rl)""")
