@@ -81,12 +81,14 @@ def shingles(h: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.
     return out[inside], np.concatenate([[0], np.cumsum(n)])
 
 
-def compact(values: np.ndarray, at: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def compact(values: np.ndarray, at: np.ndarray, least: int, apart: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The compact windows (text, left, c, right) of at least ``least`` values (0 counts as 1): nodes of each text's Cartesian tree that
     are wide enough, the leftmost of equal values on top.
 
     Such a node is the least of half a window to one side at least; the nearest smaller values of one that is are such
-    nodes or a text's end, so that bounds are found among these few alone, by pointers that jump over larger values."""
+    nodes or a text's end, so that bounds are found among these few alone, by pointers that jump over larger values.
+
+    Of equal leasts less than ``apart`` places after each other, the first's window holds the others' and stands for them."""
     owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
     z = np.zeros(len(values) + len(at), np.uint64)  # a zero before each text and after the last
     z[np.arange(len(values)) + owner + 1] = np.maximum(values, np.uint64(1))
@@ -115,7 +117,8 @@ def compact(values: np.ndarray, at: np.ndarray, least: int) -> tuple[np.ndarray,
             to[todo] = to[j]
         bounds.append(spot[np.clip(to, 0, len(spot) - 1)])
     left, right = bounds[0] + 1, bounds[1] - 1
-    wide = np.flatnonzero((v > 0) & (right - left + 1 >= least))
+    again = (z[left - 1] == v) & (spot - left + 1 < apart)
+    wide = np.flatnonzero((v > 0) & (right - left + 1 >= least) & ~again)
     c = spot[wide]
     text = owner[c - 1 - np.searchsorted(at[1:] + np.arange(1, len(at)), c, "right")] if len(wide) else wide
     begin = at[text] + text + 1
