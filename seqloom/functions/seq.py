@@ -10,13 +10,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The genetic code, stops as *.
-CODONS = (
-    "TTT F TTC F TTA L TTG L CTT L CTC L CTA L CTG L ATT I ATC I ATA I ATG M GTT V GTC V GTA V GTG V "
-    "TCT S TCC S TCA S TCG S CCT P CCC P CCA P CCG P ACT T ACC T ACA T ACG T GCT A GCC A GCA A GCG A "
-    "TAT Y TAC Y TAA * TAG * CAT H CAC H CAA Q CAG Q AAT N AAC N AAA K AAG K GAT D GAC D GAA E GAG E "
-    "TGT C TGC C TGA * TGG W CGT R CGC R CGA R CGG R AGT S AGC S AGA R AGG R GGT G GGC G GGA G GGG G"
-)
-CODON_TABLE = dict(zip(CODONS.split()[::2], CODONS.split()[1::2], strict=True))
+CODON_TABLE = {
+    "TTT": "F", "TTC": "F", "TTA": "L", "TTG": "L", "CTT": "L", "CTC": "L", "CTA": "L", "CTG": "L",
+    "ATT": "I", "ATC": "I", "ATA": "I", "ATG": "M", "GTT": "V", "GTC": "V", "GTA": "V", "GTG": "V",
+    "TCT": "S", "TCC": "S", "TCA": "S", "TCG": "S", "CCT": "P", "CCC": "P", "CCA": "P", "CCG": "P",
+    "ACT": "T", "ACC": "T", "ACA": "T", "ACG": "T", "GCT": "A", "GCC": "A", "GCA": "A", "GCG": "A",
+    "TAT": "Y", "TAC": "Y", "TAA": "*", "TAG": "*", "CAT": "H", "CAC": "H", "CAA": "Q", "CAG": "Q",
+    "AAT": "N", "AAC": "N", "AAA": "K", "AAG": "K", "GAT": "D", "GAC": "D", "GAA": "E", "GAG": "E",
+    "TGT": "C", "TGC": "C", "TGA": "*", "TGG": "W", "CGT": "R", "CGC": "R", "CGA": "R", "CGG": "R",
+    "AGT": "S", "AGC": "S", "AGA": "R", "AGG": "R", "GGT": "G", "GGC": "G", "GGA": "G", "GGG": "G",
+}
 # The BLOSUM62 diagonal, a stop scores 1.
 BLOSUM_SELF = {"A": 4, "R": 5, "N": 6, "D": 6, "C": 9, "Q": 5, "E": 5, "G": 6, "H": 8, "I": 4, "L": 4, "K": 5, "M": 5, "F": 6, "P": 7, "S": 4, "T": 5, "W": 11, "Y": 7, "V": 4, "*": 1}
 # Lambda and K of the two scoring systems, and the attainable bits a base.
@@ -86,20 +89,26 @@ def codons(seq) -> Column:
     return F.regexp_extract_all(col(seq), F.lit("(...)"), F.lit(1))
 
 
-def _lookup(table: dict, default) -> Column:
-    pairs = [F.lit(x) for kv in table.items() for x in kv]
-    return lambda c: F.coalesce(F.create_map(*pairs)[c], F.lit(default))
+def _place(codon) -> Column:
+    """A codon's place among the 64 in order of ACGT, from 1; null where it is not of ACGT."""
+    digits = F.translate(codon, "ACGT", "0123")
+    return F.when(digits.rlike("^[0-3]{3}$"), F.conv(digits, 4, 10).cast("int") + 1)
+
+
+def _by_codon(value) -> list:
+    return [value(CODON_TABLE[a + b + c]) for a in "ACGT" for b in "ACGT" for c in "ACGT"]
 
 
 def translate_codons(seq) -> Column:
     """Amino acids of the codons; X where a codon is not of ACGT."""
-    return F.array_join(F.transform(codons(seq), _lookup(CODON_TABLE, "X")), "")
+    acids = "".join(_by_codon(str))
+    return F.array_join(F.transform(codons(seq), lambda c: F.coalesce(F.substring(F.lit(acids), _place(c), F.lit(1)), F.lit("X"))), "")
 
 
 def protein_self_score(seq) -> Column:
     """Sum of BLOSUM62 self scores over the codons; -1 for an unknown codon."""
-    score = _lookup({c: BLOSUM_SELF[a] for c, a in CODON_TABLE.items()}, -1)
-    return F.aggregate(codons(seq), F.lit(0), lambda acc, c: acc + score(c))
+    scores = F.array(*[F.lit(v) for v in _by_codon(BLOSUM_SELF.get)])
+    return F.aggregate(codons(seq), F.lit(0), lambda acc, c: acc + F.coalesce(F.get(scores, _place(c) - 1), F.lit(-1)))
 
 
 def nucleotide_self_score(seq) -> Column:
@@ -182,3 +191,44 @@ def kmers(seq, k: int, step: int = 1) -> Column:
     whole = F.regexp_extract_all(col(seq), F.lit(f"(?=(.{{{k}}}))."), F.lit(1))
     words = F.slice(whole, F.lit(1), F.greatest(F.size(whole) - 1, F.lit(0)))
     return words if step == 1 else F.filter(words, lambda _, i: i % step == 0)
+
+
+def location_ranges(location) -> Column:
+    """A record's location, such as complement(join(3..20,<40..>99)), as an array of (start, stop, reverse) in the order of
+    the sequence. A single position is a range of one; marks of open ends are left out."""
+    pattern = F.lit(r"<?(\d+)(?:\.\.>?(\d+))?")
+    starts = F.regexp_extract_all(col(location), pattern, F.lit(1))
+    stops = F.regexp_extract_all(col(location), pattern, F.lit(2))
+    back = col(location).contains("complement")
+    return F.transform(F.arrays_zip(starts.alias("a"), stops.alias("b")), lambda r: F.struct(r["a"].cast("long").alias("start"), F.coalesce(F.nullif(r["b"], F.lit("")), r["a"]).cast("long").alias("stop"), back.alias("reverse")))
+
+
+def shifted_ranges(ranges, codon_start) -> Column:
+    """Ranges whose first codon begins at ``codon_start`` (from 1): the reading start moves into the first range, or, on the
+    other strand, out of the last."""
+    shift, last = (col(codon_start) - 1).cast("long"), F.size(col(ranges)) - 1
+    ahead = lambda r, i: F.when(~r["reverse"] & (i == 0), shift).otherwise(F.lit(0))
+    behind = lambda r, i: F.when(r["reverse"] & (i == last), shift).otherwise(F.lit(0))
+    return F.transform(col(ranges), lambda r, i: F.struct((r["start"] + ahead(r, i)).alias("start"), (r["stop"] - behind(r, i)).alias("stop"), r["reverse"].alias("reverse")))
+
+
+def with_gap(seq, offset, n) -> Column:
+    """n letters N put in before letter number ``offset`` (from 0)."""
+    return F.concat(F.substring(col(seq), F.lit(1), col(offset).cast("int")), F.repeat(F.lit("N"), col(n).cast("int")), F.substr(col(seq), (col(offset) + 1).cast("int")))
+
+
+def damerau_distance(a: str, b: str) -> int:
+    """Insertions, deletions, changes and swaps of neighbours that lead from a to b; what was swapped may be edited again."""
+    seen: dict[str, int] = {}
+    far = len(a) + len(b)
+    rows = [[far] * (len(b) + 2), [far, *range(len(b) + 1)]]
+    for i, x in enumerate(a, 1):
+        row, match = [far, i] + [0] * len(b), 0
+        for j, y in enumerate(b, 1):
+            k, m = seen.get(y, 0), match
+            if x == y:
+                match = j
+            row[j + 1] = min(rows[i][j] + (x != y), row[j] + 1, rows[i][j + 1] + 1, rows[k][m] + i - k - 1 + 1 + j - m - 1)
+        rows.append(row)
+        seen[x] = i
+    return rows[-1][-1]

@@ -1,4 +1,8 @@
-"""Pileup of aligned reads: votes by CIGAR step, rebuilt sequences and abundance."""
+"""Pileup of aligned reads: votes by CIGAR step, rebuilt sequences and abundance.
+
+Alignments have reference, pos (from 1), cigar, seq and size; scaffolds have reference and seq. Scaffolds named contig… keep
+their case as it is; on others, what lies within ``pad`` letters of an end, or beyond one, is lower case.
+"""
 
 from __future__ import annotations
 
@@ -7,51 +11,99 @@ from pyspark.sql import functions as F
 
 from seqloom.functions import seq as S
 
+#: A deletion of more than this share of the matches parts a read; reads match over half of their letters; deletions
+#: of more than this share of a read's letters do not vote.
+PARTS, LEAST_MATCH, MOST_DELETED = 0.5, 0.5, 0.2
+
+
+def clipped(steps):
+    """CIGAR steps with hidden: of a read whose largest deletion is over half of its matches, only the side of more matches
+    shows; without a heavier side, nothing does."""
+    total = lambda xs, op: F.aggregate(xs, F.lit(0), lambda a, s: a + F.when(s["op"] == op, s["n"]).otherwise(0))
+    largest = F.coalesce(F.array_max(F.transform(F.filter(steps, lambda s: s["op"] == "D"), lambda s: s["n"])), F.lit(0))
+    at = F.array_position(F.transform(steps, lambda s: (s["op"] == "D") & (s["n"] == largest)), True).cast("int")
+    left, right = total(F.slice(steps, 1, F.greatest(at - 1, F.lit(0))), "M"), total(F.slice(steps, at + 1, F.size(steps)), "M")
+    parted = largest > PARTS * total(steps, "M")
+    lighter = lambda i: ((left > right) & (i > at - 1)) | ((right > left) & (i < at - 1)) | (left == right) | (i == at - 1)
+    return F.transform(steps, lambda s, i: F.struct(s["op"].alias("op"), s["n"].alias("n"), (parted & lighter(i)).alias("hidden")))
+
 
 def steps(alignments: DataFrame) -> DataFrame:
-    """Every CIGAR step of (id, reference, pos, cigar, seq, size), with where it begins: at (on the reference, from 1) and
-    off (in the read, from 0). Reads that match over less than half of their letters are left out; deletions of reads
-    that lose over a fifth do not vote."""
-    each = F.transform(S.cigar_steps("cigar"), lambda s: s)
-    total = lambda ops: F.aggregate("steps", F.lit(0), lambda a, s: a + F.when(s["op"].isin(*ops), s["n"]).otherwise(0))
-    rows = alignments.withColumn("steps", each).withColumns({"matched": total("M=X"), "lost": total("D")})
-    rows = rows.where(2 * F.col("matched") >= F.length("seq"))
-    flat = rows.select("id", "reference", "pos", "seq", "size", (5 * F.col("lost") > F.col("matched")).alias("holed"), F.posexplode("steps").alias("k", "step")).select("*", "step.op", "step.n").drop("step")
-    before = Window.partitionBy("id").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
-    moved = lambda ops: F.coalesce(F.sum(F.when(F.col("op").isin(*ops), F.col("n")).otherwise(0)).over(before), F.lit(0))
-    return flat.withColumns({"at": F.col("pos") + moved("M=XDN"), "off": moved("M=XIS").cast("int")})
-
-
-def votes(alignments: DataFrame) -> DataFrame:
-    """reference, pos, base, votes; a deletion is D."""
-    s = steps(alignments)
-    i = F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i")
-    match = s.where(F.col("op").isin("M", "=", "X")).select("reference", "at", "seq", "off", "size", i).select("reference", (F.col("at") + F.col("i")).alias("pos"), F.substring("seq", F.col("off") + F.col("i") + 1, F.lit(1)).alias("base"), "size")
-    holes = s.where("op = 'D' AND NOT holed").select("reference", "at", "size", i).select("reference", (F.col("at") + F.col("i")).alias("pos"), F.lit("D").alias("base"), "size")
-    return match.union(holes).groupBy("reference", "pos", "base").agg(F.sum("size").alias("votes"))
-
-
-def insertions(alignments: DataFrame) -> DataFrame:
-    """reference, pos (the base before), letters, votes."""
-    s = steps(alignments).where("op = 'I'")
-    return s.select("reference", (F.col("at") - 1).alias("pos"), F.substring("seq", F.col("off") + 1, F.col("n")).alias("letters"), "size").groupBy("reference", "pos", "letters").agg(F.sum("size").alias("votes"))
-
-
-def rebuilt(alignments: DataFrame, scaffolds: DataFrame) -> DataFrame:
-    """reference, seq, length: each position of a scaffold (reference, seq) by its votes. Ties are n, deletions that win
-    fall out, positions without reads keep the scaffold's letter, insertions that beat staying come after their base, and
-    what was lower case stays so. Scaffolds without reads are left out."""
-    v = votes(alignments)
-    ins = insertions(alignments)
-    top = v.groupBy("reference", "pos").agg(F.max("votes").alias("top"), F.sum("votes").alias("all"))
-    tops = v.join(top, ["reference", "pos"]).where("votes = top").groupBy("reference", "pos").agg(F.max("base").alias("base"), F.count("*").alias("ties"), F.max("top").alias("top"), F.max("all").alias("all"))
-    most = ins.groupBy("reference", "pos").agg(F.max("votes").alias("ins"))
-    best = ins.join(most, ["reference", "pos"]).where("votes = ins").groupBy("reference", "pos").agg(F.max("letters").alias("letters"), F.count("*").alias("same"), F.max("ins").alias("ins"))
-    letters = scaffolds.join(v.select("reference").distinct(), "reference", "left_semi").select("reference", F.posexplode(F.split("seq", "")).alias("i", "old")).withColumn("pos", (F.col("i") + 1).cast("long")).drop("i")
-    joined = letters.join(tops.withColumn("pos", F.col("pos").cast("long")), ["reference", "pos"], "left").join(best.withColumn("pos", F.col("pos").cast("long")), ["reference", "pos"], "left")
-    told = F.when(F.col("ties").isNull(), F.col("old")).when(F.col("ties") > 1, "n").when(F.col("base") == "D", "").otherwise(F.when(F.lower("old") == F.col("old"), F.lower("base")).otherwise(F.col("base")))
-    more = F.when(F.col("ins") >= F.coalesce(F.col("top"), F.lit(0)) - F.col("ins"), F.when(F.col("same") > 1, F.repeat(F.lit("n"), F.length("letters"))).otherwise(F.col("letters"))).otherwise("")
-    lists = joined.groupBy("reference").agg(F.array_sort(F.collect_list(F.struct("pos", F.concat(told, F.coalesce(more, F.lit(""))).alias("part")))).alias("l"))
+    """Every CIGAR step that shows, with where it begins: at (on the reference, from 1) and off (in the read, from 0). A soft
+    clip at the beginning lies before the alignment's position."""
+    rows = alignments.withColumn("steps", S.cigar_steps("cigar")).withColumn("steps", clipped("steps"))
+    shown = lambda op: F.aggregate("steps", F.lit(0), lambda a, s: a + F.when((s["op"] == op) & ~s["hidden"], s["n"]).otherwise(0))
+    rows = rows.where(shown("M") >= LEAST_MATCH * F.length("seq")).withColumn("holed", shown("D") > MOST_DELETED * F.length("seq"))
+    head = F.when(F.col("steps")[0]["op"] == "S", F.col("steps")[0]["n"]).otherwise(0)
+    rows = rows.withColumns({"row": F.monotonically_increasing_id(), "begin": F.col("pos") - head})
+    flat = rows.select("row", "reference", "begin", "seq", "size", "holed", F.posexplode("steps").alias("k", "s")).select("*", "s.*").drop("s")
+    before = Window.partitionBy("row").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
+    moved = lambda *ops: F.coalesce(F.sum(F.when(F.col("op").isin(*ops), F.col("n")).otherwise(0)).over(before), F.lit(0))
+    placed = flat.withColumns({"at": F.col("begin") + moved("M", "D", "S"), "off": moved("M", "I", "S").cast("int")})
+    return placed.where("NOT hidden").drop("begin", "k", "hidden")
+
+
+def ends(scaffolds: DataFrame, pad: int) -> DataFrame:
+    """reference, first and last position whose letters keep their case."""
+    contig = F.col("reference").cast("string").startswith("contig")
+    return scaffolds.select("reference", F.when(contig, F.lit(-(1 << 31))).otherwise(pad + 1).alias("first"), F.when(contig, F.lit(1 << 31)).otherwise(F.length("seq") + 1 - pad).alias("last"))
+
+
+def votes(alignments: DataFrame, scaffolds: DataFrame, pad: int = 0) -> DataFrame:
+    """reference, pos, base, votes. A deletion is D; a soft-clipped letter is S.x, but before the first position a letter
+    like any other."""
+    s = steps(alignments).where("op IN ('M', 'S') OR (op = 'D' AND NOT holed)").join(ends(scaffolds, pad), "reference")
+    each = s.select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i")).withColumn("pos", (F.col("at") + F.col("i")).cast("long"))
+    plain = F.substring("seq", F.col("off") + F.col("i") + 1, F.lit(1))
+    letter = F.when((F.col("pos") < F.col("first")) | (F.col("pos") > F.col("last")), F.lower(plain)).otherwise(plain)
+    base = F.when(F.col("op") == "D", "D").when((F.col("op") == "M") | (F.col("pos") < F.col("first")), letter).when(F.col("pos") >= 1, F.concat(F.lit("S."), letter))
+    return each.select("reference", "pos", base.alias("base"), "size").where("base IS NOT NULL").groupBy("reference", "pos", "base").agg(F.sum("size").alias("votes"))
+
+
+def insertions(alignments: DataFrame, scaffolds: DataFrame, pad: int = 0) -> DataFrame:
+    """reference, pos (the base behind), letters, votes; insertions at a read's end do not count."""
+    s = steps(alignments).where("op = 'I' AND off + n < length(seq)").join(ends(scaffolds, pad), "reference")
+    plain = F.substring("seq", F.col("off") + 1, F.col("n"))
+    letters = F.when((F.col("at") < F.col("first")) | (F.col("at") > F.col("last")), F.lower(plain)).otherwise(plain)
+    return s.select("reference", F.col("at").cast("long").alias("pos"), letters.alias("letters"), "size").groupBy("reference", "pos", "letters").agg(F.sum("size").alias("votes"))
+
+
+def called(voted: DataFrame) -> DataFrame:
+    """reference, pos, base, top, ties: the most votes at each position. Soft-clipped letters count where nothing else is."""
+    soft = F.col("base").startswith("S.")
+    alone = F.min(soft.cast("int")).over(Window.partitionBy("reference", "pos")) == 1
+    usable = voted.withColumn("alone", alone).where(~soft | F.col("alone")).withColumn("base", F.when(soft, F.expr("substring(base, 3)")).otherwise(F.col("base")))
+    top = usable.withColumn("top", F.max("votes").over(Window.partitionBy("reference", "pos"))).where("votes = top")
+    return top.groupBy("reference", "pos").agg(F.max("base").alias("base"), F.max("top").alias("top"), F.count("*").alias("ties"))
+
+
+def rebuilt(alignments: DataFrame, scaffolds: DataFrame, pad: int = 0) -> DataFrame:
+    """reference, seq, length: from the first position with votes to the last, each by its votes. Ties are n, deletions that
+    win fall out, positions without votes are N (n where the scaffold has n). An insertion of as many votes as are left
+    for the base, less those of all insertions, comes before it; several of as many votes are n. What the scaffold has
+    in lower case, or does not have, is lower case. Scaffolds without reads are left out."""
+    tops = called(votes(alignments, scaffolds, pad))
+    ins = insertions(alignments, scaffolds, pad)
+    here = Window.partitionBy("reference", "pos")
+    most = ins.withColumns({"most": F.max("votes").over(here), "all": F.sum("votes").over(here)}).where("votes = most")
+    best = most.groupBy("reference", "pos").agg(F.max("letters").alias("letters"), F.count("*").alias("same"), F.max("most").alias("most"), F.max("all").alias("all"))
+    spots = tops.join(best, ["reference", "pos"], "full")
+    after = F.lead("pos").over(Window.partitionBy("reference").orderBy("pos"))
+    rows = spots.withColumn("gap", F.coalesce(after - F.col("pos") - 1, F.lit(0))).join(scaffolds.withColumnRenamed("seq", "old"), "reference")
+    inside = (F.col("pos") >= 1) & (F.col("pos") <= F.length("old"))
+    was = F.when(inside, F.substring("old", F.col("pos").cast("int"), F.lit(1))).when(F.col("pos") == 0, "a")
+    contig = F.col("reference").cast("string").startswith("contig")
+    low = ~contig & F.coalesce(was.rlike("[acgt]"), F.lit(False))
+    more = F.when(F.col("most").isNotNull() & (F.col("top").isNull() | (F.col("most") >= F.col("top") - F.col("all"))), F.when(F.col("same") > 1, F.repeat(F.lit("n"), F.length("letters"))).otherwise(F.col("letters"))).otherwise("")
+    told = F.when(F.col("top").isNull() | ((F.col("base") == "D") & (F.col("ties") == 1)), "").when(F.col("ties") > 1, "n").when(low | was.isNull(), F.lower("base")).otherwise(F.col("base"))
+    # positions up to the next with votes: N, or n where the scaffold has n
+    begin = (F.col("pos") + 1).cast("int")
+    seen = F.when(begin >= 1, F.substr(F.col("old"), begin, F.col("gap").cast("int"))).otherwise(F.substr(F.col("old"), F.lit(1), F.greatest(F.col("gap") + begin - 1, F.lit(0)).cast("int")))
+    kept = F.when(contig, F.regexp_replace(seen, ".", "N")).otherwise(F.regexp_replace(seen, "[^n]", "N"))
+    lead = F.repeat(F.lit("N"), F.when(begin < 1, F.least(F.col("gap"), 1 - begin)).otherwise(0).cast("int"))
+    blank = F.rpad(F.concat(lead, F.coalesce(kept, F.lit(""))), F.col("gap").cast("int"), F.lit("N"))
+    part = F.concat(F.when(low, F.lower(more)).otherwise(more), told, F.when(F.col("gap") > 0, blank).otherwise(""))
+    lists = rows.select("reference", "pos", part.alias("part")).groupBy("reference").agg(F.array_sort(F.collect_list(F.struct("pos", "part"))).alias("l"))
     out = lists.select("reference", F.array_join(F.transform("l", lambda x: x["part"]), "").alias("seq"))
     return out.withColumn("length", F.length("seq"))
 

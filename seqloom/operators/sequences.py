@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqloom.functions import seq as S
 
 LEAST = 50
+WORDS = [a + b + c for a in "ACGT" for b in "ACGT" for c in "ACGT"]
 
 
 def dereplicate(seqs: DataFrame) -> DataFrame:
@@ -33,23 +34,44 @@ def both_strands(seqs: DataFrame) -> DataFrame:
     return seqs.select(F.inline(rows))
 
 
+def _threes(seq) -> Column:
+    """The words of three letters, from every start but the last, each with a bar behind it."""
+    body = F.expr(f"substring({seq}, 1, greatest(length({seq}) - 1, 0))")
+    return F.concat(*[F.regexp_replace(F.substr(body, F.lit(i)), "(...)", "$1|") for i in (1, 2, 3)])
+
+
+def histograms(seqs: DataFrame) -> DataFrame:
+    """def, counts: how often each of the words of three bases occurs in a sequence without N, in order of WORDS. One row
+    in, one row out: a word's count is what taking it out shortens the text of all words by, so nothing is shuffled."""
+    bare = seqs.select("def", "seq", F.translate(F.upper("seq"), "N", "").alias("bare"))
+    cut = bare.select("def", "seq", _threes("bare").alias("cut"))
+    n = F.length("cut")
+    return cut.select("def", "seq", F.array(*[((n - F.length(F.replace(F.col("cut"), F.lit(f"{w}|"), F.lit("")))) / 4).cast("long") for w in WORDS]).alias("counts"))
+
+
 def kmer_counts(seqs: DataFrame, k: int, step: int = 1) -> DataFrame:
-    """def, kmer, n of the sequence without N."""
+    """def, kmer, n of the sequence without N; a row of its own for each row of ``seqs`` where k is 3."""
+    if k == 3 and step == 1:
+        words = F.arrays_zip(F.array(*map(F.lit, WORDS)).alias("kmer"), F.col("counts").alias("n"))
+        return histograms(seqs).select("def", F.inline(words)).toDF("def", "kmer", "n").where("n > 0")
     bare = F.translate(F.upper("seq"), "N", "")
     return seqs.select("def", F.explode(S.kmers(bare, k, step)).alias("kmer")).groupBy("def", "kmer").agg(F.count("*").alias("n"))
 
 
-def entropy(seqs: DataFrame, k: int = 3) -> DataFrame:
-    """def, entropy in bits a word; null where the sequence without N has no word."""
-    n = kmer_counts(seqs, k).groupBy("def").agg(F.sum("n").alias("total"), F.sum(F.col("n") * F.log2("n")).alias("weighted"))
-    e = F.log2("total") - F.col("weighted") / F.col("total")
-    return seqs.select("def").join(n.select("def", (F.greatest(e, F.lit(0.0)) + 0.0).alias("entropy")), "def", "left")
+def _bits(counts) -> Column:
+    total = F.aggregate(counts, F.lit(0).cast("long"), lambda a, n: a + n)
+    weighted = F.aggregate(counts, F.lit(0.0), lambda a, n: a + F.when(n > 0, n * F.log2(n)).otherwise(0.0))
+    return F.when(total > 0, F.greatest(F.log2(total) - weighted / total, F.lit(0.0)) + 0.0)
+
 
+def entropy(seqs: DataFrame) -> DataFrame:
+    """def, entropy in bits a word of three bases; null where the sequence without N has no word."""
+    return histograms(seqs).select("def", _bits(F.col("counts")).alias("entropy"))
 
-def rich(seqs: DataFrame, limit: float = 5.0, k: int = 3) -> DataFrame:
+
+def rich(seqs: DataFrame, limit: float = 5.0) -> DataFrame:
     """Sequences of more than ``limit`` bits a word; those without a word stay, as nothing speaks against them."""
-    poor = entropy(seqs, k).where(F.col("entropy") <= limit)
-    return seqs.join(poor, "def", "left_anti")
+    return histograms(seqs).where(F.coalesce(_bits(F.col("counts")) > limit, F.lit(True))).select("def", "seq")
 
 
 def islands(seqs: DataFrame, least: int = LEAST) -> DataFrame:
@@ -82,3 +104,21 @@ def earlier_overlap(seqs: DataFrame, k: int) -> DataFrame:
     words = seqs.select("def", F.explode(F.array_distinct(S.kmers("seq", k))).alias("kmer")).select("def", F.xxhash64("kmer").alias("kmer")).distinct()
     first = words.groupBy("kmer").agg(F.min("def").alias("first"))
     return words.join(first, "kmer").groupBy("def").agg(F.count("*").alias("kmers"), F.count(F.when(F.col("first") < F.col("def"), 1)).alias("shared"))
+
+
+def split_by_copies(seqs: DataFrame) -> DataFrame:
+    """Rows with checksum and shared: whether other rows have the checksum too. The checksums that are shared are a row each,
+    so a frequent one's rows are split by Spark."""
+    marked = seqs.withColumn("checksum", S.checksum("seq"))
+    several = duplicate_keys(seqs).select("checksum", F.lit(True).alias("shared"))
+    return marked.join(several, "checksum", "left").withColumn("shared", F.coalesce("shared", F.lit(False)))
+
+
+def normalised(seqs: DataFrame, k: int = 31, target: int = 5) -> DataFrame:
+    """def, depth (median count of the sequence's words in the whole table), kept: sequences of a depth above ``target`` stay with
+    a chance of target / depth, by a hash of their name, so that deep regions thin out to about the target."""
+    words = seqs.select("def", F.explode(S.kmers("seq", k)).alias("w")).select("def", F.xxhash64("w").alias("w"))
+    uses = words.groupBy("w").agg(F.count("*").alias("n"))
+    depth = words.join(uses, "w").groupBy("def").agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY n)").cast("long").alias("depth"))
+    chance = F.conv(F.substring(F.md5(F.col("def").cast("string").cast("binary")), 1, 8), 16, 10).cast("double") / (1 << 32)
+    return depth.select("def", "depth", ((F.col("depth") <= target) | (chance < target / F.col("depth"))).alias("kept"))

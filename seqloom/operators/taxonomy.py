@@ -85,3 +85,10 @@ def weighted_lca(reps: DataFrame, closed: DataFrame, stop: int | None = None) ->
     chosen = placed.where(F.when(F.col("any"), F.col("first") == 1).otherwise(F.col("second") == F.least(F.lit(2), "n")))
     flag = F.when(~F.col("any"), "noMajority").when(F.col("rep") < 2 / 3 * F.col("total"), "noSupermajority").otherwise("")
     return chosen.select("query", F.col("ancestor").alias("taxid"), "rep", flag.alias("flag"))
+
+
+def without_calls(calls: DataFrame, groups: DataFrame, kept: list[str]) -> DataFrame:
+    """Contigs (contig, taxid) without those called (taxid above 1) to a group (taxid, group) that is not kept; a call
+    that has no group goes, too."""
+    named = calls.join(groups, "taxid", "left")
+    return named.where((F.col("taxid") <= 1) | F.coalesce(F.col("group").isin(*kept), F.lit(False))).select("contig", "taxid")

@@ -145,3 +145,52 @@ def kraken_fasta(dump: DataFrame) -> DataFrame:
 def interleaved(reads: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Forward and reverse halves of reads numbered from 0 (n)."""
     return reads.where("n % 2 = 0"), reads.where("n % 2 = 1")
+
+
+def centroids(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """Of a centroid list: parents (accession, name: lines Parent:, the fourth field is the accession) and children
+    (accession, name: lines Child:, the third)."""
+    lines = spark.read.text(path)
+    field = lambda k: F.get(F.split("name", r"\|"), F.lit(k))
+    kind = lambda mark, k: lines.where(F.col("value").startswith(mark)).select(F.expr(f"substring(value, {len(mark) + 1})").alias("name")).select(field(k).alias("accession"), "name")
+    return kind("Parent:", 3), kind("Child:", 2)
+
+
+def write_centroids(parents: DataFrame, children: DataFrame, path: str) -> None:
+    """The same list: each parent (accession, name) before its children, in order of accessions."""
+    rows = parents.select("accession", F.lit(0).alias("k"), F.concat(F.lit("Parent:"), "name").alias("value")).union(children.select("accession", F.lit(1), F.concat(F.lit("Child:"), "name")))
+    rows.orderBy("accession", "k", "value").select("value").write.text(path)
+
+
+def listed(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """name: the distinct lines of a list, such as what is to be skipped, without white space around them and empty ones."""
+    return spark.read.text(path).select(F.trim("value").alias("name")).where("name <> ''").distinct()
+
+
+def listed_taxa(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """taxid: the distinct numbers of a list, such as a white list; the first field counts, lines without a number are left out."""
+    return spark.read.text(path).select(F.regexp_extract("value", r"^\s*(\d+)\b", 1).alias("n")).where("n <> ''").select(F.col("n").cast("long").alias("taxid")).distinct()
+
+
+def divisions(spark: SparkSession, path: str | list[str], known: list[str]) -> DataFrame:
+    """name: the wanted divisions, each once and in lower case. One that is not known is an error when it is read."""
+    rows = listed(spark, path).select(F.lower("name").alias("name")).distinct()
+    wrong = F.raise_error(F.concat(F.lit("no such division: "), "name")).cast("string")
+    return rows.select(F.when(F.col("name").isin(*known), F.col("name")).otherwise(wrong).alias("name"))
+
+
+def without(rows: DataFrame, name: str, skipped: DataFrame) -> DataFrame:
+    """Rows whose ``name`` is not on the list (name)."""
+    return rows.join(skipped.select(F.col("name").alias(name)).distinct(), name, "left_anti").select(*rows.columns)
+
+
+def to_all(rows: DataFrame, paths: list[str]) -> None:
+    """Write the same rows to several places. They are computed once: the other places are filled from the first."""
+    rows.write.parquet(paths[0])
+    for p in paths[1:]:
+        rows.sparkSession.read.parquet(paths[0]).write.parquet(p)
+
+
+def shuffled(rows: DataFrame, key: str, seed: int) -> DataFrame:
+    """Rows in an order by chance that a rerun with the same seed repeats."""
+    return rows.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key)

@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from seqloom.plans import decisions  # noqa: F401
+from seqloom.plans import decisions, details  # noqa: F401
 from seqloom.plans.catalogue import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
