@@ -56,13 +56,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder, bucketed by ``key`` as finely as it was split, and read it back: joins
-    by ``key`` then move the other side alone."""
+def bucketed(df: DataFrame, key: str, some: DataFrame, name: str) -> DataFrame:
+    """Write the rows of ``df`` whose key is in ``some`` (a row a key) as a table in the shared folder, bucketed by ``key`` as
+    finely as ``df`` is split, and read it back: joins by ``key`` then move the other side alone."""
     spark, n = df.sparkSession, max(8, df.rdd.getNumPartitions())
     table = f"{name}_{uuid.uuid4().hex}"
+    held = df.repartition(n, key).join(some.repartition(n, key).hint("merge"), key, "left_semi")
     with shuffles_removed(spark):
-        df.repartition(n, key).write.format("parquet").bucketBy(n, key).option("path", shared_dir(spark, name)).saveAsTable(table)
+        held.write.format("parquet").bucketBy(n, key).option("path", shared_dir(spark, name)).saveAsTable(table)
     return spark.table(table)
 
 
