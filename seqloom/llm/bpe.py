@@ -10,7 +10,7 @@ Text is cut into spans that no match of the pattern crosses (before a space that
 pre-tokens that a task meets again are looked up. Vocabulary files are read from their path, never copied.
 
 Defined results: null text counts as empty and has no tokens; every byte is in the vocabulary, so any text encodes and
-decodes to itself; long texts and pre-tokens cost n log n; other columns are not read.
+decodes to itself; repeated rows give repeated results and an empty table an empty one; long texts and pre-tokens cost n log n; other columns are not read.
 """
 
 from __future__ import annotations

@@ -11,8 +11,9 @@ c, N: the word's and all tokens of the class; d: a discount from words seen once
 discounts pay for the spellings; Z: the sum over spellings by pieces. A class is a language of the training documents;
 a text's probability is marginal over classes too: log sum over classes of share times product over tokens.
 
-Piece weights begin from the vocabulary's own scores (its order) and are estimated anew by STEPS expectation steps over all
-training words; nothing is sampled. The pieces themselves never change.
+Piece weights begin from the vocabulary's own scores (its order) and are brought to the corpus by STEPS expectation steps over
+all training words; nothing is sampled. The pieces themselves never change. ``lattice_score`` is the same lattice by the
+vocabulary's own weights alone, without arcs of whole words and classes: the words' log Z and the end's share of tokens.
 
 Counts of words follow the corpus. Each task counts its words, Spark adds the counts up. Words above a count that at
 most TOP words reach are sent to all tasks; the others' occurrences are joined to their scores by word.
@@ -115,11 +116,11 @@ def _bytes(p: Pieces, weight: np.ndarray, words: list[str], i: int) -> np.ndarra
     return np.array([sum(weight[p.byte[b]] for b in w[i].encode()) for w in words])
 
 
-def spell(p: Pieces, weight: np.ndarray, words: list[str], counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
+def spell(p: Pieces, weight: np.ndarray, words: list[str], counts: np.ndarray | None = None, arcs: list | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """Log Z of words of one length (the mark included); with counts, also the expected uses of each piece."""
     n, floor = len(words[0]), -1e300
-    arcs = []
-    for i, j, ids in _arcs(p, words):
+    found, arcs = arcs or _arcs(p, words), []
+    for i, j, ids in found:
         w = np.where(ids >= 0, weight[ids], floor)
         bare = (ids < 0) if j - i == 1 else None
         if bare is not None and bare.any():
@@ -217,15 +218,18 @@ class Model:
         return np.log10((c + 1.0) / (self.tokens + 1.0 * (self.distinct + 1.0)))
 
     def word_scores(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
-        """Columns: base, then log10 P of each class. counts: training counts by class."""
+        """Columns: base, log10 Z by the vocabulary's own weights, then log10 P of each class. counts: training counts by
+        class."""
         p, marked = pieces(self.path), [MARK + w.decode(errors="replace") for w in words]
-        z = np.empty(len(words))
+        z, own = np.empty(len(words)), np.empty(len(words))
         for g in by_length(marked):
-            z[g] = spell(p, self.weight, [marked[k] for k in g])[0]
+            block = [marked[k] for k in g]
+            arcs = _arcs(p, block)
+            z[g], own[g] = spell(p, self.weight, block, arcs=arcs)[0], spell(p, p.start, block, arcs=arcs)[0]
         seen = np.maximum(counts - self.discount, 0) / np.maximum(self.totals, 1)
         with np.errstate(divide="ignore"):
             both = np.logaddexp(np.log(seen), z[:, None] + np.log(self.spread)) / np.log(10)
-        return np.column_stack([self.base(counts.sum(1)), both])
+        return np.column_stack([self.base(counts.sum(1)), own / np.log(10), both])
 
 
 def expected_uses(path: str, weight: np.ndarray, batches):
@@ -286,12 +290,12 @@ def learn(docs: DataFrame, path: str) -> tuple[Model, DataFrame]:
     scored = staged(score_words(words, model, cs).withColumn("top", (F.floor(F.log2("n") * 8) >= least) & (F.length("word") <= LONG)), "scored-words")
     top = scored.where("top").select("word", "s").toArrow()
     model.words = {w: i for i, w in enumerate(top.column("word").to_pylist())}
-    model.scores = np.array(top.column("s").to_pylist(), float).reshape(len(model.words), k + 2)
+    model.scores = np.array(top.column("s").to_pylist(), float).reshape(len(model.words), k + 3)
     return model, scored.where("NOT top").select("word", "s")
 
 
 def score_words(words: DataFrame, model: Model, cs: list[str]) -> DataFrame:
-    """Adds s: [known, base, log10 P by class] of every word."""
+    """Adds s: [known, base, log10 Z by the vocabulary's weights, log10 P by class] of every word."""
     held = words.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -307,7 +311,7 @@ def score_words(words: DataFrame, model: Model, cs: list[str]) -> DataFrame:
 
 
 def score(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, lattice_score for every row."""
     spark: SparkSession = docs.sparkSession
     model, rare = learn(docs, path)
     k = len(model.totals)
@@ -335,24 +339,25 @@ def score(docs: DataFrame, path: str) -> DataFrame:
                     counts.append(n[far])
                 ends.append(len(left))
             rest = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(left, pa.binary()), pa.array(np.concatenate([np.zeros(0, np.int64), *counts]))], ["word", "m"]))
-            s = np.array(sums, float).reshape(len(sizes), k + 2)
-            flat = pa.ListArray.from_arrays(pa.array(np.arange(0, s.size + 1, k + 2), pa.int32()), pa.array(s.reshape(-1)))
+            s = np.array(sums, float).reshape(len(sizes), k + 3)
+            flat = pa.ListArray.from_arrays(pa.array(np.arange(0, s.size + 1, k + 3), pa.int32()), pa.array(s.reshape(-1)))
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + len(sizes))), b.column("doc_id"), b.column("held"), pa.array(sizes, pa.int64()), flat, rest], ["row", "doc_id", "held_out", "n_tokens", "s", "rest"])
             row += len(sizes)
 
     rows = staged(_marked(docs, []).mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, s array<double>, rest array<struct<word:binary,m:long>>"), "scored-rows")
     met = rows.select("row", F.inline("rest")).join(rare, "word")
-    more = met.groupBy("row").agg(*[F.sum(F.col("m") * F.col("s")[i]).alias(f"r{i}") for i in range(k + 2)])
-    parts = [F.col("s")[i] + F.coalesce(F.col(f"r{i}"), F.lit(0.0)) for i in range(k + 2)]
+    more = met.groupBy("row").agg(*[F.sum(F.col("m") * F.col("s")[i]).alias(f"r{i}") for i in range(k + 3)])
+    parts = [F.col("s")[i] + F.coalesce(F.col(f"r{i}"), F.lit(0.0)) for i in range(k + 3)]
     # the end: a token of training, with its own count; classes without documents never end a text
     end_known = 1.0 if model.ends.sum() else 0.0
     end_base = float(model.base(np.array(model.ends.sum())))
     with np.errstate(divide="ignore"):
         per = np.log10(model.shares) + np.log10(np.maximum(model.ends, 1 / k) / np.maximum(model.totals, 1))
-    logs = [parts[2 + i] + F.lit(float(per[i])) for i in range(k)]
+    logs = [parts[3 + i] + F.lit(float(per[i])) for i in range(k)]
     best = F.greatest(*logs) if k > 1 else logs[0]
+    stop = float(np.clip(model.ends.sum() / max(model.tokens, 1), 1e-6, 1 - 1e-6)) if model.tokens else 0.5
     score_of = best + F.log10(sum((F.pow(F.lit(10.0), x - best) for x in logs), F.lit(0.0)))
     return rows.join(more, "row", "left").select(
         "doc_id", "held_out", "n_tokens", F.round(parts[0] + end_known).cast("long").alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (parts[1] + F.lit(end_base)).alias("base_score"), score_of.alias("score"),
+        (parts[1] + F.lit(end_base)).alias("base_score"), score_of.alias("score"), (parts[2] + F.lit(np.log10(1 - stop).item()) * (F.col("n_tokens") - 1) + F.lit(np.log10(stop).item())).alias("lattice_score"),
     )

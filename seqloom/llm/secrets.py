@@ -1,14 +1,15 @@
 """Secret scans: patterns of known shapes, and the token-efficiency test.
 
 Known shapes are assignments to secret names, access keys and long hex runs. The token-efficiency test takes runs of
-20 and more key characters that hold a digit and a letter, and counts the tokens that a tiktoken vocabulary needs for
+20 and more key characters that hold a letter and are not of a few characters over and over, and counts the tokens that a tiktoken vocabulary needs for
 them: words and identifiers give some three characters a token, random strings fewer than two. Of a run that is not marked as a
 whole, the stretches of 20 and more characters between its words are tested alone, as words dilute the ratio. Known digests (hex of a
-digest's length), UUIDs, numbers and names joined by underscores or hyphens are excluded first, and so is what lies
-within a base span.
+digest's length), UUIDs, numbers and names whose parts code as words do are excluded, and so is what lies within a base
+span.
 
 Defined results: null text counts as empty; a text without findings has counts 0, the hash of the empty string and
-empty spans; spans count code points of the whole text, however long; repeated rows give repeated results. Only doc_id and text are read.
+empty spans; spans count code points of the whole text, however long; repeated rows give repeated results; an empty table gives an
+empty result. Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -32,7 +33,9 @@ BASE = (
 )
 KINDS = ("assign", "access", "hex", "random")
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-DIGIT, LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
+LETTER, LETTERS = re.compile(r"[A-Za-z]"), re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: Runs of fewer different characters are rules and repeats, not random strings.
+DISTINCT = 8
 #: Digest lengths in hex: MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512.
 DIGEST = re.compile(r"(?i)(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})")
 UUID = re.compile(r"(?i)[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}")
@@ -76,21 +79,27 @@ def unworded(run: str) -> list[tuple[int, int]]:
     return out
 
 
+def wordlike(run: str, coder: tiktoken.Encoding, ratio: float) -> bool:
+    """Whether a name's parts of four letters and more code as words do, each by itself."""
+    parts = [p for p in LETTERS.findall(run) if len(p) > 3]
+    return not parts or sum(map(len, parts)) / sum(len(coder.encode_ordinary(p)) for p in parts) >= ratio
+
+
 def random_spans(text: str, coder: tiktoken.Encoding, base: list[tuple[int, int, str]], ratio: float = RATIO) -> list[tuple[int, int, str]]:
     """(start, end, "random") of runs that the vocabulary codes badly."""
     def marked(s: int, e: int) -> bool:
         run = text[s:e]
-        if not (DIGIT.search(run) and LETTER.search(run)) or DIGEST.fullmatch(run) or UUID.fullmatch(run) or NAME.fullmatch(run):
+        if not LETTER.search(run) or DIGEST.fullmatch(run) or UUID.fullmatch(run) or any(a <= s and e <= b for a, b, _ in base):
             return False
-        if any(a <= s and e <= b for a, b, _ in base):
+        if len(run) / len(coder.encode_ordinary(run)) >= ratio or len(set(run)) < DISTINCT:
             return False
-        return len(run) / len(coder.encode_ordinary(run)) < ratio
+        return not (NAME.fullmatch(run) and wordlike(run, coder, ratio))
 
     out = []
     for m in RUN.finditer(text):
         if marked(*m.span()):
             out.append((*m.span(), "random"))
-        elif DIGIT.search(m[0]):
+        else:
             # words joined to a random string hide it
             parts = [(m.start() + a, m.start() + b) for a, b in unworded(m[0]) if 20 <= b - a < len(m[0])]
             out += [(a, b, "random") for a, b in parts if marked(a, b)]

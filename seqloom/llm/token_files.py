@@ -7,7 +7,7 @@ than documents) and ``doc`` (64-bit doc_ids). A shard's row in the manifest name
 decides which attempt's files count. A shard's base is the sum of the shards before it. Readers map the files.
 
 Defined results: null text counts as empty, so it has the end id alone; null doc_ids come first; rows that share a
-doc_id follow each other by text; an empty table gives an empty manifest. doc_id is integral. Only doc_id and text are read.
+doc_id follow each other by text; texts of any length are encoded whole; an empty table gives an empty manifest. doc_id is integral. Only doc_id and text are read.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ the score is one number. Tasks keep it for words they meet again.
 
 Defined results: null and empty texts score by the bias alone; words are `[^\\x20\\x09-\\x0D]+`, A-Z lower-cased, without
 ASCII marks at either end (a word of marks alone keeps them); rows without a doc_id or a label are scored but not learned from; without labels every score is
-0; repeated rows give repeated results. Only doc_id and text are read, and toxic of the labels.
+0; repeated rows give repeated results; of labelled rows that repeat a doc_id the least text is learned from; texts of any
+length are scored whole, a word at a time; an empty table gives an empty result. Only doc_id and text are read, and toxic of the labels.
 """
 
 from __future__ import annotations

@@ -105,3 +105,30 @@ def test_random_strings_beside_words(front, back):
         got = secrets.random_spans(front + k + back, coder, [])
         assert any(s <= len(front) and e >= len(front) + 24 for s, e, _ in got)
     assert not secrets.unworded("/services/configuration/123e4567-e89b-12d3-a456-426614174000/integrations/9e107d9d372bb6826bd81d3542a419d6/latest")
+
+
+def test_token_test_tells_random_strings_from_names():
+    """Recall over random keys of letters and digits, of letters alone and in groups; false alarms over joined words."""
+    import string
+
+    coder = secrets.vocabulary(TIKTOKEN_FILE, public_tokenizers.PATTERN)
+    rng = random.Random(11)
+    found = lambda texts: sum(bool(secrets.random_spans(t, coder, [])) for t in texts) / len(texts)
+    make = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    assert found([make(string.ascii_letters + string.digits, 24) for _ in range(1000)]) >= 0.99
+    assert found([make(string.ascii_letters, 24) for _ in range(1000)]) >= 0.99
+    assert found([make(string.ascii_lowercase, 24) for _ in range(1000)]) >= 0.95
+    assert found(["-".join(make(string.ascii_uppercase + string.digits, 8) for _ in range(3)) for _ in range(1000)]) >= 0.9
+    words = "service account configuration manager update request handler network buffer image color window status number value default remote server client public private section header content version release control".split()
+    names = [rng.choice(["_", "-", "/"]).join(rng.choice(words) for _ in range(4)) for _ in range(1000)]
+    names += ["".join(rng.choice(words).title() for _ in range(4)) for _ in range(500)] + [make("ab", 30) for _ in range(100)] + ["=" * 40, "-" * 60 + "x", "a" * 50]
+    assert found([n for n in names if len(n) >= 20]) <= 0.01
+
+
+def test_secrets_and_bpe_of_nothing_and_of_clashing_columns(spark):
+    none = table(spark, []).selectExpr("*", "'k' AS found", "1 AS ids", "2 AS kind")
+    assert secrets.scan(none, TIKTOKEN_FILE, public_tokenizers.PATTERN).count() == 0
+    assert bpe.round_trip(none, TIKTOKEN_FILE, public_tokenizers.PATTERN).count() == 0
+    some = table(spark, [(1, "password=hunter22 x"), (2, None)]).selectExpr("*", "'k' AS found", "1 AS ids", "2 AS n_tokens")
+    assert {r["doc_id"]: len(r["found"]) for r in secrets.scan(some, TIKTOKEN_FILE, public_tokenizers.PATTERN).collect()} == {1: 1, 2: 0}
+    assert {r["doc_id"]: r["n_tokens"] > 0 for r in bpe.round_trip(some, TIKTOKEN_FILE, public_tokenizers.PATTERN).collect()} == {1: True, 2: False}

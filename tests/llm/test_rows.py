@@ -131,6 +131,44 @@ def test_lattice(spark, monkeypatch):
     assert lattice.score(some.limit(0), PIECE_FILE).count() == 0
 
 
+def test_scores_by_brute_force(spark, monkeypatch):
+    """score and lattice_score of every text by plain loops over all spellings, from plain counts."""
+    monkeypatch.setattr(lattice, "TOP", 20)
+    rng = random.Random(12)
+    words = ["".join(rng.choice(["an", "the", "ör", "x", "ion"]) for _ in range(rng.randrange(1, 4))) for _ in range(60)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(0, 20))), rng.choice(["en", "de", None])) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model, _ = lattice.learn(docs, PIECE_FILE)
+    p = lattice.pieces(PIECE_FILE)
+    held = lambda d: zlib.crc32(str(d).encode()) % 7 == 2
+    kinds = [None, *sorted({g for _, _, g in rows if g}, key=lambda g: (-sum(1 for d, _, x in rows if x == g and not held(d)), g))]
+    count = {k: Counter() for k in kinds}
+    ends = Counter()
+    for d, t, g in rows:
+        if not held(d):
+            count[g].update(t.split())
+            ends[g] += 1
+    z = {w: [math.exp(brute(p, weight, lattice.MARK + w)) for weight in (model.weight, p.start)] for w in {x for _, t, _ in rows for x in t.split()}}
+    tokens = sum(map(sum, (c.values() for c in count.values()))) + sum(ends.values())
+
+    def word(w, k):
+        c = count[k]
+        once, twice, n = (sum(v == m for v in c.values()) for m in (1, 2)), None, sum(c.values()) + ends[k]
+        once, twice = once
+        d = min(max(once / max(once + 2 * twice, 1) if once + twice else 0.5, 0.1), 0.9)
+        return max(c[w] - d, 0) / max(n, 1) + (d * len(c) / max(n, 1) if c else 0.5) * z[w][0]
+
+    for r in lattice.score(docs, PIECE_FILE).collect():
+        t = rows[r["doc_id"]][1].split()
+        total = 0.0
+        for k in kinds:
+            n = sum(count[k].values()) + ends[k]
+            total += (ends[k] + 1 / len(kinds)) / (sum(ends.values()) + 1) * max(ends[k], 1 / len(kinds)) / max(n, 1) * math.prod(word(w, k) for w in t)
+        assert r["score"] == pytest.approx(math.log10(total), rel=1e-6)
+        stop = sum(ends.values()) / tokens
+        assert r["lattice_score"] == pytest.approx(sum(math.log10(z[w][1] * (1 - stop)) for w in t) + math.log10(stop), rel=1e-6)
+
+
 def test_probabilities_sum_to_one_at_most():
     """Over all words of up to two letters of a small alphabet, spellings and the end take no more than everything."""
     p = lattice.pieces(PIECE_FILE)

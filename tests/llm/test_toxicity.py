@@ -42,3 +42,45 @@ def test_odd_rows(spark):
     none = toxicity.toxicity(odd, labels.limit(0)).collect()
     assert [r["score"] for r in none] == [0.0] * 7
     assert toxicity.toxicity(odd.limit(0), labels).count() == 0
+
+
+def test_scores_by_a_plain_forward_pass(spark):
+    import math
+
+    import xxhash
+
+    docs, labels, _ = docs_of(spark, 300)
+    model = toxicity.train(docs, labels)
+    weight, bias = model
+    for r in toxicity.score(docs.limit(40), model).collect():
+        rows = []
+        for w in r["text"].lower().split():
+            m = f"<{w.strip(toxicity.MARKS.decode()) or w}>"
+            grams = {m} | {m[i : i + n] for n in (3, 4, 5) for i in range(len(m) - n + 1)}
+            rows += [xxhash.xxh3_64_intdigest(g) % toxicity.BUCKETS for g in grams]
+        z = toxicity.SCALE * sum(float(weight[i]) for i in rows) / len(rows) + bias
+        assert r["score"] == __import__("pytest").approx(1 / (1 + math.exp(-z)), rel=1e-4)
+
+
+def test_unseen_misspellings(spark):
+    """Spellings that no learned text holds are told by the n-grams that they share."""
+    docs, labels, _ = docs_of(spark)
+    model = toxicity.train(docs, labels)
+    rng = random.Random(30)
+    seen = {w for r in docs.collect() for w in r["text"].split()}
+    calm = [w for w in sorted(seen) if not any(m in w for m in MEAN)]
+    rows = []
+    for i in range(200):
+        words = [rng.choice(calm) for _ in range(40)]
+        rows.append((1000 + i, " ".join(words)))
+        for _ in range(4):
+            w = rng.choice(MEAN)
+            at = rng.randrange(2, len(w))
+            new = w[:at] + rng.choice("qjz") + w[at:]
+            assert new not in seen
+            words.insert(rng.randrange(len(words)), new)
+        rows.append((i, " ".join(words)))
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    clean = sorted(scores[1000 + i] for i in range(200))
+    assert clean[-1] < 0.5 and all(scores[i] > scores[1000 + i] for i in range(200))
+    assert sum(scores[i] > clean[190] for i in range(200)) >= 190
