@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from seqloom.plans.stages import numbered
+
 
 def best_hits(alignments: DataFrame) -> DataFrame:
     """Each read's alignments of fewest mismatches, ties kept."""
@@ -28,7 +30,7 @@ def solo_reads(alignments: DataFrame) -> DataFrame:
 def centroid_order(alignments: DataFrame) -> DataFrame:
     """reference, reads, hits, priority: most distinct reads first, then most hits, then by name."""
     per = alignments.groupBy("reference").agg(F.countDistinct("read").alias("reads"), F.count("*").alias("hits"))
-    return per.withColumn("priority", F.row_number().over(Window.orderBy(F.desc("reads"), F.desc("hits"), "reference")))
+    return numbered(per, "priority", F.desc("reads"), F.desc("hits"), "reference").withColumn("priority", F.col("priority").cast("int"))
 
 
 def reciprocal(pairs: DataFrame, keys: list[tuple[str, str]]) -> DataFrame:

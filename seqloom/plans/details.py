@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from seqloom.functions import seq as S
 from seqloom.operators import hits as H
 from seqloom.operators import hsps as P
+from seqloom.operators import pileup as L
 from seqloom.operators import proteins as R
 from seqloom.operators import sequences as Q
 from seqloom.operators import taxonomy as T
@@ -273,3 +274,47 @@ def skip_listed(spark, sf_dir):
 @query(f"WITH {HSPS} SELECT query, subject, pident, length, bits FROM hsps WHERE pident >= 99.6 AND length >= 17")
 def aligner_thresholds(spark, sf_dir):
     return P.strong(hsps_of(spark, sf_dir), 99.6, 17).select("query", "subject", "pident", "length", "bits")
+
+
+# pileup
+
+PILE = f"""{V.SCAFFOLDS}, sscaf AS (SELECT s_suppkey AS reference, substr(translate(repeat(md5(s_suppkey::VARCHAR), 3), '0123456789abcdef', 'ACGTACGTACGTACNa'), 1, 60) AS old FROM supplier),
+    pile AS (SELECT l_suppkey AS reference, l_quantity::BIGINT + l_linenumber - 4 AS pos, CASE l_returnflag WHEN 'A' THEN '20M' WHEN 'N' THEN '3S8M2I7M' ELSE CASE WHEN l_linestatus = 'F' THEN '6M2D14M' ELSE '14M11D6M' END END AS cigar,
+             substr(seq, 1, 20) AS seq, l_linenumber::BIGINT AS size FROM lineitem JOIN scaf ON query = l_orderkey),
+    psteps(cigar, op, n, ahead, off) AS (VALUES ('20M', 'M', 20, 0, 0), ('3S8M2I7M', 'S', 3, -3, 0), ('3S8M2I7M', 'M', 8, 0, 3), ('3S8M2I7M', 'I', 2, 8, 11), ('3S8M2I7M', 'M', 7, 8, 13), ('6M2D14M', 'M', 6, 0, 0), ('6M2D14M', 'D', 2, 6, 6), ('6M2D14M', 'M', 14, 8, 6), ('14M11D6M', 'M', 14, 0, 0)),
+    pe AS (SELECT reference, op, size, pos + ahead + i AS at, CASE WHEN pos + ahead + i < 1 OR pos + ahead + i > 61 THEN lower(substr(seq, off + i + 1, 1)) ELSE substr(seq, off + i + 1, 1) END AS letter FROM (SELECT *, unnest(range(0, n))::INT AS i FROM pile JOIN psteps USING (cigar) WHERE op <> 'I')),
+    pv AS (SELECT reference, at::BIGINT AS pos, CASE WHEN op = 'D' THEN 'D' WHEN op = 'M' OR at < 1 THEN letter ELSE 'S.' || letter END AS base, sum(size)::BIGINT AS votes FROM pe GROUP BY ALL),
+    pi AS (SELECT reference, (pos + ahead)::BIGINT AS pos, CASE WHEN pos + ahead < 1 OR pos + ahead > 61 THEN lower(substr(seq, off + 1, n)) ELSE substr(seq, off + 1, n) END AS letters, sum(size)::BIGINT AS votes FROM pile JOIN psteps USING (cigar) WHERE op = 'I' GROUP BY ALL)"""
+
+
+def pile_of(spark, sf_dir):
+    i = V.table(spark, sf_dir, "lineitem").join(V.scaffolds(spark, sf_dir).withColumnRenamed("query", "l_orderkey"), "l_orderkey")
+    cigar = F.when(F.col("l_returnflag") == "A", "20M").when(F.col("l_returnflag") == "N", "3S8M2I7M").otherwise(F.when(F.col("l_linestatus") == "F", "6M2D14M").otherwise("14M11D6M"))
+    rows = i.select(F.col("l_suppkey").alias("reference"), (F.col("l_quantity").cast("long") + F.col("l_linenumber") - 4).alias("pos"), cigar.alias("cigar"), F.substring("seq", 1, 20).alias("seq"), F.col("l_linenumber").cast("long").alias("size"))
+    hexes = F.md5(F.col("s_suppkey").cast("string").cast("binary"))
+    old = V.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("reference"), F.substring(F.translate(F.concat(hexes, hexes, hexes), "0123456789abcdef", "ACGTACGTACGTACNa"), 1, 60).alias("seq"))
+    return rows, old
+
+
+@query(f"WITH {PILE} SELECT reference, pos, base, votes FROM pv")
+def pileup_votes(spark, sf_dir):
+    return L.votes(*pile_of(spark, sf_dir))
+
+
+@query(f"WITH {PILE} SELECT reference, pos, letters, votes FROM pi")
+def pileup_insertions(spark, sf_dir):
+    return L.insertions(*pile_of(spark, sf_dir))
+
+
+@query(f"""WITH {PILE}, us AS (SELECT *, min(starts_with(base, 'S.')::INT) OVER (PARTITION BY reference, pos) AS alone FROM pv),
+    uu AS (SELECT reference, pos, CASE WHEN starts_with(base, 'S.') THEN substr(base, 3) ELSE base END AS base, votes FROM us WHERE alone = 1 OR NOT starts_with(base, 'S.')),
+    tops AS (SELECT reference, pos, max(base) AS base, any_value(votes) AS top, count(*) AS ties FROM (SELECT *, max(votes) OVER (PARTITION BY reference, pos) AS m FROM uu) WHERE votes = m GROUP BY ALL),
+    ib AS (SELECT reference, pos, max(letters) AS letters, count(*) AS same, any_value(votes) AS most, any_value(total) AS total FROM (SELECT *, max(votes) OVER w AS m, sum(votes) OVER w AS total FROM pi WINDOW w AS (PARTITION BY reference, pos)) WHERE votes = m GROUP BY reference, pos),
+    rng AS (SELECT reference, min(pos) AS lo, max(pos) AS hi FROM (SELECT reference, pos FROM tops UNION ALL SELECT reference, pos FROM ib) GROUP BY reference),
+    j AS (SELECT *, CASE WHEN pos BETWEEN 1 AND length(old) THEN substr(old, pos, 1) WHEN pos = 0 THEN 'a' END AS was FROM (SELECT reference, unnest(range(lo, hi + 1)) AS pos FROM rng) LEFT JOIN tops USING (reference, pos) LEFT JOIN ib USING (reference, pos) JOIN sscaf USING (reference)),
+    p AS (SELECT reference, pos, CASE WHEN top IS NULL AND most IS NULL THEN CASE WHEN was = 'n' THEN 'n' ELSE 'N' END ELSE
+          CASE WHEN most IS NOT NULL AND (top IS NULL OR most >= top - total) THEN CASE WHEN same > 1 THEN repeat('n', length(letters)) WHEN coalesce(regexp_matches(was, '[acgt]'), false) THEN lower(letters) ELSE letters END ELSE '' END ||
+          CASE WHEN top IS NULL OR (base = 'D' AND ties = 1) THEN '' WHEN ties > 1 THEN 'n' WHEN was IS NULL OR regexp_matches(was, '[acgt]') THEN lower(base) ELSE base END END AS part FROM j)
+    SELECT reference, string_agg(part, '' ORDER BY pos) AS seq, sum(length(part))::INT AS length FROM p GROUP BY reference""")
+def pileup_consensus(spark, sf_dir):
+    return L.rebuilt(*pile_of(spark, sf_dir))

@@ -6,7 +6,8 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 
 def folder(spark: SparkSession) -> str:
@@ -26,3 +27,15 @@ def stage(df: DataFrame) -> DataFrame:
     path = f"{folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def numbered(rows: DataFrame, name: str, *order) -> DataFrame:
+    """Rows with their place in the order, from 1. Sorted partitions are numbered within themselves and by what stands before
+    them, so that no task sees all rows; one row a partition is summed up in one."""
+    columns = {"_at": F.monotonically_increasing_id(), "_part": F.spark_partition_id()}
+    placed = stage(rows.orderBy(*order).withColumns(columns))
+    parts = placed.groupBy("_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    skip = parts.withColumn("_skip", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    number = F.col("_at") - F.col("_first") + F.col("_skip") + 1
+    return placed.join(skip, "_part").select(*rows.columns, number.alias(name))

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seqloom.operators import alignments as A
-from seqloom.operators import cover, decide, hits, merge, pileup, taxonomy
+from seqloom.operators import cover, decide, hits, hsps, merge, pileup, proteins, taxonomy
 from seqloom.sources import flat_files
 
 
@@ -82,6 +82,10 @@ PILE = "id int, reference string, pos long, cigar string, seq string, size long"
 @pytest.mark.parametrize("rows,want", [
     ([(1, "r", 1, "8M", "ACGTACGT", 3), (2, "r", 1, "8M", "ACGAACGT", 3)], ("ACGnACGT", 8)), ([(1, "r", 1, "8M", "ACGTACGT", 3), (2, "r", 1, "3M1D4M", "ACGACGT", 5)], ("ACGACGT", 7)),
     ([(1, "r", 1, "4M2I4M", "ACGTGGACGT", 3)], ("ACGTGGACGT", 10)),
+    # soft clips count where nothing else is, and before the first position like any letter, in lower case
+    ([(1, "r", 3, "2S4M2S", "TTGTACCC", 1)], ("TTGTACCC", 8)), ([(1, "r", 1, "2S6M", "GGACGTAC", 1)], ("ggACGTAC", 8)), ([(1, "r", 3, "2S4M", "TTGTAC", 1), (2, "r", 1, "6M", "ACGTAC", 1)], ("ACGTAC", 6)),
+    # positions without reads are N; a read of more than its half in one deletion shows its heavier side alone
+    ([(1, "r", 1, "2M", "AC", 1), (2, "r", 6, "2M", "CG", 1)], ("ACNNNCG", 7)), ([(1, "r", 1, "4M4D2M", "ACGTGT", 1)], ("ACGT", 4)),
 ])
 def test_pileup(spark, rows, want):
     scaffolds = spark.createDataFrame([("r", "ACGTACGT"), ("unread", "ACGT")], "reference string, seq string")
@@ -146,6 +150,16 @@ def test_merge_fixpoint(spark, stage):
     assert {r["seq"] for r in got} == {whole, rows[3][1]}
 
 
+def test_merge_of_deep_regions_and_strands(spark, stage):
+    rng = random.Random(4)
+    whole = "".join(rng.choice("ACGT") for _ in range(600))
+    flip = str.maketrans("ACGT", "TGCA")
+    rows = [(f"s{i:02d}", whole[4 * i : 4 * i + 420]) for i in range(45)]
+    rows = [(d, s if i % 2 else s.translate(flip)[::-1]) for i, (d, s) in enumerate(rows)]
+    got = merge.merged(spark.createDataFrame(rows, "def string, seq string"), merge.MODES["default"], stage, frequent=8).collect()
+    assert len(got) == 1 and got[0]["seq"] in (whole[:596], whole[:596].translate(flip)[::-1])
+
+
 def test_merging_that_goes_on_is_told(spark, stage):
     rng = random.Random(2)
     whole = "".join(rng.choice("ACGT") for _ in range(1000))
@@ -291,6 +305,76 @@ def test_radius_has_a_least_width(spark):
     assert got["b"]["radius"] == pytest.approx(58.32458, abs=1e-4)
 
 
+def test_large_deletions(spark):
+    rows = spark.createDataFrame([("10M8D5M",), ("5M8D10M",), ("5M8D5M",), ("10M3D5M",)], "cigar string").select(pileup.clipped(pileup.S.cigar_steps("cigar")).alias("s"))
+    hidden = [[(x["op"], x["hidden"]) for x in r["s"]] for r in rows.collect()]
+    assert hidden == [[("M", False), ("D", True), ("M", True)], [("M", True), ("D", True), ("M", False)], [("M", True), ("D", True), ("M", True)], [("M", False), ("D", False), ("M", False)]]
+
+
+def test_codons(spark):
+    reads = [("x", "R", 1, "3M", 1, 1, 2, "ACGTTTGGG"), ("y", "R", 2, "1M1D1M", 1, 1, 3, "TTTCCC"), ("z", "R", 1, "2M", -1, 6, 1, "AAACGT"), ("w", "R", 5, "1M", 1, 2, 1, "GACG")]
+    table = spark.createDataFrame(reads, "read string, reference string, pos long, cigar string, frame int, dna long, size long, seq string")
+    votes = {(r["pos"], r["codon"]): r["votes"] for r in proteins.codon_votes(table).collect()}
+    # z reads backwards from its sixth letter: ACG TTT
+    assert votes == {(0, "ACG"): 3, (1, "TTT"): 6, (2, "GGG"): 2, (3, "CCC"): 3, (4, "ACG"): 1}
+    assert tuple(proteins.codon_consensus(proteins.codon_votes(table)).first()) == ("R", 5, "ACGTTTGGGCCCACG")
+    tied = spark.createDataFrame([("R", 1, "AAA", 2), ("R", 1, "CCC", 2), ("R", 2, "DDD", 5), ("R", 2, "AAA", 1)], "reference string, pos long, codon string, votes long")
+    assert proteins.codon_consensus(tied).first()["seq"] == "NNNnnnNNN"
+
+
+def test_first_best_and_parents(spark):
+    a = spark.createDataFrame([("r", "A", 2, 1), ("r", "B", 1, 2), ("r", "C", 1, 3), ("s", "A", 0, 4)], "read string, reference string, mismatch int, place int")
+    assert sorted((r["read"], r["reference"]) for r in proteins.first_best(a).collect()) == [("r", "B"), ("s", "A")]
+    parents = spark.createDataFrame([("p1", "one")], "accession string, name string")
+    children = lambda x: spark.createDataFrame([(x, 1)], "accession string, k int")
+    assert proteins.with_children(parents, children("p1")).first()["name"] == "one"
+    with pytest.raises(Exception, match="has no parent"):
+        proteins.with_children(parents, children("p2")).collect()
+
+
+def test_locations(spark):
+    rows = [("3..20",), ("complement(join(3..20,<40..>99))",), ("join(7,9..12)",)]
+    t = spark.createDataFrame(rows, "location string").withColumn("r", proteins.S.location_ranges("location"))
+    got = [[tuple(x) for x in r["r"]] for r in t.collect()]
+    assert got == [[(3, 20, False)], [(3, 20, True), (40, 99, True)], [(7, 7, False), (9, 12, False)]]
+    moved = [[tuple(x)[:2] for x in r[0]] for r in t.select(proteins.S.shifted_ranges("r", F.lit(3))).collect()]
+    assert moved == [[(5, 20)], [(3, 20), (40, 97)], [(9, 7), (9, 12)]]
+    assert proteins.S.damerau_distance("ca", "abc") == 2 and proteins.S.damerau_distance("", "ab") == 2 and proteins.S.damerau_distance("abcd", "acbd") == 1
+
+
+def test_hsps(spark):
+    kinds = "query string, subject string, pident double, length long, mismatches long, gaps long, qstart long, qend long, sstart long, send long, bits double"
+    rows = [("contig_1;length=100", "ref", 99.5, 100, 0, 0, 1, 100, 11, 110, 180.0), ("contig_2;length=100", "ref", 98.0, 100, 2, 0, 1, 100, 11, 110, 170.0), ("a", "a;rev=1", 100.0, 50, 0, 0, 1, 50, 1, 50, 90.0), ("a", "b", 90.0, 60, 6, 1, 1, 60, 80, 21, 70.0), ("a", "b", 90.0, 60, 6, 1, 5, 64, 21, 80, 60.0)]
+    t = spark.createDataFrame(rows, kinds)
+    assert sorted((r["query"], r["subject"]) for r in hsps.forward(t).collect()) == [("a", "b"), ("contig_1;length=100", "ref"), ("contig_2;length=100", "ref")]
+    assert [tuple(r) for r in hsps.absorbed(t).collect()] == [("contig_1;length=100", "ref")]
+    both = hsps.mirrored(t, spark.createDataFrame([("b",)], "name string"))
+    assert both.count() == 7 and hsps.reciprocal(both).count() == 4
+    lengths = spark.createDataFrame([("a", 100), ("b", 90)], "name string, length long")
+    assert hsps.distances(t.where("subject = 'b'"), lengths).first()["distance"] == 100 + 90 - 2 * 108 + 2
+    jobs = hsps.jobs(spark.createDataFrame([("q", "x", 5.0), ("q", "y", 9.0), ("p", "z;rev=1", 99.0), ("p", "x", 1.0)], "query string, subject string, bits double"))
+    assert [(r["query"], r["subject"]) for r in jobs.orderBy("job").collect()] == [("q", "y"), ("p", "z;rev=1"), ("q", "x"), ("p", "x")]
+
+
+def test_lists(spark, tmp_path):
+    (tmp_path / "list").write_text("Parent:gi|1|gb|ACC1|virus one\nChild:gb|p|ACC1|coat\nChild:gb|q|ACC1|tail\n")
+    parents, children = flat_files.centroids(spark, str(tmp_path / "list"))
+    assert [r["accession"] for r in parents.collect()] == ["ACC1"] and sorted(r["name"] for r in children.collect()) == ["gb|p|ACC1|coat", "gb|q|ACC1|tail"]
+    flat_files.write_centroids(parents, children, str(tmp_path / "out"))
+    assert [r[0] for r in spark.read.text(str(tmp_path / "out")).collect()] == (tmp_path / "list").read_text().split("\n")[:3]
+    (tmp_path / "taxa").write_text("11 one\n 12\nnone\n11\n")
+    assert sorted(r[0] for r in flat_files.listed_taxa(spark, str(tmp_path / "taxa")).collect()) == [11, 12]
+    (tmp_path / "div").write_text("VRL\nphg\nvrl\n")
+    assert sorted(r[0] for r in flat_files.divisions(spark, str(tmp_path / "div"), ["vrl", "phg"]).collect()) == ["phg", "vrl"]
+    with pytest.raises(Exception, match="no such division"):
+        flat_files.divisions(spark, str(tmp_path / "div"), ["vrl"]).collect()
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "name string, k int")
+    assert [r["k"] for r in flat_files.without(rows, "name", spark.createDataFrame([("a",)], "name string")).collect()] == [2]
+    flat_files.to_all(rows, [str(tmp_path / "x"), str(tmp_path / "y")])
+    assert spark.read.parquet(str(tmp_path / "y")).count() == 2
+    assert [r["k"] for r in flat_files.shuffled(rows, "name", 3).collect()] == [r["k"] for r in flat_files.shuffled(rows.repartition(3), "name", 3).collect()]
+
+
 def test_closure_scans_each_turn_once(spark):
     depth = 40
     tree = spark.createDataFrame([(1, 1)] + [(i, i - 1) for i in range(2, depth + 2)], "taxid long, parent long")
