@@ -247,3 +247,8 @@ def mapped(hits: DataFrame, targets: DataFrame) -> DataFrame:
     return hits.join(moved, "taxon", "left").withColumn("taxon", F.coalesce("target", "taxon")).drop("target")
 
 
+def densities(ev: DataFrame) -> DataFrame:
+    """query, hit (positions with hits of either kind), density (tops of both kinds, summed) and rep, both a hit position."""
+    tops = ev.groupBy(*SEGMENT, "kind").agg(F.max("density").alias("top"), F.sum("rep").alias("rep")).groupBy(*SEGMENT).agg(F.sum("top").alias("top"), F.sum("rep").alias("rep"))
+    mean = lambda c: F.sum(F.col(c) * F.col("length")) / F.sum("length")
+    return tops.groupBy("query").agg(F.sum("length").alias("hit"), mean("top").alias("density"), mean("rep").alias("rep"))

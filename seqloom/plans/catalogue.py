@@ -46,7 +46,7 @@ ENTROPY = f"""{V.SEQS}, bare AS (SELECT def, replace(upper(seq), 'N', '') AS s F
     counted AS (SELECT def, kmer, count(*) AS n FROM kmers GROUP BY ALL),
     ent AS (SELECT def, greatest(log2(sum(n)) - sum(n * log2(n)) / sum(n), 0) AS e FROM counted GROUP BY def)"""
 HITS_OK = f"{V.HITS}, ok AS (SELECT * FROM hits WHERE evalue <= 0.1)"
-COVER = f"""{HITS_OK}, top AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY {', '.join(V.HIT_ORDER)}) AS rn FROM ok),
+COVER = f"""{HITS_OK}, top AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY {', '.join(V.HIT_ORDER)}) AS rn FROM ok QUALIFY rn <= 1000),
     cuts AS (SELECT query, qstart AS start FROM top UNION SELECT query, qend + 1 FROM top),
     seg AS (SELECT * FROM (SELECT query, start, lead(start) OVER (PARTITION BY query ORDER BY start) - 1 AS stop FROM cuts) WHERE stop IS NOT NULL),
     cover AS (SELECT h.*, start, stop, stop - start + 1 AS len, bits / (qend - qstart + 1) AS density
@@ -62,7 +62,8 @@ GROUP_SQL = "grp AS (SELECT taxid AS taxon, coalesce(max(CASE WHEN ancestor IN (
 
 
 def cover_of(spark, sf_dir):
-    return H.covered(H.ranked(H.usable(V.hits(spark, sf_dir)), V.HIT_ORDER))
+    """The 1,000 best hits of a query, as the number that is looked at is a feature of the analysis."""
+    return H.covered(H.top_n(H.usable(V.hits(spark, sf_dir)), 1000, V.HIT_ORDER))
 
 
 def groups_of(spark, sf_dir):
@@ -266,15 +267,15 @@ def collapse_to_species(spark, sf_dir):
     return T.collapse(t, T.closure(t), {11: 1})
 
 
-@query(f"""WITH {V.TAXONOMY}, wanted AS (SELECT DISTINCT (l_partkey % 300 + 99950)::BIGINT AS taxid FROM lineitem),
-    merged AS (SELECT s_suppkey + 99950 AS old, s_suppkey + 100000 AS new FROM supplier WHERE s_suppkey < 20), deleted AS (SELECT s_suppkey + 99975 AS taxid FROM supplier WHERE s_suppkey < 10)
+@query(f"""WITH {V.TAXONOMY}, wanted AS (SELECT l_partkey + 100000 AS taxid FROM lineitem UNION SELECT l_suppkey + 200000 FROM lineitem),
+    merged AS (SELECT s_suppkey + 200000 AS old, s_suppkey + 100000 AS new FROM supplier WHERE s_acctbal >= 0), deleted AS (SELECT s_suppkey + 200000 AS taxid FROM supplier WHERE s_acctbal < 0)
     SELECT w.taxid, coalesce(m.new, w.taxid) AS resolved, CASE WHEN t.taxid IS NOT NULL THEN CASE WHEN m.new IS NOT NULL THEN 'merged' ELSE 'current' END WHEN d.taxid IS NOT NULL THEN 'deleted' ELSE 'missing' END AS status
     FROM wanted w LEFT JOIN merged m ON m.old = w.taxid LEFT JOIN taxonomy t ON t.taxid = coalesce(m.new, w.taxid) LEFT JOIN deleted d ON d.taxid = coalesce(m.new, w.taxid)""")
 def taxid_repair(spark, sf_dir):
-    s = V.table(spark, sf_dir, "supplier")
-    wanted = V.table(spark, sf_dir, "lineitem").select((F.col("l_partkey") % 300 + 99950).alias("taxid"))
-    merged = s.where("s_suppkey < 20").select((F.col("s_suppkey") + 99950).alias("old"), (F.col("s_suppkey") + 100_000).alias("new"))
-    deleted = s.where("s_suppkey < 10").select((F.col("s_suppkey") + 99975).alias("taxid"))
+    s, i = V.table(spark, sf_dir, "supplier"), V.table(spark, sf_dir, "lineitem")
+    wanted = i.select((F.col("l_partkey") + 100_000).alias("taxid")).union(i.select(F.col("l_suppkey") + 200_000))
+    merged = s.where("s_acctbal >= 0").select((F.col("s_suppkey") + 200_000).alias("old"), (F.col("s_suppkey") + 100_000).alias("new"))
+    deleted = s.where("s_acctbal < 0").select((F.col("s_suppkey") + 200_000).alias("taxid"))
     return T.repair(wanted, V.taxonomy(spark, sf_dir), merged, deleted)
 
 
@@ -326,10 +327,12 @@ def centroid_order(spark, sf_dir):
     return A.centroid_order(V.alignments(spark, sf_dir))
 
 
-@query(f"WITH {V.ALIGNMENTS}, p AS (SELECT DISTINCT read % 100 AS a, reference AS b, pos AS ra, mismatch::BIGINT % 7 AS rb FROM alignments) SELECT x.* FROM p x WHERE EXISTS (SELECT 1 FROM p y WHERE y.a = x.b AND y.b = x.a AND y.ra = x.rb AND y.rb = x.ra)")
+@query("WITH p AS (SELECT DISTINCT o_custkey AS a, l_suppkey AS b FROM lineitem JOIN orders ON o_orderkey = l_orderkey) SELECT x.a, x.b FROM p x WHERE EXISTS (SELECT 1 FROM p y WHERE y.a = x.b AND y.b = x.a)")
 def reciprocal_pairs(spark, sf_dir):
-    p = V.alignments(spark, sf_dir).select((F.col("read") % 100).alias("a"), F.col("reference").alias("b"), F.col("pos").alias("ra"), (F.col("mismatch").cast("long") % 7).alias("rb")).distinct()
-    return A.reciprocal(p, [("a", "b"), ("ra", "rb")]).select("a", "b", "ra", "rb")
+    """Customers and suppliers of one number that deal with each other both ways."""
+    o = V.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("a"))
+    p = V.table(spark, sf_dir, "lineitem").join(o, "l_orderkey").select("a", F.col("l_suppkey").alias("b")).distinct()
+    return A.reciprocal(p, [("a", "b")])
 
 
 PLACED = "placed AS (SELECT l_suppkey AS reference, (l_partkey // 5)::BIGINT AS pos, substr('ACGTD', (l_partkey % 5 + 1)::BIGINT, 1) AS base, l_quantity::BIGINT AS size FROM lineitem)"

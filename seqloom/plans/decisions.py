@@ -16,6 +16,7 @@ from seqloom.operators import hits as H
 from seqloom.operators import taxonomy as T
 from seqloom.plans import views as V
 from seqloom.plans.catalogue import CASE_SELF, CLOSED, GROUP_SQL, groups_of, query, six
+from seqloom.plans.stages import stage
 
 TARGET, SUPPRESSORS, INFO = "first", ["third"], 60.0
 #: Most hits of a query and kind that are looked at.
@@ -93,12 +94,13 @@ def cover_of(spark, sf_dir):
 
 
 def evidence_of(spark, sf_dir):
-    return D.evidence(D.supported(cover_of(spark, sf_dir)))
+    """Written once, as every decision uses it several times."""
+    return stage(D.evidence(D.supported(cover_of(spark, sf_dir))))
 
 
 def scored_of(spark, sf_dir):
     cover = cover_of(spark, sf_dir)
-    ev = D.evidence(D.supported(cover))
+    ev = stage(D.evidence(D.supported(cover)))
     scored = D.scores(ev, groups_of(spark, sf_dir))
     return ev, scored, D.maxima(scored, D.attainable(cover, V.scaffolds(spark, sf_dir)))
 
@@ -212,3 +214,9 @@ def whitelist_taxa(spark, sf_dir):
 def hits_corrected(spark, sf_dir):
     t = V.taxonomy(spark, sf_dir)
     return D.mapped(V.hits(spark, sf_dir), T.collapse(t, T.closure(t), {11: 1})).select("query", "taxon", "qstart", "qend", "bits", "subject")
+
+
+@query(f"""WITH {dual()}, t AS (SELECT query, start, len, kind, max(density) AS top, sum(rep) AS rep FROM ev GROUP BY ALL), u AS (SELECT query, start, len, sum(top) AS top, sum(rep) AS rep FROM t GROUP BY ALL)
+    SELECT query, sum(len)::BIGINT AS hit, {rounded('sum(top * len) / sum(len)', 'density')}, {rounded('sum(rep * len) / sum(len)', 'rep')} FROM u GROUP BY query""")
+def hit_density(spark, sf_dir):
+    return D.densities(evidence_of(spark, sf_dir)).select("query", "hit", six("density"), six("rep"))

@@ -194,3 +194,10 @@ def to_all(rows: DataFrame, paths: list[str]) -> None:
 def shuffled(rows: DataFrame, key: str, seed: int) -> DataFrame:
     """Rows in an order by chance that a rerun with the same seed repeats."""
     return rows.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key)
+
+
+def sam_slim(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """qname, rname, pos, cigar, seq of alignments alone: the CSV source parses no other field of a line, nor its tags."""
+    fields = "qname string, flag int, rname string, pos long, mapq int, cigar string, rnext string, pnext long, tlen long, seq string"
+    rows = spark.read.schema(fields).option("sep", "\t").option("quote", "").option("comment", "@").option("mode", "PERMISSIVE").csv(path)
+    return rows.select("qname", "rname", "pos", "cigar", "seq")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seqloom.operators import alignments as A
-from seqloom.operators import cover, decide, hits, hsps, merge, pileup, proteins, taxonomy
+from seqloom.operators import assembly, cover, decide, hits, hsps, merge, pileup, proteins, taxonomy
 from seqloom.sources import flat_files
 
 
@@ -160,6 +160,45 @@ def test_merge_of_deep_regions_and_strands(spark, stage):
     assert len(got) == 1 and got[0]["seq"] in (whole[:596], whole[:596].translate(flip)[::-1])
 
 
+def plain_unitigs(seqs, k):
+    flip = lambda s: s.translate(str.maketrans("ACGT", "TGCA"))[::-1]
+    nodes = {s[i : i + k] for q in seqs for s in (q, flip(q)) for i in range(len(s) - k + 1)}
+    after = {w: [w[1:] + c for c in "ACGT" if w[1:] + c in nodes] for w in nodes}
+    before = {w: [c + w[:-1] for c in "ACGT" if c + w[:-1] in nodes] for w in nodes}
+    follows = {w: after[w][0] for w in nodes if len(after[w]) == 1 and len(before[after[w][0]]) == 1}
+    heads = [w for w in nodes if w not in follows.values()]
+    out, seen = set(), set()
+    for w in [*sorted(heads), *sorted(nodes)]:
+        if w in seen:
+            continue
+        s, at = w, w
+        seen.add(w)
+        while (n := follows.get(at)) and n not in seen:
+            s, at = s + n[-1], n
+            seen.add(n)
+        out.add(min(s, flip(s)))
+    return out
+
+
+def test_unitigs(spark, stage):
+    rng = random.Random(8)
+    whole = "".join(rng.choice("ACGT") for _ in range(200))
+    ring = "".join(rng.choice("ACGT") for _ in range(40))
+    seqs = [whole[:120], whole[80:], whole[:60] + "".join(rng.choice("ACGT") for _ in range(60)), ring * 2, "ACGTN" * 5]
+    table = spark.createDataFrame([(str(i), s) for i, s in enumerate(seqs)], "def string, seq string")
+    got = assembly.unitigs(table, 15, stage).collect()
+    want = plain_unitigs([p for s in seqs for p in s.split("N")], 15)
+    lines = {r["seq"] for r in got if not r["circular"]}
+    assert lines == {w for w in want if len(w) != 54}
+    rings = [r["seq"] for r in got if r["circular"]]
+    assert rings and all(len(r) == 54 for r in rings) and assembly.unitigs(table.limit(0), 15, stage).count() == 0
+
+
+def test_slim_sam(spark, tmp_path):
+    (tmp_path / "a.sam").write_text("@HD\tVN:1\nr1\t0\tR\t5\t60\t4M\t*\t0\t0\tACGT\tIIII\tNM:i:0\nr2\t16\tR\t7\t60\t2M\t*\t0\t0\tA\"\tII\n")
+    assert [tuple(r) for r in flat_files.sam_slim(spark, str(tmp_path / "a.sam")).collect()] == [("r1", "R", 5, "4M", "ACGT"), ("r2", "R", 7, "2M", 'A"')]
+
+
 def test_merging_that_goes_on_is_told(spark, stage):
     rng = random.Random(2)
     whole = "".join(rng.choice("ACGT") for _ in range(1000))
