@@ -58,8 +58,10 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def bucketed(df: DataFrame, key: str, some: DataFrame, name: str) -> DataFrame:
     """Write the rows of ``df`` whose key is in ``some`` (a row a key) as a table in the shared folder, bucketed by ``key`` as
-    finely as ``df`` is split, and read it back: joins by ``key`` then move the other side alone."""
-    spark, n = df.sparkSession, max(8, df.rdd.getNumPartitions())
+    finely as ``df`` is split and as shuffles are (Spark deals coarser buckets out anew), and read it back: joins by ``key``
+    then move the other side alone."""
+    spark = df.sparkSession
+    n = max(8, df.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
     table = f"{name}_{uuid.uuid4().hex}"
     held = df.repartition(n, key).join(some.repartition(n, key).hint("merge"), key, "left_semi")
     with shuffles_removed(spark):
