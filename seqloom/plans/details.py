@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from seqloom.functions import seq as S
 from seqloom.operators import hits as H
@@ -259,7 +260,7 @@ def damerau_pairs(spark, sf_dir):
     return V.table(spark, sf_dir, "part").select("p_partkey", damerau("p_name", "p_type").alias("distance"))
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def damerau(a: pd.Series, b: pd.Series) -> pd.Series:
     """Edits and swaps of neighbours between short strings, a column of the table at a time."""
     return pd.Series([S.damerau_distance(x, y) if x is not None and y is not None else None for x, y in zip(a, b, strict=True)], dtype="Int64")
@@ -282,8 +283,8 @@ PILE = f"""{V.SCAFFOLDS}, sscaf AS (SELECT s_suppkey AS reference, substr(transl
     pile AS (SELECT l_suppkey AS reference, l_quantity::BIGINT + l_linenumber - 4 AS pos, CASE l_returnflag WHEN 'A' THEN '20M' WHEN 'N' THEN '3S8M2I7M' ELSE CASE WHEN l_linestatus = 'F' THEN '6M2D14M' ELSE '14M11D6M' END END AS cigar,
              substr(seq, 1, 20) AS seq, l_linenumber::BIGINT AS size FROM lineitem JOIN scaf ON query = l_orderkey),
     psteps(cigar, op, n, ahead, off) AS (VALUES ('20M', 'M', 20, 0, 0), ('3S8M2I7M', 'S', 3, -3, 0), ('3S8M2I7M', 'M', 8, 0, 3), ('3S8M2I7M', 'I', 2, 8, 11), ('3S8M2I7M', 'M', 7, 8, 13), ('6M2D14M', 'M', 6, 0, 0), ('6M2D14M', 'D', 2, 6, 6), ('6M2D14M', 'M', 14, 8, 6), ('14M11D6M', 'M', 14, 0, 0)),
-    pe AS (SELECT reference, op, size, pos + ahead + i AS at, CASE WHEN pos + ahead + i < 1 OR pos + ahead + i > 61 THEN lower(substr(seq, off + i + 1, 1)) ELSE substr(seq, off + i + 1, 1) END AS letter FROM (SELECT *, unnest(range(0, n))::INT AS i FROM pile JOIN psteps USING (cigar) WHERE op <> 'I')),
-    pv AS (SELECT reference, at::BIGINT AS pos, CASE WHEN op = 'D' THEN 'D' WHEN op = 'M' OR at < 1 THEN letter ELSE 'S.' || letter END AS base, sum(size)::BIGINT AS votes FROM pe GROUP BY ALL),
+    pe AS (SELECT reference, op, size, pos + ahead + i AS spot, CASE WHEN pos + ahead + i < 1 OR pos + ahead + i > 61 THEN lower(substr(seq, off + i + 1, 1)) ELSE substr(seq, off + i + 1, 1) END AS letter FROM (SELECT *, unnest(range(0, n))::INT AS i FROM pile JOIN psteps USING (cigar) WHERE op <> 'I')),
+    pv AS (SELECT reference, spot::BIGINT AS pos, CASE WHEN op = 'D' THEN 'D' WHEN op = 'M' OR spot < 1 THEN letter ELSE 'S.' || letter END AS base, sum(size)::BIGINT AS votes FROM pe GROUP BY ALL),
     pi AS (SELECT reference, (pos + ahead)::BIGINT AS pos, CASE WHEN pos + ahead < 1 OR pos + ahead > 61 THEN lower(substr(seq, off + 1, n)) ELSE substr(seq, off + 1, n) END AS letters, sum(size)::BIGINT AS votes FROM pile JOIN psteps USING (cigar) WHERE op = 'I' GROUP BY ALL)"""
 
 

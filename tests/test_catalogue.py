@@ -41,3 +41,12 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).columns == ["query", "taxid", "rep", "flag"]
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_entry_without_a_session():
+    import subprocess
+    import sys
+
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    told = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()))"], cwd=home, capture_output=True, text=True, timeout=120)
+    assert told.returncode == 0 and int(told.stdout) >= len(QUERIES), told.stderr[-500:]
