@@ -12,6 +12,7 @@ from pyspark.sql.types import LongType
 from seqloom.functions import seq as S
 from seqloom.operators import hits as H
 from seqloom.operators import hsps as P
+from seqloom.operators import merge as M
 from seqloom.operators import pileup as L
 from seqloom.operators import proteins as R
 from seqloom.operators import sequences as Q
@@ -319,3 +320,27 @@ def pileup_insertions(spark, sf_dir):
     SELECT reference, string_agg(part, '' ORDER BY pos) AS seq, sum(length(part))::INT AS length FROM p GROUP BY reference""")
 def pileup_consensus(spark, sf_dir):
     return L.rebuilt(*pile_of(spark, sf_dir))
+
+
+# masks and overlays of scaffolds
+
+
+@query(f"""WITH {V.SCAFFOLDS}, m AS (SELECT query, seq, unnest(range(0, length(seq))) AS i FROM scaf), w AS (SELECT DISTINCT l_orderkey AS query, l_linenumber AS s, l_linenumber + l_quantity AS e FROM lineitem WHERE l_returnflag = 'R'),
+    b AS (SELECT DISTINCT m.query, i FROM m JOIN w ON w.query = m.query AND i >= s AND i < e)
+    SELECT m.query AS def, string_agg(CASE WHEN b.i IS NULL THEN substr(seq, m.i + 1, 1) ELSE 'N' END, '' ORDER BY m.i) AS seq FROM m LEFT JOIN b ON b.query = m.query AND b.i = m.i GROUP BY m.query""")
+def hit_mask(spark, sf_dir):
+    windows = V.table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("def"), F.col("l_linenumber").alias("start"), F.col("l_quantity").alias("length"))
+    return M.masked(V.scaffolds(spark, sf_dir).withColumnRenamed("query", "def"), windows).select("def", "seq")
+
+
+@query(f"""WITH {V.SCAFFOLDS}, m AS (SELECT query, seq, unnest(range(0, length(seq))) AS i FROM scaf),
+    q AS (SELECT l_orderkey AS query, l_linenumber AS s, l_partkey * 1000000 + l_suppkey * 10 + l_linenumber AS priority, substr(translate(md5(l_partkey::VARCHAR), '0123456789abcdef', 'ACGTACGTACGTACNa'), 1, 12) AS part FROM lineitem),
+    e AS (SELECT query, s + k AS i, priority, substr(part, k + 1, 1) AS c FROM (SELECT *, unnest(range(0, 12)) AS k FROM q)),
+    n AS (SELECT query, i, arg_min(c, priority) AS c FROM e WHERE upper(c) <> 'N' GROUP BY query, i)
+    SELECT m.query AS def, string_agg(CASE WHEN n.c IS NULL THEN substr(seq, m.i + 1, 1) WHEN upper(substr(seq, m.i + 1, 1)) = 'N' THEN n.c WHEN upper(substr(seq, m.i + 1, 1)) = upper(n.c) THEN substr(seq, m.i + 1, 1) ELSE lower(substr(seq, m.i + 1, 1)) END, '' ORDER BY m.i) AS seq
+    FROM m LEFT JOIN n ON n.query = m.query AND n.i = m.i GROUP BY m.query""")
+def overlay_parts(spark, sf_dir):
+    part = F.substring(F.translate(F.md5(F.col("l_partkey").cast("string").cast("binary")), "0123456789abcdef", "ACGTACGTACGTACNa"), 1, 12)
+    priority = F.col("l_partkey") * 1_000_000 + F.col("l_suppkey") * 10 + F.col("l_linenumber")
+    parts = V.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("parent"), F.col("l_linenumber").alias("start"), priority.alias("priority"), part.alias("seq"))
+    return M.overlaid(V.scaffolds(spark, sf_dir).withColumnRenamed("query", "def"), parts)
