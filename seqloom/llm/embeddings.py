@@ -69,9 +69,21 @@ def buckets(v: np.ndarray, k: int, tables: int) -> np.ndarray:
         return x ^ (x >> 29)
 
 
-def unit(data: list[bytes], kind: str) -> np.ndarray:
-    v = np.frombuffer(b"".join(data), kind).reshape(len(data), -1).astype("<f8")
-    return v / np.linalg.norm(v, axis=1, keepdims=True)
+class Vectors:
+    """A binary column of vectors, read where Arrow holds it: the bytes of each, and rows of one length as unit vectors."""
+
+    def __init__(self, column, kind: str):
+        column = (column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column).cast(pa.large_binary())
+        ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+        self.length, self.begin, self.kind = np.diff(ends), ends[:-1], np.dtype(kind)
+        self.data = np.frombuffer(column.buffers()[2], np.uint8)
+        same = len(self.length) and (self.length == self.length[0]).all()
+        self.whole = self.data[ends[0] : ends[-1]].reshape(len(self.length), -1) if same else None
+
+    def unit(self, rows: np.ndarray) -> np.ndarray:
+        flat = self.data[self.begin[rows][:, None] + np.arange(int(self.length[rows[0]]))] if self.whole is None else self.whole[rows]
+        v = flat.view(self.kind).astype("<f8")
+        return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
 def read_vectors(table: DataFrame) -> tuple[DataFrame, str]:
@@ -109,11 +121,10 @@ def near_duplicates(table: DataFrame, cosine: float = 0.9) -> DataFrame:
 
     def hashed(batches):
         for b in small(batches):
-            data, node = b.column("data").to_pylist(), b.column("node").to_numpy()
-            sizes = np.array([len(x) for x in data])
-            for size in np.unique(sizes):
-                at = np.flatnonzero(sizes == size)
-                x = buckets(unit([data[i] for i in at], kind), k, tables)
+            data, node = Vectors(b.column("data"), kind), b.column("node").to_numpy()
+            for size in np.unique(data.length):
+                at = np.flatnonzero(data.length == size)
+                x = buckets(data.unit(at), k, tables)
                 yield pa.RecordBatch.from_arrays([pa.array(x.reshape(-1)), pa.array(np.tile(np.arange(tables, dtype=np.int32), len(at))), pa.array(np.repeat(node[at], tables))], ["bucket", "t", "node"])
 
     member = staged(vectors.mapInArrow(hashed, "bucket long, t int, node long"), "vector-buckets")
@@ -158,15 +169,15 @@ def _links(t: pa.Table, kind: str, k: int, tables: int, cosine: float):
     start = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(0)]))
     size = np.diff(np.append(start, len(t)))
     part, node, copies = (t.column(c).to_numpy() for c in ("part", "node", "copies"))
-    data = t.column("data").to_pylist()
-    length = np.array([len(x) for x in data])
+    data = Vectors(t.column("data"), kind)
+    length = data.length
     few = np.repeat(size <= FEW, size)
     group = np.repeat(np.arange(len(size)), size)
     for n in np.unique(length):  # vectors of one length do not share buckets with others
         rows = np.flatnonzero(few & (length == n))
         if len(rows):
             pairs = []
-            v = unit([data[i] for i in rows], kind)
+            v = data.unit(rows)
             for d in range(1, FEW):
                 p = np.flatnonzero(group[rows[d:]] == group[rows[:-d]])
                 if not len(p):
@@ -186,7 +197,7 @@ def _links(t: pa.Table, kind: str, k: int, tables: int, cosine: float):
                 yield from _told(rows, p[keep], q[keep], node, copies)
     for g in np.flatnonzero(size > FEW):
         rows = np.arange(start[g], start[g] + size[g])
-        v = unit([data[i] for i in rows], kind) if (length[rows] == length[rows[0]]).all() else None
+        v = data.unit(rows) if (length[rows] == length[rows[0]]).all() else None
         if v is None:
             continue
         near = v @ v.T >= cosine
