@@ -183,8 +183,6 @@ def test_probabilities_sum_to_one_at_most():
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
-    from seqloom.llm.toxicity import split  # noqa: F401
-
     rng = random.Random(6)
     calm = ["".join(rng.choice(["ta", "ne", "lo", "ri"]) for _ in range(4)) for _ in range(300)]
     rows, marks = [], []
