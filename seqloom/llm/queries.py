@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqloom.llm import bpe, embeddings, exact_dedup, lattice, minhash, mixing, passages, secrets, token_files, toxicity
-from seqloom.llm.common import documents
+from seqloom.llm import archives, bpe, embeddings, exact_dedup, lattice, minhash, mixing, passages, secrets, spelling, token_files, toxicity, whitening
+from seqloom.llm.common import documents, staged
 
 TIKTOKEN_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PIECE_FILE = public_tokenizers.path("piece_bpe_32k.model")
@@ -63,6 +63,22 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(token_files.write_tokens(documents(spark, sf_dir), TOKENIZERS_FILE))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = spelling.runs(documents(spark, sf_dir), 7)
+    words = runs.select(spelling.slipped(F.col("doc_id"), F.col("word"), 31).alias("word"))
+    return spelling.variants(staged(spelling.counted(words, 7, 2), "spelling-words"), 10)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = whitening.whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), components=16, scale=64, base=1_000_000)
+    return told.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op13_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = archives.read_warc(archives.convert(archives.write_arc(spark.read.parquet(f"{sf_dir}/pages.parquet"))))
+    return told.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lattice": op1_lattice,
     "op2_bpe": op2_bpe,
@@ -74,6 +90,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_passages": op8_passages,
     "op9_toxicity": op9_toxicity,
     "op10_token_files": op10_token_files,
+    "op11_spelling": op11_spelling,
+    "op12_whitening": op12_whitening,
+    "op13_archives": op13_archives,
 }
 
 ORACLES: dict[str, str] = {
@@ -121,4 +140,24 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
                doc_id = first_value(doc_id) OVER w AS kept, text_sha256
         FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id)""",
+    "op11_spelling": r"""
+        WITH RECURSIVE g AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]{7,}')) AS w FROM documents),
+        c AS (SELECT doc_id, w, count(*) AS n FROM g GROUP BY ALL),
+        k AS (SELECT list_transform(range(0, 256), lambda i: list_reduce(range(0, 8), lambda x, s: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, i)) AS t),
+        h AS (SELECT w, n, xor(list_reduce(list_transform(regexp_extract_all(hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || w)), '..'), lambda x: ('0x' || x)::BIGINT),
+                                           lambda x, b: xor(x >> 8, t[(xor(x, b) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS crc FROM c, k),
+        m AS (SELECT CASE WHEN crc % 31 = 0 THEN substr(w, 1, crc % length(w)) || substr(w, crc % length(w) + 2) ELSE w END AS word, n FROM h),
+        v AS (SELECT word, sum(n)::BIGINT AS n FROM m WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+        x AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)),
+        p AS (SELECT a.word, b.word AS other FROM x a JOIN x b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+              UNION SELECT x.word, v.word FROM x JOIN v ON v.word = x.rest UNION SELECT v.word, x.word FROM x JOIN v ON v.word = x.rest),
+        o AS (SELECT v.word, v.n, count(*) AS n_near, arg_min(b.word, (-b.n, b.word)) AS top, max(b.n) AS top_n FROM p JOIN v USING (word) JOIN v b ON b.word = other GROUP BY ALL),
+        f AS (SELECT word, n_near, CASE WHEN top_n >= 10 * n THEN top END AS form, CASE WHEN top_n >= 10 * n THEN top_n END AS form_n FROM o),
+        r(word, root, hops) AS (SELECT word, form, 1 FROM f WHERE form IS NOT NULL UNION ALL SELECT r.word, f.form, hops + 1 FROM r JOIN f ON f.word = r.root WHERE f.form IS NOT NULL)
+        SELECT v.word, form, coalesce(e.root, v.word) AS root, n, coalesce(n_near, 0) AS n_near, form_n
+        FROM v LEFT JOIN f USING (word) LEFT JOIN (SELECT word, arg_max(root, hops) AS root FROM r GROUP BY word) e USING (word)""",
+    "op13_archives": r"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages),
+        t AS (SELECT *, sha1(h) AS payload_digest, payload_bytes >= 1000 AND page_id <> max(page_id) OVER (PARTITION BY h) AS again, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN top END AS refers_to FROM t""",
 }
