@@ -317,14 +317,16 @@ def read_warc(manifest: DataFrame, payloads: bool = False) -> DataFrame:
 
     def row(named: dict[str, str], block: bytes) -> dict:
         kind = named["warc-type"]
-        end = BREAK.search(block) if "http" in named.get("content-type", "") else None
-        payload = block[end.end() :] if end else block
+        answer = named.get("content-type", "").startswith("application/http")
+        end = BREAK.search(block) if answer else None
+        head = block[: end.end()] if end else block if answer else b""
+        payload = block[len(head) :]
         said = named["warc-payload-digest"]
         if kind != "revisit" and digest(payload) != said:
             raise ValueError(f"payload of {named['warc-record-id']} differs from its digest")
         size = int(named["x-payload-length"]) if kind == "revisit" else len(payload)
         return {
-            "record_id": named["warc-record-id"], "record_type": kind, "uri": named.get("warc-target-uri"), "moment": named["warc-date"], "page_id": page_of(block[: end.end()] if end else b""), "payload_bytes": size,
+            "record_id": named["warc-record-id"], "record_type": kind, "uri": named.get("warc-target-uri"), "moment": named["warc-date"], "page_id": page_of(head), "payload_bytes": size,
             "payload_digest": base64.b32decode(said.removeprefix("sha1:")).hex(), "refers_to_id": named.get("warc-refers-to"), "payload": payload if payloads and kind != "revisit" else None,
         }
 
