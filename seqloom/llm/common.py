@@ -56,17 +56,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, key: str, some: DataFrame, name: str) -> DataFrame:
+def bucketed(df: DataFrame, key: str, some: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write the rows of ``df`` whose key is in ``some`` (a row a key) as a table in the shared folder, bucketed by ``key`` as
     finely as ``df`` is split and as shuffles are (Spark deals coarser buckets out anew), and read it back: joins by ``key``
-    then move the other side alone."""
+    then move the other side alone. The table's name comes with it; whoever is done with it drops it from the catalog."""
     spark = df.sparkSession
     n = max(8, df.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
     table = f"{name}_{uuid.uuid4().hex}"
     held = df.repartition(n, key).join(some.repartition(n, key).hint("merge"), key, "left_semi")
     with shuffles_removed(spark):
         held.write.format("parquet").bucketBy(n, key).option("path", shared_dir(spark, name)).saveAsTable(table)
-    return spark.table(table)
+    return spark.table(table), table
 
 
 def join_lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", salts: int = 32, rows: int | None = None) -> DataFrame:
