@@ -6,8 +6,11 @@ from contigs or conflicts, N is a gap and n an observed tie.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The genetic code, stops as *.
 CODON_TABLE = {
@@ -89,26 +92,38 @@ def codons(seq) -> Column:
     return F.regexp_extract_all(col(seq), F.lit("(...)"), F.lit(1))
 
 
-def _place(codon) -> Column:
-    """A codon's place among the 64 in order of ACGT, from 1; null where it is not of ACGT."""
-    digits = F.translate(codon, "ACGT", "0123")
-    return F.when(digits.rlike("^[0-3]{3}$"), F.conv(digits, 4, 10).cast("int") + 1)
+def _places(text: str) -> np.ndarray:
+    """Each codon's place among the 64 in order of ACGT, from 0; 64 where it is not of ACGT."""
+    x = BASE_CODES[np.frombuffer(text.encode("latin-1", "replace"), np.uint8)]
+    three = x[: len(x) // 3 * 3].reshape(-1, 3)
+    return np.where((three < 4).all(axis=1), three @ np.array([16, 4, 1]), 64)
 
 
-def _by_codon(value) -> list:
-    return [value(CODON_TABLE[a + b + c]) for a in "ACGT" for b in "ACGT" for c in "ACGT"]
+BASE_CODES = np.full(256, 4, np.int64)
+BASE_CODES[np.frombuffer(b"ACGT", np.uint8)] = range(4)
+_CODONS = [CODON_TABLE[a + b + c] for a in "ACGT" for b in "ACGT" for c in "ACGT"]
+_ACIDS = np.frombuffer(("".join(_CODONS) + "X").encode(), np.uint8)
+_SCORES = np.array([BLOSUM_SELF[a] for a in _CODONS] + [-1])
+
+
+@F.pandas_udf(T.StringType())
+def _translated(seq: pd.Series) -> pd.Series:
+    return seq.map(lambda s: _ACIDS[_places(s)].tobytes().decode(), na_action="ignore")
+
+
+@F.pandas_udf(T.IntegerType())
+def _scored(seq: pd.Series) -> pd.Series:
+    return seq.map(lambda s: int(_SCORES[_places(s)].sum()), na_action="ignore").astype("Int32")
 
 
 def translate_codons(seq) -> Column:
-    """Amino acids of the codons; X where a codon is not of ACGT."""
-    acids = "".join(_by_codon(str))
-    return F.array_join(F.transform(codons(seq), lambda c: F.coalesce(F.substring(F.lit(acids), _place(c), F.lit(1)), F.lit("X"))), "")
+    """Amino acids of the codons; X where a codon is not of ACGT. A text is one look-up in numpy."""
+    return _translated(col(seq))
 
 
 def protein_self_score(seq) -> Column:
     """Sum of BLOSUM62 self scores over the codons; -1 for an unknown codon."""
-    scores = F.array(*[F.lit(v) for v in _by_codon(BLOSUM_SELF.get)])
-    return F.aggregate(codons(seq), F.lit(0), lambda acc, c: acc + F.coalesce(F.get(scores, _place(c) - 1), F.lit(-1)))
+    return _scored(col(seq))
 
 
 def nucleotide_self_score(seq) -> Column:
@@ -217,18 +232,37 @@ def with_gap(seq, offset, n) -> Column:
     return F.concat(F.substring(col(seq), F.lit(1), col(offset).cast("int")), F.repeat(F.lit("N"), col(n).cast("int")), F.substr(col(seq), (col(offset) + 1).cast("int")))
 
 
-def damerau_distance(a: str, b: str) -> int:
-    """Insertions, deletions, changes and swaps of neighbours that lead from a to b; what was swapped may be edited again."""
-    seen: dict[str, int] = {}
+def damerau_distance(a: str, b: str, swaps: bool = True) -> int:
+    """Insertions, deletions, changes and, with ``swaps``, swaps of neighbours that lead from a to b; what was swapped may be
+    edited again.
+
+    Only cells that a bound allows are filled, as many beside the diagonal as the bound; it doubles until the distance is
+    within it, so the cost is the length times the distance."""
+    most = max(8, abs(len(a) - len(b)))
+    while (found := _within(a, b, most, swaps)) is None:
+        most *= 2
+    return found
+
+
+def _within(a: str, b: str, most: int, swaps: bool) -> int | None:
     far = len(a) + len(b)
-    rows = [[far] * (len(b) + 2), [far, *range(len(b) + 1)]]
+    seen: dict[str, int] = {}
+    rows: list[dict[int, int]] = [{j: j for j in range(min(len(b), most) + 1)}]
     for i, x in enumerate(a, 1):
-        row, match = [far, i] + [0] * len(b), 0
-        for j, y in enumerate(b, 1):
+        up, match = rows[-1], 0
+        row = {0: i} if i <= most else {}
+        if i - most > 1:  # the last equal letter before the cells of this row
+            match = b.rfind(x, 0, i - most - 1) + 1
+        for j in range(max(1, i - most), min(len(b), i + most) + 1):
+            y = b[j - 1]
             k, m = seen.get(y, 0), match
             if x == y:
                 match = j
-            row[j + 1] = min(rows[i][j] + (x != y), row[j] + 1, rows[i][j + 1] + 1, rows[k][m] + i - k - 1 + 1 + j - m - 1)
+            best = min(up.get(j - 1, far) + (x != y), row.get(j - 1, far) + 1, up.get(j, far) + 1)
+            if swaps and k and m:
+                best = min(best, rows[k - 1].get(m - 1, far) + i - k + j - m - 1)
+            row[j] = best
         rows.append(row)
         seen[x] = i
-    return rows[-1][-1]
+    found = rows[-1].get(len(b), far)
+    return found if found <= most else None

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from seqloom.functions import seq as S
 from seqloom.operators.hits import NEAR, radius_bits, segments
+from seqloom.plans.stages import stage
 
 SEGMENT = ["query", "start", "length"]
 #: Powers of the two kinds, the ratio below which a position is lost, and the least ratio to a suppressor that rescues.
@@ -99,14 +100,15 @@ def known(found: DataFrame, scaffolds: DataFrame) -> DataFrame:
 
 def positions(ev: DataFrame, groups: DataFrame, scaffolds: DataFrame, target: str, suppressors: list[str]) -> tuple[DataFrame, DataFrame]:
     """The contest segment by segment. First: query, start, known, own, best, suppress (scores of the target, the best group and
-    the best suppressor) and state: good, bad, lost or rescued. Second: query, start, known, group, rep, score."""
+    the best suppressor) and state: good, bad, lost or rescued. Second: query, start, known, group, rep, score. Both are
+    written, as all that follows reads them several times."""
     kinds = ev.join(groups, "taxon").groupBy(*SEGMENT, "kind", "group").agg(F.max("density").alias("density"), F.sum("rep").alias("rep"))
-    by_group = known(kinds.groupBy(*SEGMENT, "group").agg(F.sum("density").alias("score"), F.sum("rep").alias("rep")), scaffolds).where("known > 0")
+    by_group = stage(known(kinds.groupBy(*SEGMENT, "group").agg(F.sum("density").alias("score"), F.sum("rep").alias("rep")), scaffolds).where("known > 0").drop("length"))
     of = lambda test: F.max(F.when(test, F.col("score")))
     wide = by_group.groupBy("query", "start", "known").agg(of(F.col("group") == target).alias("own"), F.max("score").alias("best"), of(F.col("group").isin(*suppressors)).alias("suppress"))
     ratio, saved = F.col("own") / F.col("best"), F.col("own") / F.col("suppress")
     state = F.when(F.col("own").isNull(), "bad").when(ratio >= LOSE, "good").when((saved >= RESCUE) & (saved < 1), "rescued").otherwise("lost")
-    return wide.withColumn("state", state), by_group.drop("length")
+    return stage(wide.withColumn("state", state)), by_group
 
 
 def contest(ev: DataFrame, groups: DataFrame, scaffolds: DataFrame, target: str, suppressors: list[str]) -> DataFrame:

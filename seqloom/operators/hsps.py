@@ -3,9 +3,11 @@ send, bits. What the merging rounds and the improvement loop decide is taken fro
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seqloom.plans.stages import numbered
+
 REVERSED = ";rev=1"
 
 
@@ -57,13 +59,11 @@ def jobs(pairs: DataFrame) -> DataFrame:
     """job: pairs (query, subject, bits) in the order in which they are tried: each query's best subject, then each one's
     second, and so on; within a turn forward subjects before others, then by bits and names.
 
-    Jobs are numbered by turns, each of which is counted, so that no task sees all pairs."""
-    own = Window.partitionBy("query").orderBy(F.col("bits").desc(), "subject")
-    rows = pairs.withColumns({"turn": F.row_number().over(own), "back": F.col("subject").endswith(REVERSED).cast("int")})
-    within = rows.withColumn("place", F.row_number().over(Window.partitionBy("turn", "back").orderBy(F.col("bits").desc(), "query", "subject")))
-    counts = rows.groupBy("turn", "back").agg(F.count("*").alias("n"))
-    skip = counts.withColumn("skip", F.coalesce(F.sum("n").over(Window.orderBy("turn", "back").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    return within.join(skip, ["turn", "back"]).select("query", "subject", "bits", "turn", (F.col("place") + F.col("skip")).alias("job"))
+    Places in either order come from sorted partitions, so no task sees all pairs, nor all of a query."""
+    own = numbered(pairs, "place", "query", F.desc("bits"), "subject")
+    first = own.groupBy("query").agg(F.min("place").alias("first"))
+    rows = own.join(first, "query").withColumns({"turn": (F.col("place") - F.col("first") + 1).cast("int"), "back": F.col("subject").endswith(REVERSED).cast("int")})
+    return numbered(rows, "job", "turn", "back", F.desc("bits"), "query", "subject").select("query", "subject", "bits", "turn", "job")
 
 
 def distances(hsps: DataFrame, lengths: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqloom.functions import seq as S
+from seqloom.plans.stages import stage
 
 #: A deletion of more than this share of the matches parts a read; reads match over half of their letters; deletions
 #: of more than this share of a read's letters do not vote.
@@ -28,19 +29,28 @@ def clipped(steps):
     return F.transform(steps, lambda s, i: F.struct(s["op"].alias("op"), s["n"].alias("n"), (parted & lighter(i)).alias("hidden")))
 
 
+def placed(steps, begin):
+    """CIGAR steps with where each begins: at (on the reference, where the first is at ``begin``) and off (in the read, from 0)."""
+    kind = "array<struct<op:string,n:int,hidden:boolean,at:bigint,off:int>>"
+    start = F.struct(begin.cast("long").alias("at"), F.lit(0).alias("off"), F.array().cast(kind).alias("out"))
+    moves = lambda s, *ops: F.when(s["op"].isin(*ops), s["n"]).otherwise(0)
+
+    def add(a, s):
+        step = F.struct(s["op"].alias("op"), s["n"].alias("n"), s["hidden"].alias("hidden"), a["at"].alias("at"), a["off"].alias("off"))
+        return F.struct((a["at"] + moves(s, "M", "D", "S")).alias("at"), (a["off"] + moves(s, "M", "I", "S")).alias("off"), F.concat(a["out"], F.array(step)).alias("out"))
+
+    return F.aggregate(steps, start, add, lambda a: a["out"])
+
+
 def steps(alignments: DataFrame) -> DataFrame:
-    """Every CIGAR step that shows, with where it begins: at (on the reference, from 1) and off (in the read, from 0). A soft
-    clip at the beginning lies before the alignment's position."""
+    """Every CIGAR step that shows, with at and off, and the read's reference, seq, size and holed. A soft clip at the beginning
+    lies before the alignment's position. Places are summed up within a row, so nothing is shuffled."""
     rows = alignments.withColumn("steps", S.cigar_steps("cigar")).withColumn("steps", clipped("steps"))
     shown = lambda op: F.aggregate("steps", F.lit(0), lambda a, s: a + F.when((s["op"] == op) & ~s["hidden"], s["n"]).otherwise(0))
     rows = rows.where(shown("M") >= LEAST_MATCH * F.length("seq")).withColumn("holed", shown("D") > MOST_DELETED * F.length("seq"))
     head = F.when(F.col("steps")[0]["op"] == "S", F.col("steps")[0]["n"]).otherwise(0)
-    rows = rows.withColumns({"row": F.monotonically_increasing_id(), "begin": F.col("pos") - head})
-    flat = rows.select("row", "reference", "begin", "seq", "size", "holed", F.posexplode("steps").alias("k", "s")).select("*", "s.*").drop("s")
-    before = Window.partitionBy("row").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
-    moved = lambda *ops: F.coalesce(F.sum(F.when(F.col("op").isin(*ops), F.col("n")).otherwise(0)).over(before), F.lit(0))
-    placed = flat.withColumns({"at": F.col("begin") + moved("M", "D", "S"), "off": moved("M", "I", "S").cast("int")})
-    return placed.where("NOT hidden").drop("begin", "k", "hidden")
+    every = placed(F.col("steps"), F.col("pos") - head)
+    return rows.select("reference", "seq", "size", "holed", F.inline(F.filter(every, lambda s: ~s["hidden"]))).drop("hidden")
 
 
 def ends(scaffolds: DataFrame, pad: int) -> DataFrame:
@@ -49,23 +59,29 @@ def ends(scaffolds: DataFrame, pad: int) -> DataFrame:
     return scaffolds.select("reference", F.when(contig, F.lit(-(1 << 31))).otherwise(pad + 1).alias("first"), F.when(contig, F.lit(1 << 31)).otherwise(F.length("seq") + 1 - pad).alias("last"))
 
 
-def votes(alignments: DataFrame, scaffolds: DataFrame, pad: int = 0) -> DataFrame:
-    """reference, pos, base, votes. A deletion is D; a soft-clipped letter is S.x, but before the first position a letter
-    like any other."""
-    s = steps(alignments).where("op IN ('M', 'S') OR (op = 'D' AND NOT holed)").join(ends(scaffolds, pad), "reference")
-    each = s.select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i")).withColumn("pos", (F.col("at") + F.col("i")).cast("long"))
-    plain = F.substring("seq", F.col("off") + F.col("i") + 1, F.lit(1))
+def tallied(alignments: DataFrame, scaffolds: DataFrame, pad: int = 0) -> DataFrame:
+    """reference, pos, inserted, letters, votes of letters, deletions and insertions, in one pass over the reads. A deletion is D; a
+    soft-clipped letter is S.x, but before the first position a letter like any other. Insertions stand at the base
+    behind them; at a read's end they do not count."""
+    s = steps(alignments).where("op IN ('M', 'S') OR (op = 'D' AND NOT holed) OR (op = 'I' AND off + n < length(seq))").join(ends(scaffolds, pad), "reference")
+    whole = F.array(F.struct(F.lit(0).alias("i"), F.col("n").alias("m")))
+    single = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.struct(i.alias("i"), F.lit(1).alias("m")))
+    each = s.select("*", F.inline(F.when(F.col("op") == "I", whole).otherwise(single))).withColumn("pos", F.col("at") + F.col("i"))
+    plain = F.substring("seq", F.col("off") + F.col("i") + 1, F.col("m"))
     letter = F.when((F.col("pos") < F.col("first")) | (F.col("pos") > F.col("last")), F.lower(plain)).otherwise(plain)
-    base = F.when(F.col("op") == "D", "D").when((F.col("op") == "M") | (F.col("pos") < F.col("first")), letter).when(F.col("pos") >= 1, F.concat(F.lit("S."), letter))
-    return each.select("reference", "pos", base.alias("base"), "size").where("base IS NOT NULL").groupBy("reference", "pos", "base").agg(F.sum("size").alias("votes"))
+    told = F.when(F.col("op") == "D", "D").when(F.col("op").isin("M", "I") | (F.col("pos") < F.col("first")), letter).when(F.col("pos") >= 1, F.concat(F.lit("S."), letter))
+    rows = each.select("reference", "pos", (F.col("op") == "I").alias("inserted"), told.alias("letters"), "size").where("letters IS NOT NULL")
+    return rows.groupBy("reference", "pos", "inserted", "letters").agg(F.sum("size").alias("votes"))
+
+
+def votes(alignments: DataFrame, scaffolds: DataFrame, pad: int = 0) -> DataFrame:
+    """reference, pos, base, votes."""
+    return tallied(alignments, scaffolds, pad).where("NOT inserted").select("reference", "pos", F.col("letters").alias("base"), "votes")
 
 
 def insertions(alignments: DataFrame, scaffolds: DataFrame, pad: int = 0) -> DataFrame:
-    """reference, pos (the base behind), letters, votes; insertions at a read's end do not count."""
-    s = steps(alignments).where("op = 'I' AND off + n < length(seq)").join(ends(scaffolds, pad), "reference")
-    plain = F.substring("seq", F.col("off") + 1, F.col("n"))
-    letters = F.when((F.col("at") < F.col("first")) | (F.col("at") > F.col("last")), F.lower(plain)).otherwise(plain)
-    return s.select("reference", F.col("at").cast("long").alias("pos"), letters.alias("letters"), "size").groupBy("reference", "pos", "letters").agg(F.sum("size").alias("votes"))
+    """reference, pos (the base behind), letters, votes."""
+    return tallied(alignments, scaffolds, pad).where("inserted").select("reference", "pos", "letters", "votes")
 
 
 def called(voted: DataFrame) -> DataFrame:
@@ -82,8 +98,9 @@ def rebuilt(alignments: DataFrame, scaffolds: DataFrame, pad: int = 0) -> DataFr
     win fall out, positions without votes are N (n where the scaffold has n). An insertion of as many votes as are left
     for the base, less those of all insertions, comes before it; several of as many votes are n. What the scaffold has
     in lower case, or does not have, is lower case. Scaffolds without reads are left out."""
-    tops = called(votes(alignments, scaffolds, pad))
-    ins = insertions(alignments, scaffolds, pad)
+    told = stage(tallied(alignments, scaffolds, pad))
+    tops = called(told.where("NOT inserted").select("reference", "pos", F.col("letters").alias("base"), "votes"))
+    ins = told.where("inserted")
     here = Window.partitionBy("reference", "pos")
     most = ins.withColumns({"most": F.max("votes").over(here), "all": F.sum("votes").over(here)}).where("votes = most")
     best = most.groupBy("reference", "pos").agg(F.max("letters").alias("letters"), F.count("*").alias("same"), F.max("most").alias("most"), F.max("all").alias("all"))

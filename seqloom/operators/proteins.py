@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqloom.functions import seq as S
+from seqloom.operators.pileup import placed
 
 #: A read whose deletions are more than this share of its codons does not vote for them.
 MOST_DELETED = 0.3
@@ -41,12 +42,10 @@ def codon_votes(alignments: DataFrame) -> DataFrame:
     rows = alignments.withColumn("read_codons", S.codons(F.substr(strand, begin.cast("int")))).withColumn("steps", S.cigar_steps("cigar"))
     lost = F.aggregate("steps", F.lit(0), lambda a, s: a + F.when(s["op"] == "D", s["n"]).otherwise(0))
     rows = rows.withColumn("counts", (lost <= MOST_DELETED * F.size("read_codons")) & (F.size("read_codons") > 0)).where(F.size("read_codons") > 0)
-    rows = rows.withColumn("row", F.monotonically_increasing_id())
-    flat = rows.select("row", "reference", "pos", "size", "counts", "read_codons", F.posexplode("steps").alias("k", "step"))
-    before = Window.partitionBy("row").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
-    moved = lambda ops: F.coalesce(F.sum(F.when(F.col("step.op").isin(*ops), F.col("step.n")).otherwise(0)).over(before), F.lit(0)).cast("int")
-    placed = flat.withColumns({"at": F.col("pos") - 1 + moved(["M", "S", "D"]), "off": moved(["M", "S", "I"])}).where("step.op IN ('M', 'S') OR (step.op = 'D' AND counts)")
-    each = placed.select("reference", "size", "at", "off", "read_codons", "step.op", F.explode(F.sequence(F.lit(0), F.col("step.n") - 1)).alias("i"))
+    shown = F.transform("steps", lambda s: F.struct(s["op"].alias("op"), s["n"].alias("n"), F.lit(False).alias("hidden")))
+    flat = rows.select("reference", "size", "counts", "read_codons", F.inline(placed(shown, F.col("pos") - 1)))
+    flat = flat.where("op IN ('M', 'S') OR (op = 'D' AND counts)")
+    each = flat.select("reference", "size", "at", "off", "read_codons", "op", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
     codon = F.when(F.col("op") == "D", "DDD").otherwise(F.get("read_codons", F.col("off") + F.col("i")))
     named = each.select("reference", (F.col("at") + F.col("i")).cast("long").alias("pos"), codon.alias("codon"), "size")
     return named.where("codon IS NOT NULL AND pos >= 0").groupBy("reference", "pos", "codon").agg(F.sum("size").alias("votes"))

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqloom.functions import seq as S
+from seqloom.plans.stages import batches_bounded
 
 LEAST = 50
 WORDS = [a + b + c for a in "ACGT" for b in "ACGT" for c in "ACGT"]
+#: 0 to 3 for the bases, N is left out, 4 for all else.
+SKIPPED = 5
+PLACES = np.full(256, 4, np.uint8)
+PLACES[np.frombuffer(b"ACGTNacgtn", np.uint8)] = [0, 1, 2, 3, SKIPPED] * 2
 
 
 def dereplicate(seqs: DataFrame) -> DataFrame:
@@ -34,19 +41,33 @@ def both_strands(seqs: DataFrame) -> DataFrame:
     return seqs.select(F.inline(rows))
 
 
-def _threes(seq) -> Column:
-    """The words of three letters, from every start but the last, each with a bar behind it."""
-    body = F.expr(f"substring({seq}, 1, greatest(length({seq}) - 1, 0))")
-    return F.concat(*[F.regexp_replace(F.substr(body, F.lit(i)), "(...)", "$1|") for i in (1, 2, 3)])
+def histograms(seqs: DataFrame, *keep: str) -> DataFrame:
+    """The columns ``keep`` (def, if none is named) and counts: how often each of the words of three bases, from every start
+    but the last, occurs in a sequence without N, in order of WORDS. One row in, one row out, one pass over its letters:
+    nothing is shuffled."""
+    keep = keep or ("def",)
+    batches_bounded(seqs.sparkSession)
 
+    def run(batches):
+        for b in batches:
+            counts = np.array([_threes(s) for s in b.column("seq").to_pylist()], np.int64).reshape(-1, 64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(counts) + 1) * 64, pa.int32()), pa.array(counts.ravel()))
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), lists], [*keep, "counts"])
 
-def histograms(seqs: DataFrame) -> DataFrame:
-    """def, counts: how often each of the words of three bases occurs in a sequence without N, in order of WORDS. One row
-    in, one row out: a word's count is what taking it out shortens the text of all words by, so nothing is shuffled."""
-    bare = seqs.select("def", "seq", F.translate(F.upper("seq"), "N", "").alias("bare"))
-    cut = bare.select("def", "seq", _threes("bare").alias("cut"))
-    n = F.length("cut")
-    return cut.select("def", "seq", F.array(*[((n - F.length(F.replace(F.col("cut"), F.lit(f"{w}|"), F.lit("")))) / 4).cast("long") for w in WORDS]).alias("counts"))
+    kinds = ", ".join(f"`{c}` {t}" for c, t in seqs.select(*keep).dtypes)
+    return seqs.select(*dict.fromkeys([*keep, "seq"])).mapInArrow(run, f"{kinds}, counts array<long>")
+
+
+def _threes(text: str | None, part: int = 1 << 22) -> np.ndarray:
+    """Counts of the 64 words of three bases; words with other letters count for none."""
+    out = np.zeros(64, np.int64)
+    x = PLACES[np.frombuffer((text or "").encode("latin-1", "replace"), np.uint8)]
+    x = x[x != SKIPPED][:-1]
+    for at in range(0, len(x) - 2, part):
+        piece = x[at : at + part + 2]
+        a, b, c = piece[:-2], piece[1:-1], piece[2:]
+        out += np.bincount((a << 4 | b << 2 | c)[(a | b | c) < 4], minlength=64)
+    return out
 
 
 def kmer_counts(seqs: DataFrame, k: int, step: int = 1) -> DataFrame:
@@ -71,7 +92,7 @@ def entropy(seqs: DataFrame) -> DataFrame:
 
 def rich(seqs: DataFrame, limit: float = 5.0) -> DataFrame:
     """Sequences of more than ``limit`` bits a word; those without a word stay, as nothing speaks against them."""
-    return histograms(seqs).where(F.coalesce(_bits(F.col("counts")) > limit, F.lit(True))).select("def", "seq")
+    return histograms(seqs, "def", "seq").where(F.coalesce(_bits(F.col("counts")) > limit, F.lit(True))).select("def", "seq")
 
 
 def islands(seqs: DataFrame, least: int = LEAST) -> DataFrame:

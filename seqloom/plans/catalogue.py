@@ -61,9 +61,10 @@ GROUPS = {10: "first", 11: "second", 12: "third"}
 GROUP_SQL = "grp AS (SELECT taxid AS taxon, coalesce(max(CASE WHEN ancestor IN (10, 11, 12) THEN CASE ancestor WHEN 10 THEN 'first' WHEN 11 THEN 'second' ELSE 'third' END END), 'unknown') AS \"group\" FROM closed GROUP BY taxid)"
 
 
-def cover_of(spark, sf_dir):
-    """The 1,000 best hits of a query, as the number that is looked at is a feature of the analysis."""
-    return H.covered(H.top_n(H.usable(V.hits(spark, sf_dir)), 1000, V.HIT_ORDER))
+def cover_of(spark, sf_dir, most: int = 1000):
+    """The ``most`` best hits of a query in their segments. A limit of hits is a feature of the analysis: 1,000 for the filter,
+    100,000 to classify."""
+    return H.covered(H.top_n(H.usable(V.hits(spark, sf_dir)), most, V.HIT_ORDER))
 
 
 def groups_of(spark, sf_dir):
@@ -279,7 +280,7 @@ def taxid_repair(spark, sf_dir):
     return T.repair(wanted, V.taxonomy(spark, sf_dir), merged, deleted)
 
 
-@query(f"""WITH RECURSIVE {CLOSED}, {COVER}, rep AS (SELECT c.query, c.taxon, sum(pow(c.density / b.top, 3.0) * c.len) AS rep FROM cover c JOIN best b USING (query, start, taxon) GROUP BY ALL),
+@query(f"""WITH RECURSIVE {CLOSED}, {COVER.replace("rn <= 1000", "rn <= 100000")}, rep AS (SELECT c.query, c.taxon, sum(pow(c.density / b.top, 3.0) * c.len) AS rep FROM cover c JOIN best b USING (query, start, taxon) GROUP BY ALL),
     up AS (SELECT query, taxon, rep, sum(rep) OVER (PARTITION BY query) AS total FROM rep),
     depth AS (SELECT taxid, max(hops) AS depth FROM closed GROUP BY 1),
     n AS (SELECT query, ancestor, sum(rep) AS rep, max(total) AS total, any_value(depth) AS depth FROM up JOIN closed ON taxid = taxon JOIN depth d ON d.taxid = ancestor GROUP BY query, ancestor),
@@ -288,7 +289,7 @@ def taxid_repair(spark, sf_dir):
                  bool_or(wins) OVER (PARTITION BY query) AS any, count(*) OVER (PARTITION BY query) AS n FROM w)
     SELECT query, ancestor AS taxid, floor((rep) * 1e6 + 0.501) / 1e6 AS rep, CASE WHEN NOT "any" THEN 'noMajority' WHEN rep < 2 / 3 * total THEN 'noSupermajority' ELSE '' END AS flag FROM r WHERE CASE WHEN "any" THEN first = 1 ELSE second = least(2, n) END""")
 def weighted_lca(spark, sf_dir):
-    reps = H.representation(cover_of(spark, sf_dir)).withColumnRenamed("taxon", "taxid")
+    reps = H.representation(cover_of(spark, sf_dir, 100_000)).withColumnRenamed("taxon", "taxid")
     return T.weighted_lca(reps, T.closure(V.taxonomy(spark, sf_dir)), stop=10).select("query", "taxid", six("rep"), "flag")
 
 

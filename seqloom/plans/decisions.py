@@ -19,17 +19,17 @@ from seqloom.plans.catalogue import CASE_SELF, CLOSED, GROUP_SQL, groups_of, que
 from seqloom.plans.stages import stage
 
 TARGET, SUPPRESSORS, INFO = "first", ["third"], 60.0
-#: Most hits of a query and kind that are looked at.
-MOST = 1000
+#: Most hits of a query and kind that are looked at: by the filter, and by all that classifies.
+MOST, CLASSIFIED = 1_000, 100_000
 
 
 def rounded(x: str, name: str) -> str:
     return f"floor(({x}) * 1e6 + 0.501) / 1e6 AS {name}"
 
 
-def dual(floor: float = 10.0, share: float = 0.1) -> str:
+def dual(floor: float = 10.0, share: float = 0.1, most: int = MOST) -> str:
     return f"""{V.DUAL_HITS}, {V.SCAFFOLDS},
-    dtop AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query, kind ORDER BY {', '.join(V.HIT_ORDER)}) AS rn FROM dhits WHERE evalue <= 0.1) WHERE rn <= {MOST}),
+    dtop AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query, kind ORDER BY {', '.join(V.HIT_ORDER)}) AS rn FROM dhits WHERE evalue <= 0.1) WHERE rn <= {most}),
     dcuts AS (SELECT query, qstart AS start FROM dtop UNION SELECT query, qend + 1 FROM dtop),
     dseg AS (SELECT * FROM (SELECT query, start, lead(start) OVER (PARTITION BY query ORDER BY start) - 1 AS stop FROM dcuts) WHERE stop IS NOT NULL),
     dcov AS (SELECT h.*, start, stop - start + 1 AS len, CASE WHEN kind = 'NUC' THEN least(bits / (qend - qstart + 1), {S.BITS_CAP!r}::DOUBLE) ELSE bits / (qend - qstart + 1) END AS density
@@ -84,30 +84,32 @@ POOL = """pf AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY round(
     pt AS (SELECT p.query, "group", taxon, overall, CASE WHEN fn OR fa OR (overall > lower AND nuc > 0 AND nuc > lower_nuc AND NOT (aa < lower_aa AND aa > 200)) THEN 1
                   WHEN overall > lower AND NOT (nuc > 0 AND nuc < lower_nuc) THEN 2 WHEN overall > lower THEN 3 END AS tier FROM pf p JOIN lim USING (query) WHERE "group" <> 'third'),
     pool AS (SELECT query, "group", taxon, overall FROM (SELECT *, min(tier) OVER (PARTITION BY query, "group") AS low FROM pt WHERE tier IS NOT NULL) WHERE tier = low)"""
-FULL = f"WITH RECURSIVE {CLOSED}, {GROUP_SQL}, {dual()}, {SCORES}, {MAXIMA}"
+FULL = f"WITH RECURSIVE {CLOSED}, {GROUP_SQL}, {dual(most=CLASSIFIED)}, {SCORES}, {MAXIMA}"
 
 
-def cover_of(spark, sf_dir):
+def cover_of(spark, sf_dir, most: int = MOST):
+    """The ``most`` best hits of each query and kind in their segments. A limit of hits is a feature of the analysis."""
     best = [F.col(o.split()[0]).desc() if o.endswith("DESC") else F.col(o).asc() for o in V.HIT_ORDER]
     order = F.row_number().over(H.Window.partitionBy("query", "kind").orderBy(*best))
-    return D.covered(H.usable(V.dual_hits(spark, sf_dir)).withColumn("rn", order).where(F.col("rn") <= MOST))
+    return D.covered(H.usable(V.dual_hits(spark, sf_dir)).withColumn("rn", order).where(F.col("rn") <= most))
 
 
-def evidence_of(spark, sf_dir):
+def evidence_of(spark, sf_dir, most: int = MOST):
     """Written once, as every decision uses it several times."""
-    return stage(D.evidence(D.supported(cover_of(spark, sf_dir))))
+    return stage(D.evidence(D.supported(stage(cover_of(spark, sf_dir, most)))))
 
 
 def scored_of(spark, sf_dir):
-    cover = cover_of(spark, sf_dir)
+    """What classifies: the evidence, taxon scores, and maxima, from one cover that is written once."""
+    cover = stage(cover_of(spark, sf_dir, CLASSIFIED))
     ev = stage(D.evidence(D.supported(cover)))
-    scored = D.scores(ev, groups_of(spark, sf_dir))
-    return ev, scored, D.maxima(scored, D.attainable(cover, V.scaffolds(spark, sf_dir)))
+    scored = stage(D.scores(ev, groups_of(spark, sf_dir)))
+    return ev, scored, stage(D.maxima(scored, D.attainable(cover, V.scaffolds(spark, sf_dir))))
 
 
 @query(f"""WITH {dual()}, per AS (SELECT DISTINCT query, start, len, kind, top, n FROM dacc)
-    SELECT query, start, len AS length, {rounded("a.top", "top_aa")}, a.n AS n_aa, {rounded("b.top", "top_nuc")}, b.n AS n_nuc
-    FROM (SELECT * FROM per WHERE kind = 'AA') a FULL JOIN (SELECT * FROM per WHERE kind = 'NUC') b USING (query, start, len)""")
+    SELECT query, start, len AS length, {rounded("max(CASE WHEN kind = 'AA' THEN top END)", "top_aa")}, max(CASE WHEN kind = 'AA' THEN n END) AS n_aa,
+           {rounded("max(CASE WHEN kind = 'NUC' THEN top END)", "top_nuc")}, max(CASE WHEN kind = 'NUC' THEN n END) AS n_nuc FROM per GROUP BY query, start, len""")
 def dual_segments(spark, sf_dir):
     return D.both_kinds(D.supported(cover_of(spark, sf_dir))).select("query", "start", "length", six("top_aa"), "n_aa", six("top_nuc"), "n_nuc")
 

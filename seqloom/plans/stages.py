@@ -29,6 +29,13 @@ def stage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def batches_bounded(spark: SparkSession, most: int = 4 << 20) -> None:
+    """Before Python tasks on whole sequences: Arrow batches of so many bytes at most."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name).lower().rstrip("b")) > most:
+        spark.conf.set(name, f"{most}b")
+
+
 def numbered(rows: DataFrame, name: str, *order) -> DataFrame:
     """Rows with their place in the order, from 1. Sorted partitions are numbered within themselves and by what stands before
     them, so that no task sees all rows; one row a partition is summed up in one."""

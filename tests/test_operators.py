@@ -135,31 +135,6 @@ def test_shared_words(spark):
     assert sorted(tuple(sorted(r)) for r in got) == [("a", "b"), ("a", "b")]
 
 
-@pytest.mark.parametrize("left,right,at,contig,want", [
-    ("ACGTAC", "TACGG", 3, False, ("ACGTACGG", 3, 0, 0)), ("ACNNAC", "GTAC", 2, True, ("ACgtAC", 2, 0, 2)), ("ANNA", "NN", 1, False, ("ANNA", 0, 0, 0)), ("ACGT", "CT", 1, False, ("ACnT", 1, 1, 0)),
-])
-def test_laid_over(left, right, at, contig, want):
-    assert merge.laid_over(left, right, at, contig) == want
-
-
-def test_merge_fixpoint(spark, stage):
-    rng = random.Random(2)
-    whole = "".join(rng.choice("ACGT") for _ in range(1000))
-    rows = [("a", whole[:400]), ("b", whole[250:700]), ("c", whole[560:]), ("lone", "".join(rng.choice("ACGT") for _ in range(300)))]
-    got = merge.merged(spark.createDataFrame(rows, "def string, seq string"), merge.MODES["default"], stage).collect()
-    assert {r["seq"] for r in got} == {whole, rows[3][1]}
-
-
-def test_merge_of_deep_regions_and_strands(spark, stage):
-    rng = random.Random(4)
-    whole = "".join(rng.choice("ACGT") for _ in range(600))
-    flip = str.maketrans("ACGT", "TGCA")
-    rows = [(f"s{i:02d}", whole[4 * i : 4 * i + 420]) for i in range(45)]
-    rows = [(d, s if i % 2 else s.translate(flip)[::-1]) for i, (d, s) in enumerate(rows)]
-    got = merge.merged(spark.createDataFrame(rows, "def string, seq string"), merge.MODES["default"], stage, frequent=8).collect()
-    assert len(got) == 1 and got[0]["seq"] in (whole[:596], whole[:596].translate(flip)[::-1])
-
-
 def plain_unitigs(seqs, k):
     flip = lambda s: s.translate(str.maketrans("ACGT", "TGCA"))[::-1]
     nodes = {s[i : i + k] for q in seqs for s in (q, flip(q)) for i in range(len(s) - k + 1)}
@@ -199,22 +174,12 @@ def test_slim_sam(spark, tmp_path):
     assert [tuple(r) for r in flat_files.sam_slim(spark, str(tmp_path / "a.sam")).collect()] == [("r1", "R", 5, "4M", "ACGT"), ("r2", "R", 7, "2M", 'A"')]
 
 
-def test_merging_that_goes_on_is_told(spark, stage):
-    rng = random.Random(2)
-    whole = "".join(rng.choice("ACGT") for _ in range(1000))
-    rows = spark.createDataFrame([("a", whole[:400]), ("b", whole[250:700]), ("c", whole[560:])], "def string, seq string")
-    with pytest.raises(ValueError, match="goes on"):
-        merge.merged(rows, merge.MODES["default"], stage, rounds=1)
-
-
-def test_overlay_mask_improve(spark, stage):
+def test_overlay_and_mask(spark):
     g = spark.createDataFrame([("g", "ACGNNTAC"), ("h", "AAAAAAAAAA")], "def string, seq string")
     parts = spark.createDataFrame([("g", 2, 1, "GTCA"), ("g", 3, 2, "A")], "parent string, start int, priority int, seq string")
     assert dict(map(tuple, merge.overlaid(g, parts).collect()))["g"] == "ACGTCtAC"
     windows = spark.createDataFrame([("h", 2, 2), ("h", 3, 2)], "def string, start int, length int")
     assert dict(map(tuple, merge.masked(g, windows).collect())) == {"g": "ACGNNTAC", "h": "AANNNAAAAA"}
-    grown = merge.improved(g, lambda s, cycle: s.select("def", F.expr("if(length(seq) < 12, concat(seq, 'A'), seq)").alias("seq")), stage)
-    assert {len(r["seq"]) for r in grown.collect()} == {12}
 
 
 def test_contained_and_renamed(spark):
