@@ -53,7 +53,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(df.sparkSession, name)
     with shuffles_removed(df.sparkSession):
         df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def released(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more: all that came of them has itself been written."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.staged_at)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def bucketed(df: DataFrame, key: str, some: DataFrame, name: str) -> tuple[DataFrame, str]:
