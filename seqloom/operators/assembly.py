@@ -2,7 +2,8 @@
 
 Every word of either strand is a node; a word leads to the one that shares all but its first letter, if no other word
 does and no other word leads there. Chains are found by pointers that double their reach each turn, so a chain of n words
-takes log2(n) joins. The strand of a unitig that comes first by letters stands for both.
+takes log2(n) joins. The strand of a unitig that comes first by letters stands for both. Errors make tips and bubbles, which
+are taken away; longer words then part what shorter ones confuse.
 """
 
 from __future__ import annotations
@@ -26,7 +27,11 @@ def words(seqs: DataFrame, k: int, least: int) -> DataFrame:
 def unitigs(seqs: DataFrame, k: int, stage: Callable[[DataFrame], DataFrame], least: int = 1) -> DataFrame:
     """seq, length, depth (mean count of its words), circular: the unitigs of the words of k bases (odd, so that no word is its
     own other strand). Circles are cut before their least word."""
-    nodes = stage(words(seqs, k, least))
+    return unitigs_of(stage(words(seqs, k, least)), k, stage)
+
+
+def unitigs_of(nodes: DataFrame, k: int, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The unitigs of words (word, n), of which both strands are there."""
     ends = nodes.select("word", F.substring("word", 1, k - 1).alias("head"), F.substring("word", 2, k - 1).alias("tail"))
     out = ends.groupBy(F.col("tail").alias("mid")).agg(F.count("*").alias("froms"), F.min("word").alias("a"))
     into = ends.groupBy(F.col("head").alias("mid")).agg(F.count("*").alias("tos"), F.min("word").alias("b"))
@@ -56,6 +61,52 @@ def unitigs(seqs: DataFrame, k: int, stage: Callable[[DataFrame], DataFrame], le
     return named.groupBy("seq", "circular").agg(F.max("depth").alias("depth")).select("seq", F.length("seq").alias("length"), "depth", "circular")
 
 
+def weak(found: DataFrame, k: int) -> DataFrame:
+    """seq of the unitigs that errors make: tips and the lesser sides of bubbles.
+
+    A tip is shorter than two words, begins where nothing leads to, and ends where a better unitig ends, too. A bubble's sides
+    begin and end alike, are at most three words long, and differ by a word in length at most. Better is the deeper one, then
+    the longer, then the greater by letters, so of unitigs that compete at one place the best always stays."""
+    rows = found.where("NOT circular").select("seq", "depth", "length")
+    ways = rows.select("seq", "depth", "length", F.explode(F.array("seq", S.reverse_complement("seq"))).alias("way"))
+    sides = ways.select("seq", "depth", "length", F.substring("way", 1, k - 1).alias("head"), F.expr(f"substring(way, -{k - 1})").alias("tail"))
+    rank = F.struct("depth", "length", "seq")
+    dead = sides.join(sides.select(F.col("tail").alias("head")).distinct(), "head", "left_anti").where(F.col("length") < 2 * k)
+    leading = dead.join(sides.select(F.col("head").alias("tail")).distinct(), "tail", "left_semi")
+    tips = leading.join(sides.groupBy("tail").agg(F.max(rank).alias("best")), "tail").where("best.seq <> seq").select("seq")
+    best = sides.groupBy("head", "tail").agg(F.max(rank).alias("best"), F.countDistinct("seq").alias("n")).where("n > 1")
+    bubbles = sides.join(best, ["head", "tail"]).where((F.col("best.seq") != F.col("seq")) & (F.col("length") <= 3 * k) & (F.abs(F.col("length") - F.col("best.length")) <= k)).select("seq")
+    return tips.union(bubbles).distinct()
+
+
+def cleaned(nodes: DataFrame, k: int, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The unitigs of words (word, n) when tips and bubbles are gone: what is weak leaves, what then follows without a branch is put
+    together, until nothing is weak."""
+    while True:
+        found = stage(unitigs_of(nodes, k, stage))
+        gone = stage(weak(found, k))
+        if gone.isEmpty():
+            return found
+        both = gone.select(F.explode(F.array("seq", S.reverse_complement("seq"))).alias("seq"))
+        dead = both.select(F.explode(S.kmers(F.concat("seq", F.lit("N")), k)).alias("word"))
+        nodes = stage(nodes.join(dead, "word", "left_anti"))
+
+
+def assembled(reads: DataFrame, stage: Callable[[DataFrame], DataFrame], ks: tuple[int, ...] = (29, 43, 57, 71, 85), least: int = 2) -> DataFrame:
+    """def, seq, length, depth, circular of contigs from reads (def, seq): cleaned unitigs of the shortest words first; those of one
+    length are reads of the next, whose words count as seen ``least`` times. Their names carry depth for ``renamed_contigs``."""
+    contigs = None
+    for k in ks:
+        nodes = words(reads, k, 1)
+        if contigs is not None:
+            held = contigs.where(F.col("length") >= k).select(F.monotonically_increasing_id().alias("def"), F.when(F.col("circular"), F.concat("seq", F.substring("seq", 1, k - 1))).otherwise(F.col("seq")).alias("seq"))
+            nodes = nodes.unionByName(words(held, k, 1).select("word", F.lit(least).cast("long").alias("n")))
+        nodes = stage(nodes.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least))
+        contigs = cleaned(nodes, k, stage)
+    name = F.concat(F.lit(f"k{ks[-1]}_"), F.substring(F.md5("seq"), 1, 12), F.lit(" multi="), F.format_string("%.4f", "depth"), F.lit(" len="), F.col("length").cast("string"))
+    return contigs.select(name.alias("def"), "seq", "length", "depth", "circular")
+
+
 def rings_of(members: DataFrame, links: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """word, chain, place, circle: words of circles (word, chain: its least word) numbered from the least one on, again by
     pointers that double, now cut before the least word."""

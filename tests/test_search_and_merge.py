@@ -351,9 +351,115 @@ def test_sequences_grow_by_their_reads(spark):
     rng = random.Random(10)
     whole = dna(rng, 500)
     reads = [(f"r{i}", s if i % 2 else turned(s), 2) for i, s in enumerate(whole[k : k + 60] for k in range(0, 441, 5))]
-    seqs = [("g|x|gb|one|", whole[100:330]), ("g|x|gb|two|", whole[250:420])]
+    seqs = [("g|x|gb|one|", whole[100:330]), ("g|x|gb|two|", whole[220:420])]
     table = spark.createDataFrame(reads, "name string, seq string, size int")
     hits = improve.mapped(table, spark.createDataFrame([("s", whole)], "reference string, seq string"), 0.9).collect()
     assert {(r["id"], r["pos"]) for r in hits} == {(f"r{k // 5}", k + 1) for k in range(0, 441, 5)} and {r["cigar"] for r in hits} == {"60M"}
     got = improve.improved(spark.createDataFrame(seqs, "def string, seq string"), improve.rebuilding(table), cycles=2).collect()
     assert len(got) == 1 and whole[100:420] in got[0]["seq"].upper() and len(got[0]["seq"]) >= 400
+
+
+# words: assembly and taxa
+
+
+@pytest.fixture
+def stage():
+    from seqloom.plans.stages import stage
+
+    return stage
+
+
+def test_tips_and_bubbles_go(spark, stage):
+    from seqloom.operators import assembly
+
+    rng = random.Random(11)
+    whole = dna(rng, 260)
+    reads = [whole[i : i + 60] for i in range(0, 201, 4)]
+    swap = lambda s, i: s[:i] + {"A": "C", "C": "G", "G": "T", "T": "A"}[s[i]] + s[i + 1 :]
+    reads += [swap(whole[100:160], 30), swap(whole[100:160], 30)]  # a bubble, seen twice
+    reads += [swap(whole[40:100], 54), swap(whole[200:260], 3)]  # tips at an end of a read
+    table = spark.createDataFrame([(str(i), r) for i, r in enumerate(reads)], "def string, seq string")
+    plain = assembly.unitigs(table, 21, stage).collect()
+    assert len(plain) > 4
+    nodes = stage(assembly.words(table, 21, 1))
+    got = assembly.cleaned(nodes, 21, stage).collect()
+    assert [r["seq"] for r in got] == [min(whole, turned(whole))]
+
+
+def test_longer_words_part_repeats(spark, stage):
+    from seqloom.operators import assembly
+
+    rng = random.Random(12)
+    repeat = dna(rng, 25)
+    whole = dna(rng, 90) + repeat + dna(rng, 90) + repeat + dna(rng, 90)
+    reads = [whole[i : i + 50] for i in range(0, len(whole) - 49, 3)] * 2
+    table = spark.createDataFrame([(str(i), r) for i, r in enumerate(reads)], "def string, seq string")
+    short = assembly.assembled(table, stage, (15,)).collect()
+    both = assembly.assembled(table, stage, (15, 35)).collect()
+    assert len(short) > 1 and max(len(r["seq"]) for r in both) > 280 and any(turned(whole)[20:-20] in r["seq"] or whole[20:-20] in r["seq"] for r in both)
+    assert all(re.fullmatch(r"k35_[0-9a-f]{12} multi=[\d.]+ len=\d+", r["def"]) for r in both)
+    assert assembly.assembled(table.limit(0), stage, (15,)).count() == 0
+
+
+@pytest.mark.parametrize("k,word", [(9, 9), (9, 15)])
+def test_classification_by_words(spark, k, word):
+    from seqloom.operators import assign, taxonomy
+
+    rng = random.Random(13)
+    edges = {1: 1, 2: 1, 3: 2, 4: 2, 5: 3, 6: 3, 7: 4, 8: 1}
+    up = lambda t: [t] + ([] if edges[t] == 1 else up(edges[t]))
+    genome = {t: dna(rng, 120) for t in (5, 6, 7, 8)}
+    genome[6] = genome[5][:60] + genome[6][60:]
+    genome[7] = genome[7][:60] + genome[5][:20] + genome[7][80:]
+    genome[8] = genome[8][:60] + genome[5][90:110] + genome[8][80:]
+    refs = [(t, g) for t, g in genome.items()] + [(5, turned(genome[5])), (6, None)]
+    reads = {f"r{i}": (lambda s: turned(s) if i % 2 else s)(genome[5 + i % 4][a : a + 40]) for i, a in enumerate(range(0, 81, 4))}
+    reads |= {"mixed": genome[5][60:85] + "N" + genome[6][60:85], "common": genome[5][92:108], "none": dna(rng, 50), "short": "ACG", "null": None}
+    tree = spark.createDataFrame([(a, b, "", "") for a, b in edges.items()], "taxid long, parent long, rank string, name string")
+    closed = taxonomy.closure(tree)
+    table = assign.table_of(spark.createDataFrame(refs, "taxid long, seq string"), closed, k, word)
+    got = {r["name"]: tuple(r)[1:] for r in assign.classified(spark.createDataFrame(list(reads.items()), "name string, seq string"), table, closed, k, word).collect()}
+
+    def common(taxa):
+        shared = set.intersection(*(set(up(t)) for t in taxa))
+        return max(shared, key=lambda t: len(up(t)), default=1)
+
+    code = lambda s: assign.canonical(align.coded(s), k, word)[1].tolist()
+    if k == word:
+        for s in reads.values():
+            plain = sorted(min(int("".join(str("ACGT".index(c)) for c in v), 4) for v in (s[i : i + k], turned(s[i : i + k]))) for i in range(len(s or "") - k + 1) if "N" not in s[i : i + k])
+            assert sorted(code(s)) == plain
+    taxa = {}
+    for t, g in refs:
+        for c in code(g):
+            taxa.setdefault(c, set()).add(t)
+    lca = {c: common(ts) for c, ts in taxa.items()}
+    for name, s in reads.items():
+        hits = [lca[c] for c in code(s) if c in lca]
+        score = {t: sum(h == 1 or h in up(t) for h in hits) for t in set(hits)}
+        top = max(score.values(), default=0)
+        best = common([t for t, v in score.items() if v == top and (t != 1 or len(score) == 1)]) if score else 0
+        assert got[name] == (best, top, len(code(s)))
+    assert {v[0] for v in got.values()} > {0, 5, 7}
+
+
+def test_superscaffold(spark):
+    """Walks on both strands through joined ranges; own letters first; conflicts in lower case; letters before all coordinates fall out."""
+    from seqloom.operators import scaffold
+
+    parents = spark.createDataFrame([("g", 10, "ACNnTTTTTT"), ("empty", 1, "")], "def string, start int, seq string")
+    children = spark.createDataFrame(
+        [
+            ("g", 1, "11..14", 1, "CGTA"),  # C agrees, G and T fill N and n, A differs from T
+            ("g", 2, "complement(join(6..8,<18..>20))", 1, "AAATCG"),  # from 20 down to 18, then 8 to 6: T T T, A G C
+            ("g", 3, "join(30..31,33..34)", 2, "GGCCA"),  # one up: 31 and 32, 34 and 35; the last letter has no place
+            ("h", 1, "complement(5..7)", 3, "ACG"),  # two down: 5, 4, 3, of which 4 and 3 lie before all coordinates
+            ("h", 2, "complement(5..7)", 1, "NNa"),
+            ("h", 3, "9", 1, "AC"),  # no range
+            ("none", 1, "1..3", 1, "NnN"),
+        ],
+        "parent string, priority int, location string, codon_start int, seq string",
+    )
+    got = dict(map(tuple, scaffold.superscaffolds(parents, children).collect()))
+    #        6    9 10        20         31
+    assert got == {"g": "CGAN" + "ACGTtTTTTT" + "T" * 1 + "N" * 10 + "GGNCC", "h": "t"}
