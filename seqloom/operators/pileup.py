@@ -6,8 +6,13 @@ their case as it is; on others, what lies within ``pad`` letters of an end, or b
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import functools
+import re
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from seqloom.functions import seq as S
 from seqloom.plans.stages import stage
@@ -17,40 +22,55 @@ from seqloom.plans.stages import stage
 PARTS, LEAST_MATCH, MOST_DELETED = 0.5, 0.5, 0.2
 
 
-def clipped(steps):
-    """CIGAR steps with hidden: of a read whose largest deletion is over half of its matches, only the side of more matches
-    shows; without a heavier side, nothing does."""
-    total = lambda xs, op: F.aggregate(xs, F.lit(0), lambda a, s: a + F.when(s["op"] == op, s["n"]).otherwise(0))
-    largest = F.coalesce(F.array_max(F.transform(F.filter(steps, lambda s: s["op"] == "D"), lambda s: s["n"])), F.lit(0))
-    at = F.array_position(F.transform(steps, lambda s: (s["op"] == "D") & (s["n"] == largest)), True).cast("int")
-    left, right = total(F.slice(steps, 1, F.greatest(at - 1, F.lit(0))), "M"), total(F.slice(steps, at + 1, F.size(steps)), "M")
-    parted = largest > PARTS * total(steps, "M")
-    lighter = lambda i: ((left > right) & (i > at - 1)) | ((right > left) & (i < at - 1)) | (left == right) | (i == at - 1)
-    return F.transform(steps, lambda s, i: F.struct(s["op"].alias("op"), s["n"].alias("n"), (parted & lighter(i)).alias("hidden")))
+STEPS = T.ArrayType(T.StructType([T.StructField("op", T.StringType()), T.StructField("n", T.IntegerType()), T.StructField("hidden", T.BooleanType()), T.StructField("at", T.LongType()), T.StructField("off", T.IntegerType())]))
+
+
+@functools.lru_cache(100_000)
+def cigar_places(cigar: str, clip: bool = True) -> list[dict]:
+    """The steps of a CIGAR with where each begins: at (on the reference) and off (in the read), both from 0.
+
+    With ``clip``, hidden says what of a read does not show: of one whose largest deletion is over half of its matches, all
+    but the side of more matches; without a heavier side, everything."""
+    found = [(op, int(n)) for n, op in re.findall(r"(\d+)([MIDNSHP=X])", cigar)]
+    matches = lambda part: sum(n for op, n in part if op == "M")
+    hole = max((n for op, n in found if op == "D"), default=0)
+    shown = range(len(found))
+    if clip and hole > PARTS * matches(found):
+        i = found.index(("D", hole))
+        left, right = matches(found[:i]), matches(found[i + 1 :])
+        shown = range(i) if left > right else range(i + 1, len(found)) if right > left else range(0)
+    out, at, off = [], 0, 0
+    for k, (op, n) in enumerate(found):
+        out.append({"op": op, "n": n, "hidden": k not in shown, "at": at, "off": off})
+        at += n if op in "MDS" else 0
+        off += n if op in "MIS" else 0
+    return out
+
+
+@F.pandas_udf(STEPS)
+def _clipped(cigar: pd.Series) -> pd.Series:
+    return cigar.map(cigar_places, na_action="ignore")
 
 
-def placed(steps, begin):
-    """CIGAR steps with where each begins: at (on the reference, where the first is at ``begin``) and off (in the read, from 0)."""
-    kind = "array<struct<op:string,n:int,hidden:boolean,at:bigint,off:int>>"
-    start = F.struct(begin.cast("long").alias("at"), F.lit(0).alias("off"), F.array().cast(kind).alias("out"))
-    moves = lambda s, *ops: F.when(s["op"].isin(*ops), s["n"]).otherwise(0)
+@F.pandas_udf(STEPS)
+def _whole(cigar: pd.Series) -> pd.Series:
+    return cigar.map(lambda c: cigar_places(c, False), na_action="ignore")
 
-    def add(a, s):
-        step = F.struct(s["op"].alias("op"), s["n"].alias("n"), s["hidden"].alias("hidden"), a["at"].alias("at"), a["off"].alias("off"))
-        return F.struct((a["at"] + moves(s, "M", "D", "S")).alias("at"), (a["off"] + moves(s, "M", "I", "S")).alias("off"), F.concat(a["out"], F.array(step)).alias("out"))
 
-    return F.aggregate(steps, start, add, lambda a: a["out"])
+def placed(cigar, clip: bool = True) -> Column:
+    """``cigar_places`` of a column, read once a row: what is pushed through projections does not read it again."""
+    return (_clipped if clip else _whole).asNondeterministic()(S.col(cigar))
 
 
 def steps(alignments: DataFrame) -> DataFrame:
     """Every CIGAR step that shows, with at and off, and the read's reference, seq, size and holed. A soft clip at the beginning
     lies before the alignment's position. Places are summed up within a row, so nothing is shuffled."""
-    rows = alignments.withColumn("steps", S.cigar_steps("cigar")).withColumn("steps", clipped("steps"))
+    rows = alignments.select("reference", "pos", "seq", "size", placed("cigar").alias("steps"))
     shown = lambda op: F.aggregate("steps", F.lit(0), lambda a, s: a + F.when((s["op"] == op) & ~s["hidden"], s["n"]).otherwise(0))
     rows = rows.where(shown("M") >= LEAST_MATCH * F.length("seq")).withColumn("holed", shown("D") > MOST_DELETED * F.length("seq"))
     head = F.when(F.col("steps")[0]["op"] == "S", F.col("steps")[0]["n"]).otherwise(0)
-    every = placed(F.col("steps"), F.col("pos") - head)
-    return rows.select("reference", "seq", "size", "holed", F.inline(F.filter(every, lambda s: ~s["hidden"]))).drop("hidden")
+    flat = rows.select("reference", "seq", "size", "holed", (F.col("pos") - head).alias("begin"), F.inline(F.filter("steps", lambda s: ~s["hidden"])))
+    return flat.withColumn("at", F.col("at") + F.col("begin")).drop("hidden", "begin")
 
 
 def ends(scaffolds: DataFrame, pad: int) -> DataFrame:

@@ -39,11 +39,10 @@ def codon_votes(alignments: DataFrame) -> DataFrame:
     vote, nor do deletions of reads that lose over MOST_DELETED of their codons; reads are cut at whole codons."""
     strand = F.when(F.col("frame") < 0, S.reverse_complement("seq")).otherwise(F.col("seq"))
     begin = F.when(F.col("frame") < 0, F.length("seq") - F.col("dna") + 1).otherwise(F.col("dna"))
-    rows = alignments.withColumn("read_codons", S.codons(F.substr(strand, begin.cast("int")))).withColumn("steps", S.cigar_steps("cigar"))
+    rows = alignments.withColumn("read_codons", S.codons(F.substr(strand, begin.cast("int")))).withColumn("steps", placed("cigar", clip=False))
     lost = F.aggregate("steps", F.lit(0), lambda a, s: a + F.when(s["op"] == "D", s["n"]).otherwise(0))
     rows = rows.withColumn("counts", (lost <= MOST_DELETED * F.size("read_codons")) & (F.size("read_codons") > 0)).where(F.size("read_codons") > 0)
-    shown = F.transform("steps", lambda s: F.struct(s["op"].alias("op"), s["n"].alias("n"), F.lit(False).alias("hidden")))
-    flat = rows.select("reference", "size", "counts", "read_codons", F.inline(placed(shown, F.col("pos") - 1)))
+    flat = rows.select("reference", "size", "counts", "read_codons", (F.col("pos") - 1).alias("begin"), F.inline("steps")).withColumn("at", F.col("at") + F.col("begin"))
     flat = flat.where("op IN ('M', 'S') OR (op = 'D' AND counts)")
     each = flat.select("reference", "size", "at", "off", "read_codons", "op", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
     codon = F.when(F.col("op") == "D", "DDD").otherwise(F.get("read_codons", F.col("off") + F.col("i")))

@@ -45,7 +45,7 @@ BELOW = """
 """
 # Acids that are one letter in seeds; which places of a word count; by how much a score may fall.
 LIKE = ["KREDQN", "C", "G", "H", "ILV", "M", "F", "Y", "W", "P", "STA"]
-SHAPE = "111011"
+SHAPE = "1110110111"
 DROP = 20
 PROTEIN = "qname string, rname string, pos long, cigar string, zr int, zi double, zf int, zs int"
 

@@ -310,7 +310,7 @@ def test_radius_has_a_least_width(spark):
 
 
 def test_large_deletions(spark):
-    rows = spark.createDataFrame([("10M8D5M",), ("5M8D10M",), ("5M8D5M",), ("10M3D5M",)], "cigar string").select(pileup.clipped(pileup.S.cigar_steps("cigar")).alias("s"))
+    rows = spark.createDataFrame([("10M8D5M",), ("5M8D10M",), ("5M8D5M",), ("10M3D5M",)], "cigar string").select(pileup.placed("cigar").alias("s"))
     hidden = [[(x["op"], x["hidden"]) for x in r["s"]] for r in rows.collect()]
     assert hidden == [[("M", False), ("D", True), ("M", True)], [("M", True), ("D", True), ("M", False)], [("M", True), ("D", True), ("M", True)], [("M", False), ("D", False), ("M", False)]]
 

@@ -108,19 +108,19 @@ def test_translated_search(spark):
     frame = lambda d: spark.createDataFrame(list(d.items()), "name string, seq string")
     got = translated.aligned(frame(reads), frame(proteins), least=30).collect()
     like = {a: i for i, g in enumerate(translated.LIKE) for a in g}
-    at = [i for i, c in enumerate(translated.SHAPE) if c == "1"]
+    at, w = [i for i, c in enumerate(translated.SHAPE) if c == "1"], len(translated.SHAPE)
     score = lambda a, b: int(translated.MATRIX[translated.ACIDS.index(a), translated.ACIDS.index(b)])
     want = set()
     for name, s in reads.items():
         for f, x in plain_frames(s).items():
             for ref, y in proteins.items():
-                for i in range(len(x) - 5):
-                    for j in range(len(y) - 5):
+                for i in range(len(x) - w + 1):
+                    for j in range(len(y) - w + 1):
                         if not all(x[i + k] in like and like[x[i + k]] == like[y[j + k]] for k in at):
                             continue
                         left = stretch(lambda n: score(x[i - 1 - n], y[j - 1 - n]), min(i, j), translated.DROP)
-                        right = stretch(lambda n: score(x[i + 6 + n], y[j + 6 + n]), min(len(x) - i, len(y) - j) - 6, translated.DROP)
-                        n, b = left + right + 6, i - left
+                        right = stretch(lambda n: score(x[i + w + n], y[j + w + n]), min(len(x) - i, len(y) - j) - w, translated.DROP)
+                        n, b = left + right + w, i - left
                         raw = sum(score(x[b + k], y[j - left + k]) for k in range(n))
                         if raw >= 30:
                             start = abs(f) + 3 * b
