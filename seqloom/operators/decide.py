@@ -21,6 +21,8 @@ SCALE_AA, SCALE_NUC, LOSE, RESCUE = 3.0, 1.0, 0.99, 0.98
 #: Least radius in bits; share of the best score at which another group is worth a remark; least score and
 #: share of the possible score of a result that is neither weak nor far from all references.
 LEAST_RADIUS, WORRY, WEAK, DIVERGED = 50.0, 0.86, 1000, 0.8
+#: Share of letters without hits above which a scaffold of over so many letters is of unknown information.
+UNKNOWN, UNKNOWN_LETTERS = 0.8, 500
 
 
 def covered(hits: DataFrame) -> DataFrame:
@@ -231,6 +233,50 @@ def annotation(ev: DataFrame, groups: DataFrame, tops: DataFrame, target: str) -
     return told.select("query", "max_score", "prot_score", "nucl_score", "max_align", (F.col("max_score") < WEAK).alias("weak"), ((F.col("max_score") > 0) & (F.col("max_score") < DIVERGED * F.col("max_align"))).alias("high_divergence"), "high")
 
 
+def possible(attain: DataFrame, lettered: DataFrame) -> DataFrame:
+    """query, more: bits that the letters without hits would add at the query's mean attainable density of each kind.
+    ``attain`` is ``attainable``'s, ``lettered`` is ``letters``'s."""
+    of = lambda k: F.coalesce(F.try_divide(F.sum(F.when(F.col("kind") == k, F.col("best") * F.col("length"))), F.sum(F.when(F.col("kind") == k, F.col("length")))), F.lit(0.0))
+    mean = attain.groupBy("query").agg((of("AA") + of("NUC")).alias("mean"))
+    return lettered.join(mean, "query", "left").select("query", ((F.col("unaligned") + F.col("loose")) * F.coalesce("mean", F.lit(0.0))).alias("more"))
+
+
+def headers(told: DataFrame, tops: DataFrame, more: DataFrame, lettered: DataFrame, resolved: DataFrame, names: DataFrame, listed: DataFrame, inside: DataFrame, scaffolds: DataFrame, enough: int = UNKNOWN_LETTERS) -> DataFrame:
+    """query, taxid, header: the full headers of the result.
+
+    ``told`` is ``annotation``'s, ``tops`` ``maxima``'s, ``more`` ``possible``'s, ``lettered`` ``letters``'s. ``resolved`` has
+    query, taxid and flag of the majority ancestor of the candidates, ``names`` query, name (with ;taxId=), its taxid, and mixed (a
+    contig, or of mixed sources); ``listed`` the white-listed taxids, ``inside`` those of the target group.
+
+    A mixed scaffold of over ``enough`` known letters of which over UNKNOWN have no hits is of unknown information; it and
+    white-listed ones keep their taxon, as do those without candidates. Others that resolve outside the target group are left
+    out. Remarks on other groups and on divergence are not made on unknown information."""
+    rows = told.join(names, "query").join(tops.select("query", "self_aa", "self_nuc"), "query").join(more, "query").join(lettered, "query").join(scaffolds, "query")
+    rows = rows.join(resolved.select("query", F.col("taxid").alias("found"), "flag"), "query", "left")
+    mark = lambda table, name: table.select(F.col("taxid"), F.lit(True).alias(name)).distinct()
+    rows = rows.join(mark(listed, "white"), "taxid", "left").withColumn("white", F.coalesce("white", F.lit(False)))
+    unhit = (F.col("unaligned") + F.col("loose")) / F.nullif(F.col("total"), F.lit(0))
+    rows = rows.withColumn("unknown", F.coalesce(F.col("mixed") & (unhit > UNKNOWN) & (F.col("total") > enough), F.lit(False)))
+    free = F.col("white") | F.col("unknown")
+    rows = rows.withColumns({"orig": F.col("taxid"), "flag": F.when(free, "").otherwise(F.coalesce("flag", F.lit(""))), "taxid": F.when(free, F.col("taxid")).otherwise(F.coalesce("found", "taxid"))})
+    rows = rows.join(mark(inside, "inside"), "taxid", "left").where(free | F.col("inside"))
+    most = F.greatest(F.floor(F.col("max_align") + F.col("more") + 1e-9), F.col("max_score"))
+    size = F.length("seq")
+    hundredths = F.expr("(20000 * total + length(seq)) div (2 * length(seq))")
+    text = lambda c: c.cast("long").cast("string")
+    field = lambda key, c: F.concat(F.lit(f";{key}="), text(c))
+    on = lambda test, c: F.when(test, c).otherwise(F.lit(""))
+    others = F.array_join(F.transform(F.filter(F.split("high", ","), lambda x: x != ""), lambda x: F.concat(F.lit(";high"), F.upper(F.substring(x, 1, 1)), F.substr(x, F.lit(2)))), "")
+    name = F.concat(F.regexp_replace("name", r"taxId=\d+", F.concat(F.lit("taxId="), text(F.col("taxid")))), on(F.col("taxid") != F.col("orig"), field("origTaxId", F.col("orig"))))
+    header = F.concat(
+        name, field("maxScore", F.col("max_score")), field("maxAlign", F.col("max_align")), field("maxPossibleScore", most), field("protScore", F.col("prot_score")), field("maxProtAlign", F.floor(F.col("self_aa") + 1e-9)),
+        field("nuclScore", F.col("nucl_score")), field("maxNuclAlign", F.floor(F.col("self_nuc") + 1e-9)), F.lit(";letterOccupancy="), text(F.floor(hundredths / 100)), F.lit("."), F.lpad(text(hundredths % 100), 2, "0"),
+        on(F.col("weak"), F.lit(";weak=1")), on(~F.col("unknown") & (F.col("max_score") > 0) & (F.col("max_score") < DIVERGED * most), F.lit(";highDivergence=1")),
+        F.when(F.col("unknown"), ";highUnknownInformation=1").otherwise(others), on(F.col("flag") != "", F.concat(F.lit(";potentialMisannotations="), F.col("flag"))), on(F.col("white"), F.lit(";whiteListed=1")),
+    )
+    return rows.where(size > 0).select("query", "taxid", header.alias("header"))
+
+
 def best_of_group(scored: DataFrame, n: int = 10) -> DataFrame:
     """query, group, place, taxon, overall: the n best taxa of each group."""
     order = Window.partitionBy("query", "group").orderBy(F.round("overall", 9).desc(), "taxon")

@@ -78,8 +78,8 @@ def weighted_lca(reps: DataFrame, closed: DataFrame, stop: int | None = None) ->
     nodes = nodes.join(depths(closed).select(F.col("taxid").alias("ancestor"), "depth"), "ancestor")
     majority = (0.5 + (2 / 3 - 0.5) / F.log2(F.greatest("total", F.lit(2.718281828459045)))) * F.col("total")
     wins = (F.col("rep") > majority) & (F.col("ancestor") != F.lit(stop if stop is not None else -1))
-    by_depth = Window.partitionBy("query").orderBy(F.col("wins").desc(), F.col("depth").desc(), F.col("rep").desc(), "ancestor")
-    by_rep = Window.partitionBy("query").orderBy(F.col("rep").desc(), F.col("depth").desc(), "ancestor")
+    by_depth = Window.partitionBy("query").orderBy(F.col("wins").desc(), F.col("depth").desc(), F.round("rep", 9).desc(), "ancestor")
+    by_rep = Window.partitionBy("query").orderBy(F.round("rep", 9).desc(), F.col("depth").desc(), "ancestor")
     every = Window.partitionBy("query")
     placed = nodes.withColumn("wins", wins).withColumns({"first": F.row_number().over(by_depth), "second": F.row_number().over(by_rep), "any": F.max("wins").over(every), "n": F.count("*").over(every)})
     chosen = placed.where(F.when(F.col("any"), F.col("first") == 1).otherwise(F.col("second") == F.least(F.lit(2), "n")))

@@ -161,12 +161,14 @@ def candidate_pool(spark, sf_dir):
     return D.pool(scored, D.limits(tops), SUPPRESSORS).select("query", "group", "taxon", six("overall"))
 
 
-@query(f"""{FULL}, {LIMITS}, {POOL}, {LETTERS},
-    raw AS (SELECT query, taxon, sum(CASE WHEN kind = 'AA' THEN rep * len ELSE 0 END) AS aa_, sum(CASE WHEN kind = 'NUC' THEN rep * len ELSE 0 END) AS nuc_ FROM ev GROUP BY ALL),
+WEIGHTS = """raw AS (SELECT query, taxon, sum(CASE WHEN kind = 'AA' THEN rep * len ELSE 0 END) AS aa_, sum(CASE WHEN kind = 'NUC' THEN rep * len ELSE 0 END) AS nuc_ FROM ev GROUP BY ALL),
     rs AS (SELECT query, taxon, aa_ / total AS ra, nuc_ / total AS rn, round(top_aa / nullif(self_aa, 0), 9) AS acc_aa, round(CASE WHEN top_nuc > 0 THEN (2 * top_nuc / self_nuc + 3) / 5 ELSE 0 END, 9) AS acc_nuc
            FROM pool JOIN raw USING (query, taxon) JOIN tops USING (query) JOIN lt USING (query)),
-    rl AS (SELECT *, least(1, coalesce(min(CASE WHEN ra > 0 THEN ra END) OVER (PARTITION BY query), 1)) AS la, least(1, coalesce(min(CASE WHEN rn > 0 THEN rn END) OVER (PARTITION BY query), 1)) AS ln_, coalesce(acc_aa, 0) AS aa FROM rs)
-    SELECT query, taxon, {rounded("rep / sum(rep) OVER (PARTITION BY query)", 'share')} FROM (SELECT query, taxon, CASE WHEN aa = 1 OR ra = 0 THEN ra ELSE pow(ra / la, pow(aa, 10)) END + CASE WHEN acc_nuc = 1 OR rn = 0 THEN rn ELSE pow(rn / ln_, pow(acc_nuc, 10)) END AS rep FROM rl)""")
+    rl AS (SELECT *, least(1, coalesce(min(CASE WHEN ra > 0 THEN ra END) OVER (PARTITION BY query), 1)) AS la, least(1, coalesce(min(CASE WHEN rn > 0 THEN rn END) OVER (PARTITION BY query), 1)) AS ln_, coalesce(acc_aa, 0) AS aa FROM rs),
+    wt AS (SELECT query, taxon, CASE WHEN aa = 1 OR ra = 0 THEN ra ELSE pow(ra / la, pow(aa, 10)) END + CASE WHEN acc_nuc = 1 OR rn = 0 THEN rn ELSE pow(rn / ln_, pow(acc_nuc, 10)) END AS rep FROM rl)"""
+
+
+@query(f"""{FULL}, {LIMITS}, {POOL}, {LETTERS}, {WEIGHTS} SELECT query, taxon, {rounded("rep / sum(rep) OVER (PARTITION BY query)", 'share')} FROM wt""")
 def pool_weights(spark, sf_dir):
     ev, scored, tops = scored_of(spark, sf_dir)
     told = D.pool_weights(D.pool(scored, D.limits(tops), SUPPRESSORS), ev, tops, D.letters(ev, V.scaffolds(spark, sf_dir)))
@@ -183,17 +185,68 @@ def decision_floors(spark, sf_dir):
     return told.select("query", six("target_top"), "low_info", "low_presence", "low_hit", "passes")
 
 
-@query(f"""{FULL}, kg AS (SELECT query, start, len, kind, "group", max(density) AS density FROM ev JOIN grp USING (taxon) GROUP BY ALL),
+ANNOTATED = """kg AS (SELECT query, start, len, kind, "group", max(density) AS density FROM ev JOIN grp USING (taxon) GROUP BY ALL),
     gb AS (SELECT query, "group", floor(sum(CASE WHEN kind = 'AA' THEN density * len ELSE 0 END) + 1e-9)::BIGINT AS aa, floor(sum(CASE WHEN kind = 'NUC' THEN density * len ELSE 0 END) + 1e-9)::BIGINT AS nuc FROM kg GROUP BY ALL),
     a AS (SELECT query, coalesce(max(CASE WHEN "group" = 'first' THEN aa + nuc END), 0) AS max_score, coalesce(max(CASE WHEN "group" = 'first' THEN aa END), 0) AS prot_score, coalesce(max(CASE WHEN "group" = 'first' THEN nuc END), 0) AS nucl_score,
                  floor(greatest(max(self_all), max(aa + nuc)) + 1e-9)::BIGINT AS max_align, coalesce(string_agg(CASE WHEN "group" <> 'first' AND aa + nuc >= 0.86::DOUBLE * top THEN "group" || '=' || (aa + nuc) END, ',' ORDER BY "group"), '') AS high
-          FROM gb JOIN tops USING (query) GROUP BY query)
+          FROM gb JOIN tops USING (query) GROUP BY query)"""
+
+
+@query(f"""{FULL}, {ANNOTATED}
     SELECT query, max_score, prot_score, nucl_score, max_align, max_score < 1000 AS weak, max_score > 0 AND max_score < 0.8::DOUBLE * max_align AS high_divergence, high FROM a""")
 def final_annotation(spark, sf_dir):
     ev, _, tops = scored_of(spark, sf_dir)
     return D.annotation(ev, groups_of(spark, sf_dir), tops, TARGET)
 
 
+ENOUGH = 60
+NAMES = """nm AS (SELECT o_orderkey AS query, o_orderstatus = 'P' AS mixed, t AS taxid, CASE WHEN o_orderstatus = 'P' THEN 'contig_' ELSE 'ref_' END || o_orderkey || ';taxId=' || t AS name
+    FROM orders JOIN (SELECT l_orderkey, min(l_suppkey) + 100000 AS t FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey)"""
+
+
+def names_of(spark, sf_dir):
+    """Headers of the scaffolds; those of orders in part are contigs, and the least of their hits' taxa is the first guess."""
+    first = V.table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("query")).agg((F.min("l_suppkey") + 100_000).alias("taxid"))
+    rows = V.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("query"), (F.col("o_orderstatus") == "P").alias("mixed")).join(first, "query")
+    name = F.concat(F.when(F.col("mixed"), "contig_").otherwise("ref_"), F.col("query").cast("string"), F.lit(";taxId="), F.col("taxid").cast("string"))
+    return rows.withColumn("name", name)
+
+
+@query(f"""{FULL}, {LIMITS}, {POOL}, {LETTERS}, {WEIGHTS}, {ANNOTATED}, {NAMES}, white AS (SELECT s_suppkey + 100000 AS taxid FROM supplier WHERE s_acctbal > 9000),
+    up AS (SELECT query, taxon, rep, sum(rep) OVER (PARTITION BY query) AS total FROM wt), depth AS (SELECT taxid, max(hops) AS depth FROM closed GROUP BY 1),
+    n AS (SELECT query, ancestor, sum(rep) AS rep, max(total) AS total, any_value(depth) AS depth FROM up JOIN closed ON taxid = taxon JOIN depth d ON d.taxid = ancestor GROUP BY query, ancestor),
+    w AS (SELECT *, rep > (0.5 + (2 / 3 - 0.5) / log2(greatest(total, 2.718281828459045::DOUBLE))) * total AND ancestor <> 10 AS wins FROM n),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY wins DESC, depth DESC, round(rep, 9) DESC, ancestor) AS first, row_number() OVER (PARTITION BY query ORDER BY round(rep, 9) DESC, depth DESC, ancestor) AS second,
+                 bool_or(wins) OVER (PARTITION BY query) AS any, count(*) OVER (PARTITION BY query) AS n FROM w),
+    lca AS (SELECT query, ancestor AS found, CASE WHEN NOT "any" THEN 'noMajority' WHEN rep < 2 / 3 * total THEN 'noSupermajority' ELSE '' END AS flag FROM r WHERE CASE WHEN "any" THEN first = 1 ELSE second = least(2, n) END),
+    md AS (SELECT query, (sum(CASE WHEN kind = 'AA' THEN best * len END) / sum(CASE WHEN kind = 'AA' THEN len END)) AS m_aa, (sum(CASE WHEN kind = 'NUC' THEN best * len END) / sum(CASE WHEN kind = 'NUC' THEN len END)) AS m_nuc FROM sb GROUP BY query),
+    h1 AS (SELECT a.*, nm.name, nm.mixed, nm.taxid AS orig, found, coalesce(flag, '') AS flag0, self_aa, self_nuc, total, length(seq) AS size, unaligned + loose AS unhit, (unaligned + loose) * (coalesce(m_aa, 0) + coalesce(m_nuc, 0)) AS more, white.taxid IS NOT NULL AS white
+           FROM a JOIN nm USING (query) JOIN tops USING (query) JOIN lt USING (query) JOIN scaf USING (query) LEFT JOIN md USING (query) LEFT JOIN lca USING (query) LEFT JOIN white ON white.taxid = nm.taxid),
+    h2 AS (SELECT *, mixed AND unhit > {D.UNKNOWN}::DOUBLE * total AND total > {ENOUGH} AS unknown, greatest(floor(max_align + more + 1e-9)::BIGINT, max_score) AS most, (20000 * total + size) // (2 * size) AS hd FROM h1),
+    h3 AS (SELECT *, CASE WHEN white OR unknown THEN orig ELSE coalesce(found, orig) END AS taxid, CASE WHEN white OR unknown THEN '' ELSE flag0 END AS flag FROM h2)
+    SELECT query, h3.taxid AS taxid, regexp_replace(name, 'taxId=.*', '') || 'taxId=' || h3.taxid || CASE WHEN h3.taxid <> orig THEN ';origTaxId=' || orig ELSE '' END || ';maxScore=' || max_score::BIGINT || ';maxAlign=' || max_align || ';maxPossibleScore=' || most::BIGINT || ';protScore=' || prot_score::BIGINT
+        || ';maxProtAlign=' || floor(self_aa + 1e-9)::BIGINT || ';nuclScore=' || nucl_score::BIGINT || ';maxNuclAlign=' || floor(self_nuc + 1e-9)::BIGINT || ';letterOccupancy=' || (hd // 100) || '.' || lpad((hd % 100)::VARCHAR, 2, '0')
+        || CASE WHEN max_score < 1000 THEN ';weak=1' ELSE '' END || CASE WHEN NOT unknown AND max_score > 0 AND max_score < 0.8::DOUBLE * most THEN ';highDivergence=1' ELSE '' END
+        || CASE WHEN unknown THEN ';highUnknownInformation=1' ELSE list_aggregate(list_transform(list_filter(string_split(high, ','), lambda x: x <> ''), lambda x: ';high' || upper(x[1]) || x[2:]) || [''], 'string_agg', '') END
+        || CASE WHEN flag <> '' THEN ';potentialMisannotations=' || flag ELSE '' END || CASE WHEN white THEN ';whiteListed=1' ELSE '' END AS header
+    FROM h3 WHERE white OR unknown OR h3.taxid IN (SELECT taxid FROM closed WHERE ancestor = 10)""")
+def result_headers(spark, sf_dir):
+    """The whole header of every scaffold that is reported, with its taxon as resolved."""
+    cover = stage(cover_of(spark, sf_dir, CLASSIFIED))
+    ev = stage(D.evidence(D.supported(cover)))
+    scored = stage(D.scores(ev, groups_of(spark, sf_dir)))
+    scaffolds = V.scaffolds(spark, sf_dir)
+    attain = stage(D.attainable(cover, scaffolds))
+    tops, lettered = stage(D.maxima(scored, attain)), stage(D.letters(ev, scaffolds))
+    closed = stage(T.closure(V.taxonomy(spark, sf_dir)))
+    weights = D.pool_weights(D.pool(scored, D.limits(tops), SUPPRESSORS), ev, tops, lettered).select("query", F.col("taxon").alias("taxid"), "rep")
+    resolved = T.weighted_lca(weights, closed, stop=10)
+    listed = V.table(spark, sf_dir, "supplier").where("s_acctbal > 9000").select((F.col("s_suppkey") + 100_000).alias("taxid"))
+    inside = closed.where("ancestor = 10").select("taxid")
+    told = D.annotation(ev, groups_of(spark, sf_dir), tops, TARGET)
+    return D.headers(told, tops, D.possible(attain, lettered), lettered, resolved, names_of(spark, sf_dir), listed, inside, scaffolds, ENOUGH)
+
+
 @query(f"""WITH RECURSIVE {CLOSED}, {GROUP_SQL}, {dual()}, {SCORES} SELECT query, "group", place::INT AS place, taxon, {rounded('overall', 'overall')}
     FROM (SELECT *, row_number() OVER (PARTITION BY query, "group" ORDER BY round(overall, 9) DESC, taxon) AS place FROM sc) WHERE place <= 10""")
 def group_top10(spark, sf_dir):
