@@ -128,6 +128,77 @@ def test_leaders(spark, stage):
     edges = spark.createDataFrame([(9, 8), (8, 7), (7, 6), (2, 3), (0, 9), (0, 2)], "a int, b int")
     assert dict(map(tuple, cover.leaders(nodes, edges, stage).collect())) == {9: 9, 8: 9, 7: 7, 6: 7, 5: 5, 4: 4, 3: 3, 2: 3, 1: 1, 0: 9}
 
+def clusters_by_hand(seqs, k, radius=0.99, sizes=0.10):
+    """The walk itself: word tables in plain dictionaries."""
+    flip = lambda w: w[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    known, size = {}, {}
+    for name, seq in seqs:
+        for i in range(0, len(seq) - k, 3):
+            w = seq[i : i + k]
+            known[w], known[flip(w)] = flip(w), w
+            size[name] = size.get(name, 0) + 1
+    accepted, out, text = {}, {n: n for n, _ in seqs}, dict(seqs)
+    for name in sorted((n for n in size if size[n] > 0.98), key=lambda n: (-size[n], n)):
+        places = [text[name][j : j + k] for j in range(len(text[name]) - k)]
+        places = [w for w in places if w in known]
+        seen = set(places) | {known[w] for w in places}
+        common = {}
+        if sum(w in accepted for w in places) / len(places) > radius:
+            for w in seen:
+                for other in accepted.get(w, ()):
+                    common[other] = common.get(other, 0) + 1
+        top = min(common, key=lambda o: (-common[o], -size[o], o)) if common else None
+        if top and size[top] < (1 + sizes) * size[name]:
+            out[name] = top
+        else:
+            for w in seen:
+                accepted.setdefault(w, set()).add(name)
+    return out
+
+
+@pytest.mark.parametrize("seed,radius", [(0, 0.99), (1, 0.85)])
+def test_clustered_is_the_walk(spark, stage, seed, radius):
+    """Copies, strands, cuts, variants and joined ones: rounds give what the walk gives."""
+    rng = random.Random(seed)
+    make = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    flip = lambda w: w[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    roots, seqs = [make(rng.randrange(60, 400)) for _ in range(5)], []
+    for i in range(40):
+        one = rng.choice(roots)
+        kind = rng.choice([0, 0, 1, 1, 2, 2, 3, 5])
+        if i in (7, 19):
+            kind = 4
+        if kind == 1:
+            one = flip(one)
+        elif kind == 2:
+            at = rng.randrange(len(one))
+            one = one[:at] + make(1) + one[at + 1 :]
+        elif kind == 3:
+            one = one[rng.randrange(30) : len(one) - rng.randrange(30)]
+        elif kind == 4:
+            one = roots[0] + roots[i % 4 + 1]
+        elif kind == 5 and i % 2:
+            one = make(rng.randrange(0, 50))
+        seqs.append((f"{'contig' if i % 3 else 'ref'}_{i}", one))
+    k = 11
+    want = clusters_by_hand(seqs, k, radius)
+    rows = cover.clustered(spark.createDataFrame(seqs, "def string, seq string"), stage, k=k, radius=radius).collect()
+    assert {r["def"]: r["leader"] for r in rows} == want and len(rows) == len(seqs)
+    assert len(set(want.values())) < len(seqs) - 8
+    for r in rows:
+        others = sorted(n for n in want if want[n] == r["leader"] and not n.startswith("contig"))
+        assert r["name"] == (others[-1] if r["leader"].startswith("contig") and others else r["leader"])
+
+
+def test_words_of_long_sequences(spark):
+    """Cutting into pieces loses no word and doubles none."""
+    rng = random.Random(5)
+    seq = "".join(rng.choice("ACGT") for _ in range(25_000))
+    for n in (7, 8, 10_006, 10_007, 25_000):
+        for step in (1, 3):
+            got = cover.words_of(spark.createDataFrame([("a", seq[:n])], "def string, seq string"), 7, step).count()
+            assert got == len(range(0, n - 7, step))
+
 
 def test_shared_words(spark):
     words = [("a", k) for k in range(200)] + [("b", k) for k in range(1, 201)] + [("c", k) for k in range(100, 300)] + [("d", k) for k in range(200, 203)]
