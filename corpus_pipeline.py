@@ -1,7 +1,13 @@
 """From raw documents to token digests: five stages, each over all that the one before it kept.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the docs
-of the next one. All but the last return the columns of documents.
+of the next one. All but the last return the columns of documents, whatever else these have and however it is named
+(score, row, key, hash and the like, too).
+
+Null texts count as empty. Empty and white texts have no toxic word, are one group of exact copies, have no shingles (so they are
+near to nothing), weigh nothing in the mix and have no tokens. Repeated rows are copies like any other. Where a doc_id has several
+texts, the near-dedup keeps all of its rows or none, and the mix takes those of one source alike. A null doc_id comes last among
+exact copies and is near to nothing; a null source is a source of its own, the last. Texts are read whole, however long. An empty table gives an empty table at every stage.
 """
 
 from __future__ import annotations
@@ -35,7 +41,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each row's token count, and the digests of its ids and of the bytes decoded from them."""
+    """Each row's doc_id and token count, and the digests of its ids and of the bytes decoded from them; other columns end here."""
     return bpe.round_trip(docs, TIKTOKEN_FILE, public_tokenizers.PATTERN)
 
 

@@ -206,3 +206,32 @@ def test_pipeline(spark, tmp_path):
     assert set(left[1]) == set(left[0]) - {1} - {1003} and len(left[1]) == len(set(left[1]))
     assert set(left[1]) - set(left[2]) == {1001}
     assert Counter(left[4]) == Counter(left[3]) and max(Counter(left[3]).values()) <= 2 and set(left[3]) <= set(left[2])
+
+
+@pytest.mark.parametrize("odd", [False, True])
+def test_pipeline_stages_on_odd_tables(spark, tmp_path, odd):
+    """An empty table, and null, empty, long and repeated rows with further columns whose names clash."""
+    import corpus_pipeline
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, row string, key int, hash long, size long, limit long, target double, copy int"
+    more = (0.5, "r", 1, 2, 3, 4, 0.5, 6)
+    texts = [(1, None), (2, ""), (3, " \n"), (4, "one two three"), (4, "one two three"), (5, "x" * 200_000), (6, "word " * 50_000), (None, "no id here"), (None, None), (7, "one  two three")]
+    docs = spark.createDataFrame([(d, t, None, None if i % 2 else "s", 0, *more) for i, (d, t) in enumerate(texts)] if odd else [], schema)
+    marks = [(4, 1, 0), (5, 1, 0), (None, 1, 1), (7, None, None)] if odd else []
+    spark.createDataFrame(marks, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    left = {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        assert name == "bpe" or out.columns == docs.columns, name
+        out.write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        left[name] = [r["doc_id"] for r in docs.collect()]
+    assert docs.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    if not odd:
+        assert not any(left.values())
+        return
+    bare = lambda t: re.sub(r"[\x20\x09-\x0D]", "", t or "")
+    stay = [t for d, t in texts if d in set(left["toxicity"])]
+    assert len(left["toxicity"]) == len(stay) and len(left["exact_dedup"]) == len({bare(t) for t in stay})
+    assert sorted(map(str, left["near_dedup"])) == sorted(map(str, left["exact_dedup"]))
+    assert Counter(left["bpe"]) == Counter(left["mixing"]) and set(left["mixing"]) <= set(left["near_dedup"])
