@@ -456,3 +456,13 @@ def test_closure_scans_each_turn_once(spark):
     closed = taxonomy.closure(tree)
     assert closed.count() == depth * (depth + 1) // 2
     assert closed._jdf.queryExecution().executedPlan().toString().count("Scan") <= 12
+
+
+def test_hits_move_once(spark, tmp_path):
+    """Segments, near-top taxa, support, representation and sums all stay with the query: one shuffle, of the hits."""
+    rows = [(q, k, t, a, a + n, 10.0 * t + a, i) for q in range(5) for i, (k, t, a, n) in enumerate([("AA", 1, 1, 9), ("NUC", 2, 3, 4), ("AA", 2, 5, 9), ("NUC", 1, 4, 0)])]
+    spark.createDataFrame([*rows, (9, "AA", 1, 5, 3, 1.0, 0)], "query long, kind string, taxon int, qstart long, qend long, bits double, rn int").write.parquet(str(tmp_path / "h"))
+    table = spark.read.parquet(str(tmp_path / "h"))
+    for told in (decide.densities(decide.evidence(decide.supported(decide.covered(hits.by_query(table))))), decide.both_kinds(decide.supported(decide.covered(hits.by_query(table)))), hits.taxon_scores(hits.covered(hits.by_query(table)))):
+        assert {r["query"] for r in told.collect()} == {0, 1, 2, 3, 4}
+        assert told._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
