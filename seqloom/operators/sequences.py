@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.functions import seq as S
@@ -14,6 +16,8 @@ LEAST = 50
 WORDS = [a + b + c for a in "ACGT" for b in "ACGT" for c in "ACGT"]
 #: 0 to 3 for the bases, N is left out, 4 for all else.
 SKIPPED = 5
+#: Most windows that leave a task at a time.
+WINDOWS = 1 << 16
 PLACES = np.full(256, 4, np.uint8)
 PLACES[np.frombuffer(b"ACGTNacgtn", np.uint8)] = [0, 1, 2, 3, SKIPPED] * 2
 
@@ -97,26 +101,55 @@ def rich(seqs: DataFrame, limit: float = 5.0) -> DataFrame:
 
 def islands(seqs: DataFrame, least: int = LEAST) -> DataFrame:
     """def, start (from 0), seq: stretches without N of ``least`` letters and more. n neither begins nor ends one, and is
-    an N within."""
-    runs = seqs.select("def", F.posexplode(F.regexp_extract_all("seq", F.lit("(N+|[^N]+)"), F.lit(1))).alias("at", "run"))
-    before = Window.partitionBy("def").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    placed = runs.withColumn("start", F.coalesce(F.sum(F.length("run")).over(before), F.lit(0))).where(~F.col("run").startswith("N"))
-    head = F.length("run") - F.length(F.regexp_replace("run", "^n+", ""))
-    bare = F.regexp_replace("run", "^n+|n+$", "")
-    return placed.select("def", (F.col("start") + head).cast("long").alias("start"), F.translate(bare, "n", "N").alias("seq")).where(F.length("seq") >= least)
+    an N within. One pass over a row's letters: nothing is shuffled, and rows of one name are apart."""
+    batches_bounded(seqs.sparkSession)
+
+    def run(batches):
+        for b in batches:
+            rows, starts, found = [], [], []
+            for i, text in enumerate(b.column("seq").to_pylist()):
+                for m in re.finditer("[^N]+", text or ""):
+                    late = m.group().lstrip("n")
+                    bare = late.rstrip("n")
+                    if len(bare) >= least:
+                        rows.append(i)
+                        starts.append(m.end() - len(late))
+                        found.append(bare.replace("n", "N"))
+            yield pa.RecordBatch.from_arrays([b.column("def").take(pa.array(rows, pa.int64())), pa.array(starts, pa.int64()), pa.array(found, pa.string())], ["def", "start", "seq"])
+
+    return seqs.select("def", "seq").mapInArrow(run, f"def {seqs.schema['def'].dataType.simpleString()}, start long, seq string")
 
 
 def tiles(found: DataFrame, size: int, least: int = LEAST) -> DataFrame:
     """def, start, seq: windows of ``size`` letters every half size over islands. The last whole window takes what is
-    left and has no half step after it; size 0 gives the islands."""
-    n = F.length("seq")
-    whole = F.greatest(F.floor(n / size), F.lit(1)).cast("int") if size else F.lit(1)
-    last = 2 * (whole - 1)
-    i = F.col("i")
-    at = (F.lit(size) * F.floor(i / 2) + F.when(i % 2 == 1, F.lit(size // 2)).otherwise(0)).cast("int")
-    length = F.when(i == last, n - at).otherwise(F.lit(size))
-    cut = found.select("def", "start", "seq", F.explode(F.sequence(F.lit(0), last)).alias("i"))
-    return cut.select("def", (F.col("start") + at).alias("start"), F.substring("seq", at + 1, length.cast("int")).alias("seq")).where(F.length("seq") >= least)
+    left and has no half step after it; size 0 gives the islands. A row's letters are passed over once, however long it is."""
+    batches_bounded(found.sparkSession)
+
+    def cut(text):
+        n = len(text)
+        last = 2 * (max(n // size, 1) - 1) if size else 0
+        for i in range(last + 1):
+            at = size * (i // 2) + (size // 2 if i % 2 else 0)
+            piece = text[at : n if i == last else at + size]
+            if len(piece) >= least:
+                yield at, piece
+
+    def run(batches):
+        for b in batches:
+            rows, at, pieces = [], [], []
+            told = lambda: pa.RecordBatch.from_arrays([b.column("def").take(pa.array(rows, pa.int64())), pa.array(at, pa.int64()), pa.array(pieces, pa.string())], ["def", "start", "seq"])  # noqa: B023, E731
+            for i, (start, text) in enumerate(zip(b.column("start").to_pylist(), b.column("seq").to_pylist())):
+                for place, piece in cut(text or ""):
+                    rows.append(i)
+                    at.append(start + place)
+                    pieces.append(piece)
+                    if len(rows) == WINDOWS:
+                        yield told()
+                        rows, at, pieces = [], [], []
+            yield told()
+
+    kept = found.select("def", F.col("start").cast("long").alias("start"), "seq").where("seq IS NOT NULL")
+    return kept.mapInArrow(run, f"def {found.schema['def'].dataType.simpleString()}, start long, seq string")
 
 
 def earlier_overlap(seqs: DataFrame, k: int) -> DataFrame:

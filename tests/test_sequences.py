@@ -1,5 +1,7 @@
 """Sequence functions and tables, with values traced by hand."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,3 +58,13 @@ def test_dereplicate(spark):
     table = spark.createDataFrame([("b", "ACCA"), ("a", "TGGT"), ("c", "acca"), ("d", "GGGG")], "def string, seq string")
     assert sorted(map(tuple, Q.dereplicate(table).collect())) == [("a", "ACCA", 3), ("d", "CCCC", 1)]
     assert sorted(r["def"] for r in Q.both_strands(table).collect()) == ["a", "a;rev=1", "b", "b;rev=1", "c", "c;rev=1", "d", "d;rev=1"]
+
+
+def test_windows_of_a_long_row(spark):
+    """Cutting takes a time in proportion to the letters, and rows of one name are apart."""
+    table = spark.createDataFrame([("a", "ACGT" * 500_000), ("a", "NN" + "G" * 60), ("b", None)], "def string, seq string")
+    found = Q.islands(table)
+    assert sorted((r["start"], len(r["seq"])) for r in found.collect()) == [(0, 2_000_000), (2, 60)]
+    began = time.time()
+    got = Q.tiles(found, 12, 8).groupBy("def").agg(F.count("*").alias("n"), F.max("start").alias("last")).collect()
+    assert [tuple(r) for r in got] == [("a", 2 * 166_666 - 1 + 9, 12 * 166_665)] and time.time() - began < 60
