@@ -6,7 +6,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqloom.functions import seq as S
@@ -18,6 +18,8 @@ WORDS = [a + b + c for a in "ACGT" for b in "ACGT" for c in "ACGT"]
 SKIPPED = 5
 #: Most windows that leave a task at a time.
 WINDOWS = 1 << 16
+#: Words that one task takes, about.
+WORDS_DEALT = 2_000_000
 PLACES = np.full(256, 4, np.uint8)
 PLACES[np.frombuffer(b"ACGTNacgtn", np.uint8)] = [0, 1, 2, 3, SKIPPED] * 2
 
@@ -154,10 +156,14 @@ def tiles(found: DataFrame, size: int, least: int = LEAST) -> DataFrame:
 
 def earlier_overlap(seqs: DataFrame, k: int) -> DataFrame:
     """def, kmers, shared: distinct k-letter words, and how many of them a sequence with a smaller name has too. One
-    minimum a word tells, so no pairs of sequences are formed."""
-    words = seqs.select("def", F.explode(F.array_distinct(S.kmers("seq", k))).alias("kmer")).select("def", F.xxhash64("kmer").alias("kmer")).distinct()
-    first = words.groupBy("kmer").agg(F.min("def").alias("first"))
-    return words.join(first, "kmer").groupBy("def").agg(F.count("*").alias("kmers"), F.count(F.when(F.col("first") < F.col("def"), 1)).alias("shared"))
+    minimum a word tells, so no pairs of sequences are formed, and words move once."""
+    letters = seqs.agg(F.sum(F.length("seq"))).first()[0] or 0
+    n = max(int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-letters // WORDS_DEALT))
+    words = seqs.select("def", F.explode(F.array_distinct(S.kmers("seq", k))).alias("kmer")).select("def", F.xxhash64("kmer").alias("kmer"))
+    # the distinct rows and the minimum are found where the words are dealt to
+    first = F.min("def").over(Window.partitionBy("kmer"))
+    marked = words.repartition(n, "kmer").distinct().withColumn("first", first)
+    return marked.groupBy("def").agg(F.count("*").alias("kmers"), F.count(F.when(F.col("first") < F.col("def"), 1)).alias("shared"))
 
 
 def split_by_copies(seqs: DataFrame) -> DataFrame:

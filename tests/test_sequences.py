@@ -68,3 +68,13 @@ def test_windows_of_a_long_row(spark):
     began = time.time()
     got = Q.tiles(found, 12, 8).groupBy("def").agg(F.count("*").alias("n"), F.max("start").alias("last")).collect()
     assert [tuple(r) for r in got] == [("a", 2 * 166_666 - 1 + 9, 12 * 166_665)] and time.time() - began < 60
+
+
+def test_words_move_once(spark, tmp_path):
+    """Of words, one shuffle; of counts a sequence, another. A name on two rows counts its words once."""
+    spark.createDataFrame([(1, "ACGTACC"), (2, "ACGTTTT"), (2, "ACGTAAA"), (3, None)], "def long, seq string").write.parquet(str(tmp_path / "s"))
+    told = Q.earlier_overlap(spark.read.parquet(str(tmp_path / "s")), 4)
+    words = lambda *texts: {t[i : i + 4] for t in texts for i in range(len(t) - 4)}
+    one, two = words("ACGTACC"), words("ACGTTTT", "ACGTAAA")
+    assert sorted(map(tuple, told.collect())) == [(1, len(one), 0), (2, len(two), len(one & two))]
+    assert told._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning") == 2
