@@ -123,6 +123,18 @@ def test_greedy_centroids(spark, stage, block):
     assert dict(map(tuple, cover.greedy_centroids(table, stage, block).collect())) == plain_cover(rows)
 
 
+def test_greedy_centroids_in_few_rounds(spark):
+    """Reads on several of many references: what claims count decides some, and the rounds do not grow with the references."""
+    from seqloom.plans.stages import stage
+
+    rng, turns = random.Random(5), []
+    rows = [(read, ref) for read in range(4000) for ref in rng.sample(range(300), rng.randrange(1, 8))]
+    table = spark.createDataFrame([(*r, 0, 0, 1) for r in rows], "read int, reference int, pos long, mismatch int, size long")
+    got = dict(map(tuple, cover.greedy_centroids(table, lambda df: turns.append(df) or stage(df)).collect()))
+    assert got == plain_cover(rows) and 50 < sum(got.values()) < 250
+    assert len(turns) < 24
+
+
 def test_leaders(spark, stage):
     nodes = spark.createDataFrame([(i, 9 - i) for i in range(10)], "node int, rank int")
     edges = spark.createDataFrame([(9, 8), (8, 7), (7, 6), (2, 3), (0, 9), (0, 2)], "a int, b int")
