@@ -38,14 +38,6 @@ def coded(text: str | None) -> np.ndarray:
     return CODES[np.frombuffer((text or "").encode("latin-1", "replace"), np.uint8)]
 
 
-def scrambled(codes: np.ndarray) -> np.ndarray:
-    """An order of words in which runs of one letter do not come first."""
-    h = codes * np.uint64(0x9E3779B97F4A7C15)
-    h ^= h >> np.uint64(32)
-    h *= np.uint64(0xD6E8FEB86659FD93)
-    return h ^ h >> np.uint64(29)
-
-
 def minimisers(x: np.ndarray, k: int, word: int, part: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
     """Places and words (of k letters) that are the least in some ``word`` letters without unknown ones."""
     w = word - k + 1
@@ -58,7 +50,7 @@ def minimisers(x: np.ndarray, k: int, word: int, part: int = 1 << 18) -> tuple[n
             code = code << np.uint64(2) | piece[i : i + n].astype(np.uint64)
         unknown = np.concatenate([[0], np.cumsum(piece > 3)])
         fine = unknown[word:] == unknown[:-word]
-        least = np.lib.stride_tricks.sliding_window_view(scrambled(code), w).argmin(axis=1) + np.arange(n - w + 1)
+        least = np.lib.stride_tricks.sliding_window_view(Q.scrambled(code), w).argmin(axis=1) + np.arange(n - w + 1)
         at = np.unique(least[fine])
         places.append(at + begin)
         words.append(code[at])

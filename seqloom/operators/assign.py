@@ -14,7 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqloom.operators.align import LONGEST, coded, scrambled
+from seqloom.operators.align import LONGEST, coded
+from seqloom.operators.sequences import scrambled
 from seqloom.plans.stages import batches_bounded, stage
 
 

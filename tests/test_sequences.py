@@ -1,5 +1,6 @@
 """Sequence functions and tables, with values traced by hand."""
 
+import random
 import time
 
 import pytest
@@ -78,3 +79,30 @@ def test_words_move_once(spark, tmp_path):
     one, two = words("ACGTACC"), words("ACGTTTT", "ACGTAAA")
     assert sorted(map(tuple, told.collect())) == [(1, len(one), 0), (2, len(two), len(one & two))]
     assert told._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning") == 2
+
+
+def test_kept_words_are_kept_by_what_holds_them():
+    rng = random.Random(17)
+    for n in (32, 33, 60, 400):
+        inner = "".join(rng.choice("ACGTN") for _ in range(n))
+        outer = "".join(rng.choice("ACGTN") for _ in range(90)) + inner + "".join(rng.choice("ACGTN") for _ in range(50))
+        flipped = outer[::-1].translate(str.maketrans("ACGT", "TGCA"))
+        few = set(Q.kept_words(inner, 24, 32, part=64).tolist())
+        assert few and all(few <= set(Q.kept_words(t, 24, 32).tolist()) for t in (outer, flipped))
+        assert len(Q.kept_words(outer, 24, 32)) < len(outer) / 2
+    assert len(Q.kept_words("ACGTN" * 6, 24, 32)) == 0 and len(Q.kept_words(None, 24, 32)) == 0
+    for k in (1, 5, 31):
+        words = [inner[i : i + k] for i in range(len(inner) - k + 1)]
+        hashes = Q.word_hashes(Q.code_points(inner), k).tolist()
+        assert len(hashes) == len(words) and len(set(zip(words, hashes, strict=True))) == len(set(words)) == len(set(hashes))
+
+
+def test_lettered_is_translate(spark):
+    from seqloom.plans import views as V
+
+    texts = ["Hello, World\n\tNn 12", "", None, "\u00e9\u4e2d\U0001f600 xyz\r", "".join(map(chr, range(1, 300)))]
+    slow = F.translate(F.regexp_replace("t", "[^a-zA-Z\n]", "N"), V.LETTERS + "\n", V.BASES + "n")
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(slow.alias("want"), S.lettered("t").alias("got"), F.upper(slow).alias("up"))
+    assert all(r["want"] == r["got"] for r in rows.collect())
+    flipped = rows.select(S.reverse_complement("up").alias("want"), S.other_strand("up").alias("got")).collect()
+    assert all(r["want"] == r["got"] for r in flipped)
