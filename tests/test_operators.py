@@ -257,6 +257,15 @@ def test_slim_sam(spark, tmp_path):
     assert [tuple(r) for r in flat_files.sam_slim(spark, str(tmp_path / "a.sam")).collect()] == [("r1", "R", 5, "4M", "ACGT"), ("r2", "R", 7, "2M", 'A"')]
 
 
+def test_overlay_keeps_genomes_in_their_rows(spark):
+    g = spark.createDataFrame([("g", "ACNnTAC"), ("bare", "ACGT"), ("empty", ""), ("none", None)], "def string, seq string")
+    parts = spark.createDataFrame([("g", 1, 2, "TTTN"), ("g", 2, 1, "G"), ("g", 6, 1, "cAAA"), ("g", -1, 1, "AA"), ("lost", 0, 1, "A"), ("empty", 0, 1, "A")], "parent string, start int, priority int, seq string")
+    laid = merge.overlaid(g, parts)
+    assert dict(map(tuple, laid.collect())) == {"g": "AcGTTAC", "bare": "ACGT", "empty": ""}
+    plan = laid._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate posexplode") == 1  # the parts' letters, not the genomes'
+
+
 def test_overlay_and_mask(spark):
     g = spark.createDataFrame([("g", "ACGNNTAC"), ("h", "AAAAAAAAAA")], "def string, seq string")
     parts = spark.createDataFrame([("g", 2, 1, "GTCA"), ("g", 3, 2, "A")], "parent string, start int, priority int, seq string")
