@@ -1,8 +1,8 @@
 """Alignment of nucleotide sequences by seeds and extension without gaps.
 
 Seeds are minimisers: of every ``word`` letters, the word of K letters with the least hash is kept, so two sequences
-that share ``word`` letters share a kept word at the same place of them. Kept words are joined as rows; what
-words of one pair and diagonal there are is counted before pairs meet their letters. In Arrow batches the
+that share ``word`` letters share a kept word at the same place of them. Kept words are joined as rows, of the queries only
+those that subjects have, where these are few enough for all tasks; what words of one pair and diagonal there are is counted before pairs meet their letters. In Arrow batches the
 diagonal is looked at between its first and last seed for runs of ``word`` equal letters, and each run is extended to both
 sides until its score falls by more than ``drop`` below its best. So the result is exactly the distinct extensions of all runs
 of ``word`` equal letters; no seed is left out for being frequent. Rows of a frequent word are dealt out in blocks, each block of
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from seqloom.functions import seq as S
 from seqloom.operators import sequences as Q
-from seqloom.plans.stages import batches_bounded, stage
+from seqloom.plans.stages import BROADCAST_ROWS, batches_bounded, stage
 
 #: Longest seed: 31 letters of two bits are a whole number of 64 bits.
 LONGEST = 31
@@ -38,20 +38,62 @@ def coded(text: str | None) -> np.ndarray:
     return CODES[np.frombuffer((text or "").encode("latin-1", "replace"), np.uint8)]
 
 
-def minimisers(x: np.ndarray, k: int, word: int, part: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
-    """Places and words (of k letters) that are the least in some ``word`` letters without unknown ones."""
+def joined(texts: list[str | None], gap: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All texts of a batch one after the other, ``gap`` unknown letters behind each, and where each begins and ends."""
+    ends = np.cumsum([len(t or "") + gap for t in texts], dtype=np.int64)
+    return coded("".join((t or "") + "N" * gap for t in texts)), np.concatenate([[0], ends[:-1]]), ends - gap
+
+
+def packed(x: np.ndarray, k: int) -> np.ndarray:
+    """The words of k letters from every start, two bits a letter, put together from those of half as many letters."""
+    part, size, whole, done = x.astype(np.uint64) & np.uint64(3), 1, None, 0
+    while True:
+        if k & size:
+            n = max(len(x) - done - size + 1, 0)
+            whole = part[:n] if whole is None else whole[:n] << np.uint64(2 * size) | part[done : done + n]
+            done += size
+        if done == k:
+            return whole
+        part, size = part[: max(len(part) - size, 0)] << np.uint64(2 * size) | part[size:], 2 * size
+
+
+def least_of(hashes: np.ndarray, w: int) -> np.ndarray:
+    """The place of the least (the first, of equal ones) of every w neighbours."""
+    n = len(hashes) - w + 1
+    best, where = hashes[:n], np.zeros(n, np.int64)
+    for i in range(1, w):
+        less = hashes[i : i + n] < best
+        best, where = np.where(less, hashes[i : i + n], best), np.where(less, i, where)
+    return where + np.arange(n)
+
+
+def few(codes: DataFrame):
+    """The distinct codes, in order, for all tasks, if they have been counted to be few; else None."""
+    found = stage(codes.select("code").distinct())
+    if found.count() > BROADCAST_ROWS:
+        return None
+    return codes.sparkSession.sparkContext.broadcast(np.sort(np.array([r["code"] for r in found.collect()], np.int64)))
+
+
+def among(codes: np.ndarray, some) -> np.ndarray:
+    """Which of the codes are among ``few``'s; all, where that is None."""
+    if some is None or not len(some.value):
+        return np.full(len(codes), some is None)
+    known, codes = some.value, codes.view(np.int64)
+    return known[np.minimum(np.searchsorted(known, codes), len(known) - 1)] == codes
+
+
+def minimisers(x: np.ndarray, k: int, word: int, part: int = 1 << 18, some=None) -> tuple[np.ndarray, np.ndarray]:
+    """Places and words (of k letters) that are the least in some ``word`` letters without unknown ones, and among ``some``."""
     w = word - k + 1
     places, words = [], []
     for begin in range(0, max(len(x) - word + 1, 0), part):
         piece = x[begin : begin + part + word - 1]
-        n = len(piece) - k + 1
-        code = np.zeros(n, np.uint64)
-        for i in range(k):
-            code = code << np.uint64(2) | piece[i : i + n].astype(np.uint64)
+        code = packed(piece, k)
         unknown = np.concatenate([[0], np.cumsum(piece > 3)])
         fine = unknown[word:] == unknown[:-word]
-        least = np.lib.stride_tricks.sliding_window_view(Q.scrambled(code), w).argmin(axis=1) + np.arange(n - w + 1)
-        at = np.unique(least[fine])
+        at = np.unique(least_of(Q.scrambled(code), w)[fine])
+        at = at[among(code[at], some)]
         places.append(at + begin)
         words.append(code[at])
     if not places:
@@ -61,21 +103,17 @@ def minimisers(x: np.ndarray, k: int, word: int, part: int = 1 << 18) -> tuple[n
     return places[at], words[at]
 
 
-def seeds(seqs: DataFrame, word: int) -> DataFrame:
-    """name, code, pos of the minimisers of (name, seq). Seeds are a few letters shorter than ``word``, so that one in some of
-    them is kept."""
+def seeds(seqs: DataFrame, word: int, some=None) -> DataFrame:
+    """name, code, pos of the minimisers of (name, seq), of those among ``some``, a batch's texts at once. Seeds are a few letters
+    shorter than ``word``, so that one in some of them is kept."""
     k = min(LONGEST, word - max(1, word // 6))
 
     def run(batches):
         for b in batches:
-            rows, places, codes = [], [], []
-            for i, text in enumerate(b.column("seq").to_pylist()):
-                at, code = minimisers(coded(text), k, word)
-                rows.append(np.full(len(at), i))
-                places.append(at)
-                codes.append(code.view(np.int64))
-            if rows:
-                yield pa.RecordBatch.from_arrays([b.column("name").take(pa.array(np.concatenate(rows))), pa.array(np.concatenate(codes)), pa.array(np.concatenate(places))], ["name", "code", "pos"])
+            x, begins, _ = joined(b.column("seq").to_pylist())
+            at, code = minimisers(x, k, word, some=some)
+            row = np.searchsorted(begins, at, side="right") - 1
+            yield pa.RecordBatch.from_arrays([b.column("name").take(pa.array(row)), pa.array(code.view(np.int64)), pa.array(at - begins[row])], ["name", "code", "pos"])
 
     return seqs.select("name", "seq").mapInArrow(run, "name string, code long, pos long")
 
@@ -99,7 +137,8 @@ def dealt(left: DataFrame, right: DataFrame, block: int = BLOCK) -> tuple[DataFr
 
 def diagonals(queries: DataFrame, subjects: DataFrame, word: int) -> DataFrame:
     """query, subject, diag (place in the query less place in the subject), lo, hi (first and last seed's place in the query)."""
-    q, s = dealt(stage(seeds(queries, word)), stage(seeds(subjects, word)))
+    theirs = stage(seeds(subjects, word))
+    q, s = dealt(stage(seeds(queries, word, few(theirs))), theirs)
     met = q.select("code", "i", "j", F.col("name").alias("query"), F.col("pos").alias("qpos")).join(s.select("code", "i", "j", F.col("name").alias("subject"), F.col("pos").alias("spos")), ["code", "i", "j"])
     return met.groupBy("query", "subject", (F.col("qpos") - F.col("spos")).alias("diag")).agg(F.min("qpos").alias("lo"), F.max("qpos").alias("hi"))
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqloom.operators.align import LONGEST, coded
+from seqloom.operators.align import LONGEST, among, coded, few, joined, least_of, packed
 from seqloom.operators.sequences import scrambled
 from seqloom.plans.stages import batches_bounded, stage
 
@@ -22,41 +22,42 @@ from seqloom.plans.stages import batches_bounded, stage
 def canonical(x: np.ndarray, k: int, word: int, part: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
     """Places and words of k letters, the lesser of both strands, that are the least by hash in some ``word`` letters without unknown
     ones. With ``word`` = k these are all words."""
-    w, top = word - k + 1, np.uint64(2 * (k - 1))
+    w = word - k + 1
     places, words = [], []
     for begin in range(0, max(len(x) - word + 1, 0), part):
         piece = x[begin : begin + part + word - 1]
-        n = len(piece) - k + 1
-        code, back = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-        for i in range(k):
-            letter = piece[i : i + n].astype(np.uint64) & np.uint64(3)
-            code = code << np.uint64(2) | letter
-            back = back >> np.uint64(2) | (np.uint64(3) - letter) << top
-        code = np.minimum(code, back)
+        code = np.minimum(packed(piece, k), packed(3 - (piece & 3)[::-1], k)[::-1])
         unknown = np.concatenate([[0], np.cumsum(piece > 3)])
         fine = unknown[word:] == unknown[:-word]
-        at = np.unique((np.lib.stride_tricks.sliding_window_view(scrambled(code), w).argmin(axis=1) + np.arange(n - w + 1))[fine])
+        at = np.flatnonzero(fine) if w == 1 else np.unique(least_of(scrambled(code), w)[fine])
         places.append(at + begin)
         words.append(code[at])
     if not places:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    places, first = np.unique(np.concatenate(places), return_index=True)
-    return places, np.concatenate(words)[first]
+    places, words = np.concatenate(places), np.concatenate(words)
+    if w == 1:
+        return places, words
+    places, first = np.unique(places, return_index=True)  # parts overlap
+    return places, words[first]
 
 
-def words(seqs: DataFrame, key: str, k: int, word: int) -> DataFrame:
-    """``key``, code: a row for each kept word of (``key``, seq)."""
+def words(seqs: DataFrame, key: str, k: int, word: int, some=None) -> DataFrame:
+    """``key``, code, n: a row for each kept word of (``key``, seq) that is among ``some``, with n 0, and one without a code for each
+    row, whose n is the number of all its kept words. A batch's texts are read at once."""
     batches_bounded(seqs.sparkSession)
     kind = dict(seqs.dtypes)[key]
 
     def run(batches):
         for b in batches:
-            found = [canonical(coded(s), k, word)[1] for s in b.column("seq").to_pylist()]
-            if found:
-                of = pa.array(np.repeat(np.arange(len(found)), [len(c) for c in found]))
-                yield pa.RecordBatch.from_arrays([b.column(key).take(of), pa.array(np.concatenate(found).view(np.int64))], [key, "code"])
+            x, begins, _ = joined(b.column("seq").to_pylist())
+            at, code = canonical(x, k, word)
+            row = np.searchsorted(begins, at, side="right") - 1
+            held = among(code, some)
+            codes = pa.concat_arrays([pa.array(code[held].view(np.int64)), pa.nulls(len(begins), pa.int64())])
+            n = np.concatenate([np.zeros(np.count_nonzero(held), np.int64), np.bincount(row, minlength=len(begins))])
+            yield pa.RecordBatch.from_arrays([b.column(key).take(pa.array(np.concatenate([row[held], np.arange(len(begins))]))), codes, pa.array(n)], [key, "code", "n"])
 
-    return seqs.select(key, "seq").mapInArrow(run, f"`{key}` {kind}, code long")
+    return seqs.select(key, "seq").mapInArrow(run, f"`{key}` {kind}, code long, n long")
 
 
 def common_ancestors(taxa: DataFrame, closed: DataFrame, key: list[str]) -> DataFrame:
@@ -73,13 +74,14 @@ def common_ancestors(taxa: DataFrame, closed: DataFrame, key: list[str]) -> Data
 
 def table_of(references: DataFrame, closed: DataFrame, k: int = LONGEST, word: int = 35) -> DataFrame:
     """code, taxid: the words of references (taxid, seq) with their common ancestor."""
-    return common_ancestors(words(references, "taxid", k, word).distinct(), closed, ["code"])
+    return common_ancestors(words(references, "taxid", k, word).where("code IS NOT NULL").select("taxid", "code").distinct(), closed, ["code"])
 
 
 def classified(seqs: DataFrame, table: DataFrame, closed: DataFrame, k: int = LONGEST, word: int = 35, least: int = 1) -> DataFrame:
     """name, taxid, hits, words for every sequence (name, seq): the taxon whose path has most of its words, the hits on that path (at
     least ``least``), and all its words. Without enough hits the taxon is 0. Words of taxa outside the tree count for none."""
-    found = stage(words(seqs, "name", k, word))
+    table = stage(table)
+    found = stage(words(seqs, "name", k, word, few(table)))
     counts = stage(found.join(table, "code").groupBy("name", "taxid").agg(F.count("*").alias("n")))
     root = F.when(F.col("taxid") == 1, F.col("n")).otherwise(0)
     on_root = counts.groupBy("name").agg(F.sum(root).alias("root"))
@@ -91,6 +93,6 @@ def classified(seqs: DataFrame, table: DataFrame, closed: DataFrame, k: int = LO
     scored = scores.unionByName(alone).join(on_root, "name").withColumn("hits", F.col("hits") + F.col("root"))
     top = scored.withColumn("top", F.max("hits").over(Window.partitionBy("name"))).where(F.col("hits") == F.col("top"))
     best = common_ancestors(top, closed, ["name"]).join(top.groupBy("name").agg(F.max("hits").alias("hits")), "name").where(F.col("hits") >= least)
-    total = found.groupBy("name").agg(F.count("*").alias("words"))
+    total = found.where("code IS NULL").groupBy("name").agg(F.sum("n").alias("words"))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
     return seqs.select("name").distinct().join(total, "name", "left").join(best, "name", "left").select("name", zero("taxid"), zero("hits"), zero("words"))

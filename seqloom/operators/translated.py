@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqloom.functions import seq as S
-from seqloom.operators.align import coded, dealt, reach
+from seqloom.operators.align import among, coded, dealt, few, joined, reach
 from seqloom.plans.stages import batches_bounded, stage
 
 ACIDS = "ARNDCQEGHILKMFPSTWYVX*"
@@ -118,6 +118,36 @@ def seeds(seqs: DataFrame, of, shape: str) -> DataFrame:
     return seqs.select(F.col("name").cast("string").alias("name"), "seq").mapInArrow(run, "name string, frame int, code long, pos long")
 
 
+def read_seeds(reads: DataFrame, shape: str = SHAPE, some=None) -> DataFrame:
+    """``seeds`` of reads in all six frames, of those among ``some``, a batch's texts at once: a word's acids begin at every third
+    letter, so each letter begins one, and its place tells the frame."""
+    span = 3 * len(shape)
+
+    def run(batches):
+        for b in batches:
+            # behind each text so many unknown letters that no word goes on into the next one
+            x, begins, ends = joined(b.column("seq").to_pylist(), span)
+            for sign, strand, first in ((1, x, begins), (-1, np.where(x < 4, 3 - x, x)[::-1], (len(x) - ends)[::-1])):
+                n = len(strand) - span + 1
+                if n <= 0:
+                    continue
+                c = [strand[i : len(strand) - 2 + i].astype(np.int64) for i in range(3)]
+                r = np.where((c[0] < 4) & (c[1] < 4) & (c[2] < 4), REDUCED[CODON[(c[0] << 4 | c[1] << 2 | c[2]) & 63]], len(LIKE))
+                code, fine = np.zeros(n, np.int64), np.ones(n, bool)
+                for i in (i for i, counts in enumerate(shape) if counts == "1"):
+                    piece = r[3 * i : 3 * i + n]
+                    code = code * len(LIKE) + piece
+                    fine &= piece < len(LIKE)
+                at = np.flatnonzero(fine)
+                at = at[among(code[at], some)]
+                row = np.searchsorted(first, at, side="right") - 1
+                place = at - first[row]
+                name = b.column("name").take(pa.array(row if sign > 0 else len(first) - 1 - row))
+                yield pa.RecordBatch.from_arrays([name, pa.array((sign * (place % 3 + 1)).astype(np.int32)), pa.array(code[at]), pa.array(place // 3)], ["name", "frame", "code", "pos"])
+
+    return reads.select(F.col("name").cast("string").alias("name"), "seq").mapInArrow(run, "name string, frame int, code long, pos long")
+
+
 def protein_frames(text: str | None) -> dict[int, np.ndarray]:
     return {0: acids(text)}
 
@@ -136,7 +166,8 @@ def aligned(reads: DataFrame, proteins: DataFrame, least: int = 30, shape: str =
     """Alignments of reads (name, seq) with proteins (name, seq): qname, rname, pos (acid of the reference, from 1), cigar, zr (raw
     score), zi (percent equal), zf (frame), zs (where in the read the first codon begins, from 1 on its forward strand)."""
     batches_bounded(reads.sparkSession)
-    q, s = dealt(stage(seeds(reads, frames, shape)), stage(seeds(proteins, protein_frames, shape)))
+    theirs = stage(seeds(proteins, protein_frames, shape))
+    q, s = dealt(stage(read_seeds(reads, shape, few(theirs))), theirs)
     met = q.select("code", "i", "j", F.col("name").alias("qname"), F.col("frame").alias("zf"), F.col("pos").alias("qpos")).join(s.select("code", "i", "j", F.col("name").alias("rname"), F.col("pos").alias("spos")), ["code", "i", "j"])
     per = met.groupBy("qname", "rname", "zf", (F.col("qpos") - F.col("spos")).alias("diag")).agg(F.sort_array(F.collect_set("qpos")).alias("at"))
     pairs = per.groupBy("qname", "rname").agg(F.collect_list(F.struct("zf", "diag", "at")).alias("spots"))

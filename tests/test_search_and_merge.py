@@ -2,12 +2,13 @@
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
 
 from seqloom.functions import seq as S
-from seqloom.operators import align, improve, merge, translated, zipper
+from seqloom.operators import align, assign, improve, merge, translated, zipper
 
 FLIP = str.maketrans("ACGTacgt", "TGCAtgca")
 
@@ -463,3 +464,36 @@ def test_superscaffold(spark):
     got = dict(map(tuple, scaffold.superscaffolds(parents, children).collect()))
     #        6    9 10        20         31
     assert got == {"g": "CGAN" + "ACGTtTTTTT" + "T" * 1 + "N" * 10 + "GGNCC", "h": "t"}
+
+
+def test_queries_seed_only_where_subjects_do(spark):
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choice("ACGTacgtN" if rng.random() < 0.1 else "ACGT") for _ in range(n))
+    reads = [("r0", text(400)), ("r1", None), ("r2", ""), ("r3", text(29)), ("r4", text(1000)), ("r5", "ACG" * 40 + "é" + text(50))]
+    table = spark.createDataFrame(reads, "name string, seq string").coalesce(1)
+    rows = lambda t: sorted(map(tuple, t.collect()))
+    # a batch's texts at once, as each by itself
+    each = [(n, int(c), int(p)) for n, s in reads for p, c in zip(*(v.tolist() for v in (lambda at, code: (at, code.view("int64")))(*align.minimisers(align.coded(s), 23, 27))), strict=True)]
+    assert rows(align.seeds(table, 27)) == sorted(each)
+    every = translated.seeds(table, translated.frames, translated.SHAPE)
+    assert rows(translated.read_seeds(table)) == rows(every) != []
+    part = spark.createDataFrame([("s", reads[4][1][100:500])], "name string, seq string")
+    some = align.few(align.seeds(part, 27))
+    kept = set(some.value.tolist())
+    assert rows(align.seeds(table, 27, some)) == sorted(r for r in each if r[1] in kept) != sorted(each)
+    some = align.few(every.where("name = 'r0'"))
+    assert rows(translated.read_seeds(table, some=some)) == [r for r in rows(every) if r[2] in set(some.value.tolist())]
+    assert rows(align.seeds(table, 27, align.few(spark.createDataFrame([], "code long")))) == []
+
+
+def test_words_are_counted_whole_and_kept_where_references_have_them(spark):
+    table = spark.createDataFrame([("a", "ACGTACGTTTGACCA"), ("b", None), ("c", "ACGNA"), ("d", "TTGACCANTTGACC")], "name string, seq string").coalesce(1)
+    every = [tuple(r) for r in assign.words(table, "name", 5, 5).collect()]
+    assert sorted(r for r in every if r[1] is None) == [("a", None, 11), ("b", None, 0), ("c", None, 0), ("d", None, 5)]
+    held = [r for r in every if r[1] is not None]
+    assert Counter(n for n, _, _ in held) == {"a": 11, "d": 5}
+    some = align.few(assign.words(table.where("name = 'd'"), "name", 5, 5).where("code IS NOT NULL"))
+    told = [tuple(r) for r in assign.words(table, "name", 5, 5, some).collect()]
+    kept = {c for n, c, _ in held if n == "d"}
+    assert sorted(r for r in told if r[1] is not None) == sorted(r for r in held if r[1] in kept)
+    assert sorted(r for r in told if r[1] is None) == sorted(r for r in every if r[1] is None)
