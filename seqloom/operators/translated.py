@@ -47,6 +47,8 @@ BELOW = """
 LIKE = ["KREDQN", "C", "G", "H", "ILV", "M", "F", "Y", "W", "P", "STA"]
 SHAPE = "1110110111"
 DROP = 20
+#: Most proteins that a read meets in one row.
+PAIRS = 500
 PROTEIN = "qname string, rname string, pos long, cigar string, zr int, zi double, zf int, zs int"
 
 
@@ -171,26 +173,32 @@ def aligned(reads: DataFrame, proteins: DataFrame, least: int = 30, shape: str =
     met = q.select("code", "i", "j", F.col("name").alias("qname"), F.col("frame").alias("zf"), F.col("pos").alias("qpos")).join(s.select("code", "i", "j", F.col("name").alias("rname"), F.col("pos").alias("spos")), ["code", "i", "j"])
     per = met.groupBy("qname", "rname", "zf", (F.col("qpos") - F.col("spos")).alias("diag")).agg(F.sort_array(F.collect_set("qpos")).alias("at"))
     pairs = per.groupBy("qname", "rname").agg(F.collect_list(F.struct("zf", "diag", "at")).alias("spots"))
-    rows = pairs.join(reads.select(F.col("name").cast("string").alias("qname"), F.col("seq").alias("x")), "qname").join(proteins.select(F.col("name").cast("string").alias("rname"), F.col("seq").alias("y")), "rname")
+    # a read's letters move once for PAIRS of its proteins, and are put into frames once
+    met = pairs.join(proteins.select(F.col("name").cast("string").alias("rname"), F.col("seq").alias("y")), "rname")
+    block = F.floor((F.row_number().over(Window.partitionBy("qname").orderBy("rname")) - 1) / PAIRS)
+    lists = met.withColumn("_block", block).groupBy("qname", "_block").agg(F.collect_list(F.struct("rname", "y", "spots")).alias("pairs"))
+    rows = lists.join(reads.select(F.col("name").cast("string").alias("qname"), F.col("seq").alias("x")), "qname")
     width = len(shape)
 
     def run(batches):
         for b in batches:
             out = []
             for r in b.to_pylist():
-                x, y, n = frames(r["x"]), acids(r["y"]), len(r["x"])
-                for spot in r["spots"]:
-                    f, d = spot["zf"], spot["diag"]
-                    for s, e, score in sorted({spread(x[f], y, d, at, width, drop) for at in spot["at"]}):
-                        if score >= least:
-                            same = np.count_nonzero(x[f][s:e] == y[s - d : e - d])
-                            offset = abs(f) - 1 + 3 * s
-                            out.append((r["qname"], r["rname"], s - d + 1, f"{e - s}M", score, 100.0 * same / (e - s), f, offset + 1 if f > 0 else n - offset))
+                x, n = frames(r["x"]), len(r["x"])
+                for pair in r["pairs"]:
+                    y = acids(pair["y"])
+                    for spot in pair["spots"]:
+                        f, d = spot["zf"], spot["diag"]
+                        for s, e, score in sorted({spread(x[f], y, d, at, width, drop) for at in spot["at"]}):
+                            if score >= least:
+                                same = np.count_nonzero(x[f][s:e] == y[s - d : e - d])
+                                offset = abs(f) - 1 + 3 * s
+                                out.append((r["qname"], pair["rname"], s - d + 1, f"{e - s}M", score, 100.0 * same / (e - s), f, offset + 1 if f > 0 else n - offset))
             if out:
                 kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.int32(), pa.float64(), pa.int32(), pa.int32()]
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], [c.split()[0] for c in PROTEIN.split(", ")])
 
-    return rows.select("qname", "rname", "x", "y", "spots").mapInArrow(run, PROTEIN)
+    return rows.select("qname", "x", "pairs").mapInArrow(run, PROTEIN)
 
 
 def top(found: DataFrame, percent: float = 8.0, identity: float = 0.0) -> DataFrame:

@@ -497,3 +497,15 @@ def test_words_are_counted_whole_and_kept_where_references_have_them(spark):
     kept = {c for n, c, _ in held if n == "d"}
     assert sorted(r for r in told if r[1] is not None) == sorted(r for r in held if r[1] in kept)
     assert sorted(r for r in told if r[1] is None) == sorted(r for r in every if r[1] is None)
+
+
+def test_a_read_meets_its_proteins_in_blocks(spark, monkeypatch):
+    """A read of many proteins is one row for a block of them, with the same alignments as in one block."""
+    rng = random.Random(12)
+    read = dna(rng, 400)
+    proteins = spark.createDataFrame([(f"p{i}", "".join(S.CODON_TABLE[read[j : j + 3]] for j in range(i, i + 90, 3))) for i in range(7)], "name string, seq string")
+    reads = spark.createDataFrame([("r", read), ("s", turned(read)), ("none", None)], "name string, seq string")
+    whole = sorted(map(tuple, translated.aligned(reads, proteins).collect()))
+    assert {r[:2] for r in whole} == {(n, f"p{i}") for n in "rs" for i in range(7)}
+    monkeypatch.setattr(translated, "PAIRS", 2)
+    assert sorted(map(tuple, translated.aligned(reads, proteins).collect())) == whole
