@@ -1,15 +1,19 @@
 """Genomes put together from their own scaffold and the scaffolds of their proteins.
 
 Children lie where their record's location says: ranges in the order of the genome, walked from the first letter up, or, on
-the other strand, from the last range's end down, with complemented letters. Letters become rows of the genome's
-positions, which are settled by sums and meet again in order."""
+the other strand, from the last range's end down, with complemented letters. A genome's pieces meet in its row, and numpy
+settles the positions of a batch of genomes at once."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.functions import seq as S
+from seqloom.operators.hits import tasks
+from seqloom.plans.stages import batches_bounded
 
 #: The genome's own letters come before all children's.
 OWN = -(1 << 62)
@@ -27,20 +31,44 @@ def walked(location, codon_start, reverse):
 
 
 def placed(children: DataFrame) -> DataFrame:
-    """parent, pos, priority, letter of children (parent, priority, location, codon_start, seq). Letters beyond the ranges have no
-    place, nor have those before the least coordinate of all children."""
+    """parent, priority, where (positions), letters and first (the least coordinate that the location names) of children (parent,
+    priority, location, codon_start, seq). Letters beyond the ranges have no place."""
     reverse = F.col("location").contains("complement")
-    letters = F.split(F.when(reverse, F.translate("seq", "ACGT", "TGCA")).otherwise(F.col("seq")), "")
+    letters = F.when(reverse, F.translate("seq", "ACGT", "TGCA")).otherwise(F.col("seq"))
+    numbers = F.transform(F.regexp_extract_all("location", F.lit(r"(\d+)"), F.lit(1)), lambda x: x.cast("long"))
     where = walked(F.col("location"), F.col("codon_start"), reverse)
-    n = F.least(F.size(where), F.length("seq"))
-    rows = children.where("seq <> ''").select("parent", "priority", F.posexplode(F.slice(where, F.lit(1), n)).alias("k", "pos"), letters.alias("letters"))
-    return rows.select("parent", "pos", "priority", F.get("letters", F.col("k")).alias("letter"))
+    return children.where("parent IS NOT NULL").select("parent", F.col("priority").cast("long").alias("priority"), where.alias("where"), letters.alias("letters"), F.array_min(numbers).alias("first"))
 
 
-def first_places(children: DataFrame) -> DataFrame:
-    """parent, first: the least coordinate that the locations name."""
-    numbers = F.transform(F.regexp_extract_all("location", F.lit(r"(\d+)"), F.lit(1)), lambda x: x.cast("long"))
-    return children.select("parent", F.array_min(numbers).alias("first")).groupBy("parent").agg(F.min("first").alias("first"))
+def settled(parts: pa.ListArray, first: np.ndarray) -> list[str | None]:
+    """The letters of each genome from its first place to its last, by ``superscaffolds``' rule. ``parts`` has a list of (priority,
+    where, letters) for each genome; places before ``first`` do not count."""
+    flat = parts.flatten()
+    where, n = flat.field("where"), len(parts)
+    counts = where.value_lengths().to_numpy(zero_copy_only=False)
+    of = np.repeat(np.repeat(np.arange(n), parts.value_lengths().to_numpy(zero_copy_only=False)), counts)
+    pos, priority = where.flatten().to_numpy(zero_copy_only=False), np.repeat(flat.field("priority").to_numpy(zero_copy_only=False), counts)
+    letter = np.frombuffer("".join(flat.field("letters").to_pylist()).encode("utf-32-le"), np.uint32).astype(np.int64)
+    kept = np.flatnonzero(pos >= first[of])
+    kept = kept[np.lexsort((priority[kept], pos[kept], of[kept]))]
+    of, pos, letter = of[kept], pos[kept], letter[kept]
+    if not len(of):
+        return [None] * n
+    begins = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (pos[1:] != pos[:-1])]))
+    known = (letter != ord("N")) & (letter != ord("n"))
+    places = np.where(known, np.arange(len(letter)), len(letter))
+    one = np.minimum.reduceat(places, begins)
+    some, differ = one < len(letter), np.minimum.reduceat(np.where(known, letter, 1 << 32), begins) != np.maximum.reduceat(np.where(known, letter, 0), begins)
+    last = letter[np.concatenate([begins[1:], [len(letter)]]) - 1]
+    told = np.where(some, letter[np.minimum(one, len(letter) - 1)], last)
+    told = np.where(some & differ & (told >= 65) & (told <= 90), told + 32, told)
+    of, pos, out = of[begins], pos[begins], [None] * n
+    edges = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1], [True]]))
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        row = np.full(pos[b - 1] - pos[a] + 1, ord("N"), np.uint32)
+        row[pos[a:b] - pos[a]] = told[a:b]
+        out[of[a]] = row.tobytes().decode("utf-32-le")
+    return out
 
 
 def superscaffolds(parents: DataFrame, children: DataFrame) -> DataFrame:
@@ -50,17 +78,21 @@ def superscaffolds(parents: DataFrame, children: DataFrame) -> DataFrame:
     At each position the genome's own letter counts if it is known, else the known letter of the first child by priority;
     where a later one differs, it is lower case. Unknown everywhere, it is as the last one says; places of none are N. Unknown
     letters at the ends are cut off; genomes without known letters are left out."""
-    own = parents.where("seq <> ''").select(F.col("def").alias("parent"), "start", F.posexplode(F.split("seq", "")).alias("k", "letter"))
-    own = own.select("parent", (F.col("start") + F.col("k")).cast("long").alias("pos"), F.lit(OWN).alias("priority"), "letter")
+    batches_bounded(parents.sparkSession)
+    size, start = F.length("seq"), F.col("start").cast("long")
+    steps = F.when(size > 0, F.sequence(start, start + size - 1))
+    own = parents.select(F.col("def").alias("parent"), F.lit(OWN).alias("priority"), steps.alias("where"), F.col("seq").alias("letters"), start.alias("first"))
     # a genome begins with its own scaffold, or where the first coordinate of a child lies before that
-    begins = first_places(children).join(parents.select(F.col("def").alias("parent"), "start"), "parent", "left").select("parent", F.least("first", "start").alias("first"))
-    theirs = placed(children).join(begins, "parent").where(F.col("pos") >= F.col("first")).drop("first")
-    known = F.upper("letter") != "N"
-    told = F.when(known, F.col("letter"))
-    per = own.unionByName(theirs).groupBy("parent", "pos").agg(F.min_by("letter", F.when(known, F.col("priority"))).alias("one"), F.collect_set(told).alias("all"), F.max_by("letter", "priority").alias("last"))
-    letter = F.when(F.size("all") == 0, F.col("last")).when(F.size("all") > 1, F.lower("one")).otherwise(F.col("one"))
-    rows = per.select("parent", "pos", letter.alias("letter"))
-    gap = F.col("pos") - F.coalesce(F.lag("pos").over(Window.partitionBy("parent").orderBy("pos")) + 1, F.col("pos"))
-    parts = rows.select("parent", "pos", F.concat(F.repeat(F.lit("N"), gap.cast("int")), "letter").alias("part"))
-    lists = parts.groupBy("parent").agg(F.array_sort(F.collect_list(F.struct("pos", "part"))).alias("l"))
-    return lists.select(F.col("parent").alias("def"), S.trim_n(F.array_join(F.transform("l", lambda x: x["part"]), "")).alias("seq")).where("seq <> ''")
+    where, letters = F.coalesce("where", F.array().cast("array<bigint>")), F.coalesce("letters", F.lit(""))
+    n = F.least(F.size(where), F.length(letters))
+    part = F.struct("priority", F.slice(where, F.lit(1), n).alias("where"), F.substr(letters, F.lit(1), n).alias("letters"))
+    dealt = own.unionByName(placed(children)).repartition(tasks(children), "parent")
+    lists = dealt.groupBy("parent").agg(F.min("first").alias("first"), F.collect_list(part).alias("parts")).where("first IS NOT NULL")
+
+    def run(batches):
+        for b in batches:
+            texts = settled(b.column("parts"), b.column("first").to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([b.column("parent"), pa.array(texts, pa.string())], ["def", "seq"])
+
+    rows = lists.mapInArrow(run, f"def {lists.schema['parent'].dataType.simpleString()}, seq string")
+    return rows.select("def", S.trim_n("seq").alias("seq")).where("seq <> ''")

@@ -509,3 +509,17 @@ def test_a_read_meets_its_proteins_in_blocks(spark, monkeypatch):
     assert {r[:2] for r in whole} == {(n, f"p{i}") for n in "rs" for i in range(7)}
     monkeypatch.setattr(translated, "PAIRS", 2)
     assert sorted(map(tuple, translated.aligned(reads, proteins).collect())) == whole
+
+
+def test_superscaffold_odd_rows(spark):
+    """Null and empty pieces, genomes without a start, letters that are not ASCII, and no row of a base in the plan."""
+    from seqloom.operators import scaffold
+
+    parents = spark.createDataFrame([("a", 3, None), ("b", 5, "AC"), ("b", 9, "G"), (None, 1, "AC")], "def string, start int, seq string")
+    children = spark.createDataFrame(
+        [("a", 1, "2..4", 1, "ACG"), ("a", 2, None, 1, "ACG"), ("b", 1, "4..6", 1, None), ("b", 2, "7..8", 1, ""), ("c", 1, "5..7", 1, "AéG"), ("c", 2, "6..7", 1, "TG"), (None, 1, "1..2", 1, "GG")],
+        "parent string, priority int, location string, codon_start int, seq string",
+    )
+    found = scaffold.superscaffolds(parents, children)
+    assert dict(map(tuple, found.collect())) == {"a": "ACG", "b": "ACNNG", "c": "AéG", None: "AC"}
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
