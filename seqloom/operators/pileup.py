@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seqloom.functions import seq as S
-from seqloom.plans.stages import stage
+from seqloom.plans.stages import lookup, stage
 
 #: A deletion of more than this share of the matches parts a read; reads match over half of their letters; deletions
 #: of more than this share of a read's letters do not vote.
@@ -82,8 +82,12 @@ def ends(scaffolds: DataFrame, pad: int) -> DataFrame:
 def tallied(alignments: DataFrame, scaffolds: DataFrame, pad: int = 0) -> DataFrame:
     """reference, pos, inserted, letters, votes of letters, deletions and insertions, in one pass over the reads. A deletion is D; a
     soft-clipped letter is S.x, but before the first position a letter like any other. Insertions stand at the base
-    behind them; at a read's end they do not count."""
-    s = steps(alignments).where("op IN ('M', 'S') OR (op = 'D' AND NOT holed) OR (op = 'I' AND off + n < length(seq))").join(ends(scaffolds, pad), "reference")
+    behind them; at a read's end they do not count.
+
+    Reads are brought together by reference first, so that what leaves a task is a row a position and letter, not a row a
+    read's base; Spark splits the reads of a frequent reference."""
+    together = alignments.select("reference", "pos", "cigar", "seq", "size").hint("rebalance", F.col("reference"))
+    s = lookup(steps(together).where("op IN ('M', 'S') OR (op = 'D' AND NOT holed) OR (op = 'I' AND off + n < length(seq))"), ends(scaffolds, pad), "reference")
     whole = F.array(F.struct(F.lit(0).alias("i"), F.col("n").alias("m")))
     single = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.struct(i.alias("i"), F.lit(1).alias("m")))
     each = s.select("*", F.inline(F.when(F.col("op") == "I", whole).otherwise(single))).withColumn("pos", F.col("at") + F.col("i"))

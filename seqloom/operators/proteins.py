@@ -36,7 +36,9 @@ def weighted_reads(alignments: DataFrame) -> DataFrame:
 
 def codon_votes(alignments: DataFrame) -> DataFrame:
     """reference, pos (codons, from 0), codon, votes; a deleted codon is DDD. ``alignments`` have seq. Inserted codons do not
-    vote, nor do deletions of reads that lose over MOST_DELETED of their codons; reads are cut at whole codons."""
+    vote, nor do deletions of reads that lose over MOST_DELETED of their codons; reads are cut at whole codons. Reads are brought
+    together by reference first, so that a task sums up their votes; Spark splits the reads of a frequent reference."""
+    alignments = alignments.hint("rebalance", F.col("reference"))
     strand = F.when(F.col("frame") < 0, S.reverse_complement("seq")).otherwise(F.col("seq"))
     begin = F.when(F.col("frame") < 0, F.length("seq") - F.col("dna") + 1).otherwise(F.col("dna"))
     rows = alignments.withColumn("read_codons", S.codons(F.substr(strand, begin.cast("int")))).withColumn("steps", placed("cigar", clip=False))

@@ -487,3 +487,15 @@ def test_hits_move_once(spark, tmp_path):
     for told in (decide.densities(decide.evidence(decide.supported(decide.covered(hits.by_query(table))))), decide.both_kinds(decide.supported(decide.covered(hits.by_query(table)))), hits.taxon_scores(hits.covered(hits.by_query(table)))):
         assert {r["query"] for r in told.collect()} == {0, 1, 2, 3, 4}
         assert told._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
+
+
+def test_reads_meet_by_reference_before_their_votes(spark):
+    """What leaves a task is a row a position and letter: reads are dealt out by reference first, and Spark may split them."""
+    reads = spark.createDataFrame([(r, 1, "4M", "ACGT", 1) for r in range(3) for _ in range(5)], "reference long, pos long, cigar string, seq string, size long")
+    scaffolds = spark.createDataFrame([(r, "ACGTAC") for r in range(3)], "reference long, seq string")
+    voted = pileup.votes(reads, scaffolds)
+    assert sorted(map(tuple, voted.collect())) == [(r, i + 1, c, 5) for r in range(3) for i, c in enumerate("ACGT")]
+    coded = proteins.codon_votes(reads.selectExpr("*", "1 AS frame", "1 AS dna").withColumn("cigar", F.lit("1M")))
+    assert sorted(map(tuple, coded.collect())) == [(r, 0, "ACG", 5) for r in range(3)]
+    for table in (voted, coded):
+        assert "REBALANCE_PARTITIONS_BY_COL" in table._jdf.queryExecution().executedPlan().toString()
