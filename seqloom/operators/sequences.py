@@ -202,11 +202,16 @@ def tiles(found: DataFrame, size: int, least: int = LEAST) -> DataFrame:
     return kept.mapInArrow(run, f"def {found.schema['def'].dataType.simpleString()}, start long, seq string")
 
 
+def word_tasks(seqs: DataFrame) -> int:
+    """As many tasks as there are words for, which are about as many as letters."""
+    letters = seqs.agg(F.sum(F.length("seq"))).first()[0] or 0
+    return max(int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-letters // WORDS_DEALT))
+
+
 def earlier_overlap(seqs: DataFrame, k: int) -> DataFrame:
     """def, kmers, shared: distinct k-letter words, and how many of them a sequence with a smaller name has too. One
     minimum a word tells, so no pairs of sequences are formed, and words move once."""
-    letters = seqs.agg(F.sum(F.length("seq"))).first()[0] or 0
-    n = max(int(seqs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-letters // WORDS_DEALT))
+    n = word_tasks(seqs)
     words = seqs.select("def", F.explode(F.array_distinct(S.kmers("seq", k))).alias("kmer")).select("def", F.xxhash64("kmer").alias("kmer"))
     # the distinct rows and the minimum are found where the words are dealt to
     first = F.min("def").over(Window.partitionBy("kmer"))
@@ -226,7 +231,12 @@ def normalised(seqs: DataFrame, k: int = 31, target: int = 5) -> DataFrame:
     """def, depth (median count of the sequence's words in the whole table), kept: sequences of a depth above ``target`` stay with
     a chance of target / depth, by a hash of their name, so that deep regions thin out to about the target."""
     words = seqs.select("def", F.explode(S.kmers("seq", k)).alias("w")).select("def", F.xxhash64("w").alias("w"))
-    uses = words.groupBy("w").agg(F.count("*").alias("n"))
-    depth = words.join(uses, "w").groupBy("def").agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY n)").cast("long").alias("depth"))
+    # words move once; where they are dealt to, a sequence's are counted, and of each count it has one row leaves a task
+    per = words.repartition(word_tasks(seqs), "w").groupBy("w", "def").agg(F.count("*").alias("m"))
+    counts = per.withColumn("n", F.sum("m").over(Window.partitionBy("w"))).groupBy("def", "n").agg(F.sum("m").alias("m"))
+    lists = counts.groupBy("def").agg(F.array_sort(F.collect_list(F.struct("n", "m"))).alias("l"), F.sum("m").alias("all"))
+    start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("long").alias("depth"))
+    step = lambda a, x: F.when(2 * a["seen"] < F.col("all"), F.struct((a["seen"] + x["m"]).alias("seen"), x["n"].alias("depth"))).otherwise(a)
+    depth = lists.select("def", F.aggregate("l", start, step)["depth"].alias("depth"))
     chance = F.conv(F.substring(F.md5(F.col("def").cast("string").cast("binary")), 1, 8), 16, 10).cast("double") / (1 << 32)
     return depth.select("def", "depth", ((F.col("depth") <= target) | (chance < target / F.col("depth"))).alias("kept"))

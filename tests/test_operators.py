@@ -499,3 +499,13 @@ def test_reads_meet_by_reference_before_their_votes(spark):
     assert sorted(map(tuple, coded.collect())) == [(r, 0, "ACG", 5) for r in range(3)]
     for table in (voted, coded):
         assert "REBALANCE_PARTITIONS_BY_COL" in table._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_of_depths_move_once(spark):
+    from seqloom.operators import sequences
+
+    seqs = spark.createDataFrame([("a", "ACGTACGTA"), ("b", "ACGTACGTA"), ("c", "ACGTTTTTTT"), ("d", "AC"), ("e", None)], "def string, seq string")
+    found = sequences.normalised(seqs, k=4)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("explode") == 1
+    assert {r["def"]: r["depth"] for r in found.collect()} == {"a": 2, "b": 2, "c": 3}
