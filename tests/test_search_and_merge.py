@@ -523,3 +523,24 @@ def test_superscaffold_odd_rows(spark):
     found = scaffold.superscaffolds(parents, children)
     assert dict(map(tuple, found.collect())) == {"a": "ACG", "b": "ACNNG", "c": "AéG", None: "AC"}
     assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name, most", [("lca_radius", 0), ("candidate_pool", 1), ("final_annotation", 1), ("decision_floors", 2), ("pool_weights", 3)])
+def test_only_what_is_used_again_is_written(spark, monkeypatch, name, most):
+    """Evidence, scores and attainable densities of all hits were written for every query of the decision half."""
+    from seqloom.plans import decisions
+    from seqloom.plans.catalogue import QUERIES
+
+    written = []
+    kept = decisions.dealt
+    monkeypatch.setattr(decisions, "dealt", lambda df, key, n: written.append(key) or kept(df, key, n))
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert len(written) <= most and "EvalPython" not in plan  # behind Python, hits would move again
+
+
+def test_codon_self_score(spark):
+    from seqloom.functions import seq as S
+
+    texts = [None, "", "AC", "ACG", "ACGT", "acgTTT", "NNNACG", "TAATGG" * 9 + "C", "ÄCGTTT"]
+    rows = spark.createDataFrame([(t,) for t in texts], "seq string").select(S.codon_self_score("seq").alias("a"), S.protein_self_score("seq").alias("b")).collect()
+    assert [r.a for r in rows] == [r.b for r in rows]
