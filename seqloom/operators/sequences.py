@@ -6,7 +6,8 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.functions import seq as S
@@ -118,12 +119,121 @@ def kept_words(text: str | None, k: int, window: int, part: int = 1 << 20) -> np
     x = code_points(text)
     for begin in range(0, max(len(x) - window + 1, 0), part):
         piece = x[begin : begin + part + window - 1]
-        back = np.where(piece < 128, FLIPPED[np.minimum(piece, 127)], piece)[::-1]
-        words = np.minimum(word_hashes(piece, k), word_hashes(back, k)[::-1])
+        words = np.minimum(word_hashes(piece, k), word_hashes(flipped(piece), k)[::-1])
         found.append(np.unique(np.lib.stride_tricks.sliding_window_view(words, window - k + 1).min(axis=1)))
     return np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
 
 
+#: Letters by whose least hash a word is dealt out, and words that a task of them takes up at a time.
+ANCHOR, TAKEN = 12, 4_000_000
+#: Words of a piece at most: their number is a byte.
+LONG = 255
+PARTS = "parts array<struct<bucket int, kind int, keys array<{}>, letters array<int>, of binary, at binary, size binary, text binary>>"
+
+
+def pieces(texts: list[str | None], k: int, n: int, strands: bool):
+    """The words of k letters at all starts but the last, as pieces of texts whose words have one anchor: the least hash of ANCHOR
+    letters in them (that both strands share, if ``strands``). Bucket, text and start of each piece, and its letters but the last k - 1."""
+    size = min(ANCHOR, k)
+    for i, text in enumerate(texts):
+        x = code_points(text)[:-1]
+        part = 1 << 20
+        for begin in range(0, len(x) - k + 1, part):
+            piece = x[begin : begin + part + k - 1]
+            low = word_hashes(piece, size)
+            if strands:
+                low = np.minimum(low, word_hashes(flipped(piece), size)[::-1])
+            # the least in each k letters, by minima of twice as many
+            left, done = k - size + 1, 1
+            while done < left:
+                step = min(done, left - done)
+                low, done = np.minimum(low[:-step], low[step:]), done + step
+            new = np.concatenate([[True], low[1:] != low[:-1]])
+            cut = np.flatnonzero(new)
+            new[(np.arange(len(low)) - np.repeat(cut, np.diff(np.append(cut, len(low))))) % LONG == 0] = True
+            cut = np.flatnonzero(new)
+            yield (scrambled(low[cut]) % np.uint64(n)).astype(np.int32), i, cut + begin, np.diff(np.append(cut, len(low))), x
+
+
+def dealt_pieces(seqs: DataFrame, k: int, n: int, strands: bool = False, starts: bool = False, kind: int = 0) -> DataFrame:
+    """The words of (def, seq) in ``n`` buckets, equal words in one: neighbours with one anchor move as one piece of text, two letters a
+    byte, so that a word takes some two bytes and not a row. ``starts`` asks for their places; ``kind`` is carried along."""
+    batches_bounded(seqs.sparkSession)
+
+    def run(batches):
+        for b in batches:
+            texts = b.column("seq").to_pylist()
+            found = list(pieces(texts, k, n, strands))
+            if not found:
+                continue
+            bucket, at, size = (np.concatenate([f[c] for f in found]) for c in (0, 2, 3))
+            of = np.repeat([f[1] for f in found], [len(f[0]) for f in found])
+            lengths = np.array([len(t or "") for t in texts])
+            begins = np.cumsum(lengths) - lengths
+            letters, x = np.unique(code_points("".join(t or "" for t in texts)), return_inverse=True)
+            order = np.argsort(bucket, kind="stable")
+            bucket, of, at, size = bucket[order], of[order], at[order], size[order]
+            ends = np.append(np.flatnonzero(np.diff(bucket)) + 1, len(bucket))
+            told, first = [], 0
+            for last in ends.tolist():
+                own, back = np.unique(of[first:last], return_inverse=True)
+                wide = size[first:last] + k - 1
+                whole = x[np.repeat(begins[of[first:last]] + at[first:last] - np.cumsum(wide) + wide, wide) + np.arange(wide.sum())]
+                if len(letters) <= 16:
+                    whole = np.append(whole, 0) if len(whole) % 2 else whole
+                    whole = (whole[::2] << 4 | whole[1::2]).astype(np.uint8)
+                raw = lambda v: v.astype(np.int32).tobytes()
+                told.append((int(bucket[first]), own, raw(np.bincount(back)), raw(at[first:last]) if starts else b"", size[first:last].astype(np.uint8).tobytes(), raw(whole) if len(letters) > 16 else whole.tobytes()))
+                first = last
+            m = len(told)
+            keys = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *[len(t[1]) for t in told]]), pa.int32()), b.column("def").take(pa.array(np.concatenate([t[1] for t in told]))))
+            used = pa.array([letters.tolist()] * m, pa.list_(pa.int32()))
+            columns = [pa.array([t[0] for t in told], pa.int32()), pa.array([kind] * m, pa.int32()), keys, used, *[pa.array([t[c] for t in told], pa.binary()) for c in (2, 3, 4, 5)]]
+            rows = pa.StructArray.from_arrays(columns, ["bucket", "kind", "keys", "letters", "of", "at", "size", "text"])
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, m], pa.int32()), rows)], ["parts"])
+
+    parts = seqs.select("def", "seq").mapInArrow(run, PARTS.format(dict(seqs.dtypes)["def"]))
+    return parts.select(F.explode("parts").alias("p")).select("p.*")
+
+
+def opened(t: pa.Table, k: int):
+    """A bucket of ``dealt_pieces``: its names in order (null last), and a function that gives, for part p of q of its words by hash, the
+    place of the name, the hash or hashes, the start (null unless asked for) and the kind of each, one row of the bucket at a time."""
+    keys = t.column("keys").combine_chunks()
+    names = keys.flatten().unique()
+    names = names.take(pc.sort_indices(names))
+    coded = pc.index_in(keys.flatten(), names).to_numpy()
+    ends = np.cumsum([0, *[len(x) for x in keys]])
+    columns = [t.column(c).to_pylist() for c in ("of", "at", "size", "letters", "text", "kind")]
+    number = lambda raw: np.frombuffer(raw, np.int32)
+    total = sum(int(np.frombuffer(x, np.uint8).sum()) for x in columns[2])
+
+    def words(p: int, q: int, more=None):
+        for r, (of, at, size, letters, text, kind) in enumerate(zip(*columns, strict=True)):
+            of, at, size = np.repeat(np.arange(len(number(of))), number(of)), number(at), np.frombuffer(size, np.uint8).astype(np.int64)
+            wide = size + k - 1
+            if len(letters) <= 16:
+                x = np.frombuffer(text, np.uint8)
+                x = np.stack([x >> 4, x & 15], 1).ravel()[: wide.sum()]
+            else:
+                x = number(text)
+            x = np.array(letters, np.uint32)[x]
+            # a word that reaches into the next piece is none
+            begin = np.cumsum(wide) - wide
+            inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            place = np.repeat(begin, size) + inner
+            hashes = [v[place] for v in (more or (lambda y: [word_hashes(y, k)]))(x)]
+            keep = np.flatnonzero(hashes[0] % np.uint64(q) == p) if q > 1 else slice(None)
+            yield coded[ends[r] : ends[r + 1]][np.repeat(of, size)][keep], *[h[keep] for h in hashes], (np.repeat(at, size) + inner)[keep] if len(at) else None, kind
+
+    return names, words, -(-total // TAKEN)
+
+
+def flipped(x: np.ndarray) -> np.ndarray:
+    """The other strand of code points of upper case."""
+    return np.where(x < 128, FLIPPED[np.minimum(x, 127)], x)[::-1]
+
+
 def kmer_counts(seqs: DataFrame, k: int, step: int = 1) -> DataFrame:
     """def, kmer, n of the sequence without N; a row of its own for each row of ``seqs`` where k is 3."""
     if k == 3 and step == 1:
@@ -210,13 +320,25 @@ def word_tasks(seqs: DataFrame) -> int:
 
 def earlier_overlap(seqs: DataFrame, k: int) -> DataFrame:
     """def, kmers, shared: distinct k-letter words, and how many of them a sequence with a smaller name has too. One
-    minimum a word tells, so no pairs of sequences are formed, and words move once."""
+    minimum a word tells, so no pairs of sequences are formed, and words move once, as pieces of text."""
     n = word_tasks(seqs)
-    words = seqs.select("def", F.explode(F.array_distinct(S.kmers("seq", k))).alias("kmer")).select("def", F.xxhash64("kmer").alias("kmer"))
-    # the distinct rows and the minimum are found where the words are dealt to
-    first = F.min("def").over(Window.partitionBy("kmer"))
-    marked = words.repartition(n, "kmer").distinct().withColumn("first", first)
-    return marked.groupBy("def").agg(F.count("*").alias("kmers"), F.count(F.when(F.col("first") < F.col("def"), 1)).alias("shared"))
+
+    def run(t):
+        names, words, q = opened(t, k)
+        known = len(names) - names.null_count
+        sums = np.zeros((2, len(names)), np.int64)
+        for p in range(q):
+            of, h = (np.concatenate(c) for c in zip(*((x[0], x[1]) for x in words(p, q)), strict=True))
+            order = np.lexsort((of, h))
+            of, h = of[order], h[order]
+            new = np.concatenate([[True], h[1:] != h[:-1]])[: len(h)]
+            own = np.concatenate([[True], new[1:] | (of[1:] != of[:-1])])[: len(h)]
+            sums += [np.bincount(of[own], minlength=len(names)), np.bincount(of[own & ~new & (of < known)], minlength=len(names))]
+        return pa.table([names, sums[0], sums[1]], ["def", "kmers", "shared"])
+
+    kind = dict(seqs.dtypes)["def"]
+    told = dealt_pieces(seqs, k, n).repartition(n, "bucket").groupBy("bucket").applyInArrow(run, f"def {kind}, kmers long, shared long")
+    return told.groupBy("def").agg(F.sum("kmers").alias("kmers"), F.sum("shared").alias("shared"))
 
 
 def split_by_copies(seqs: DataFrame) -> DataFrame:
@@ -230,10 +352,20 @@ def split_by_copies(seqs: DataFrame) -> DataFrame:
 def normalised(seqs: DataFrame, k: int = 31, target: int = 5) -> DataFrame:
     """def, depth (median count of the sequence's words in the whole table), kept: sequences of a depth above ``target`` stay with
     a chance of target / depth, by a hash of their name, so that deep regions thin out to about the target."""
-    words = seqs.select("def", F.explode(S.kmers("seq", k)).alias("w")).select("def", F.xxhash64("w").alias("w"))
-    # words move once; where they are dealt to, a sequence's are counted, and of each count it has one row leaves a task
-    per = words.repartition(word_tasks(seqs), "w").groupBy("w", "def").agg(F.count("*").alias("m"))
-    counts = per.withColumn("n", F.sum("m").over(Window.partitionBy("w"))).groupBy("def", "n").agg(F.sum("m").alias("m"))
+    n = word_tasks(seqs)
+
+    def run(t):
+        names, words, q = opened(t, k)
+        for p in range(q):
+            of, h = (np.concatenate(c) for c in zip(*((x[0], x[1]) for x in words(p, q)), strict=True))
+            _, back, n = np.unique(h, return_inverse=True, return_counts=True)
+            pair, m = np.unique(n[back] * len(names) + of, return_counts=True)
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(pair % len(names))), pa.array(pair // len(names)), pa.array(m)], ["def", "n", "m"])
+
+    # words move once, as pieces of text; where they are dealt to, they are counted, and of each count a sequence has one row leaves
+    kind = dict(seqs.dtypes)["def"]
+    told = dealt_pieces(seqs, k, n).repartition(n, "bucket").groupBy("bucket").applyInArrow(lambda t: pa.Table.from_batches(run(t)), f"def {kind}, n long, m long")
+    counts = told.groupBy("def", "n").agg(F.sum("m").alias("m"))
     lists = counts.groupBy("def").agg(F.array_sort(F.collect_list(F.struct("n", "m"))).alias("l"), F.sum("m").alias("all"))
     start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("long").alias("depth"))
     step = lambda a, x: F.when(2 * a["seen"] < F.col("all"), F.struct((a["seen"] + x["m"]).alias("seen"), x["n"].alias("depth"))).otherwise(a)

@@ -2,6 +2,7 @@
 
 import random
 import time
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -106,3 +107,27 @@ def test_lettered_is_translate(spark):
     assert all(r["want"] == r["got"] for r in rows.collect())
     flipped = rows.select(S.reverse_complement("up").alias("want"), S.other_strand("up").alias("got")).collect()
     assert all(r["want"] == r["got"] for r in flipped)
+
+
+def test_words_move_as_pieces_of_text(spark, monkeypatch):
+    """Words move as pieces of text, two letters a byte: all words at all starts but the last, in any alphabet, of long and
+    repeated texts and of names that are null or come twice, in one pass or in several."""
+    rng = random.Random(3)
+    dna = "".join(rng.choice("ACGTacgtN") for _ in range(3000))
+    wide = "".join(chr(200 + rng.randrange(40)) for _ in range(300))
+    seqs = [(1, dna), (2, dna[500:900]), (2, dna[880:950]), (3, wide), (4, wide[100:] + dna[:50]), (5, "A" * 700), (6, None), (7, "AC"), (None, dna[:200]), (8, "A" * 22)]
+    words = [(d, s[i : i + 21]) for d, s in seqs if s for i in range(len(s) - 21)]
+    uses, first = Counter(w for _, w in words), {}
+    for d, w in words:
+        if d is not None:
+            first[w] = min(first.get(w, d), d)
+    own = {d: {w for e, w in words if e == d} for d, _ in words}
+    shared = {d: (len(ws), 0 if d is None else sum(first[w] < d for w in ws)) for d, ws in own.items()}
+    depth = {d: sorted(uses[w] for e, w in words if e == d)[(sum(e == d for e, _ in words) - 1) // 2] for d in own}
+    table = spark.createDataFrame(seqs, "def long, seq string").coalesce(2)
+    for taken in (Q.TAKEN, 500):
+        monkeypatch.setattr(Q, "TAKEN", taken)
+        assert {r["def"]: (r["kmers"], r["shared"]) for r in Q.earlier_overlap(table, 21).collect()} == shared
+        assert {r["def"]: r["depth"] for r in Q.normalised(table, 21).collect()} == depth
+    pieces = Q.dealt_pieces(table, 21, 3)
+    assert pieces.agg(F.sum(F.length("size"))).first()[0] < len(words) / 2  # a row a word before
