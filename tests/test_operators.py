@@ -509,3 +509,41 @@ def test_words_of_depths_move_once(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and plan.count("explode") == 1
     assert {r["def"]: r["depth"] for r in found.collect()} == {"a": 2, "b": 2, "c": 3}
+
+
+@pytest.mark.parametrize("apart", [False, True])
+def test_words_of_clusters_move_as_pieces(spark, monkeypatch, apart):
+    """The words that count, which several sequences have, and how many of its own each has: in one pass and in several."""
+    from seqloom.operators import sequences
+
+    rng = random.Random(8)
+    root = "".join(rng.choice("ACGTN") for _ in range(900))
+    flip = lambda w: w[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    seqs = [("a", root), ("b", flip(root[100:700])), ("b", root[50:90]), ("c", root[300:340].lower() + "GAATTC" * 20), ("d", "GAATTC" * 9), ("e", None), ("f", "AC")]
+    parts = [("a", root[:401]), ("b", root[200:650]), ("c", "TGAATTC" * 9)] if apart else seqs
+    k = 20
+    low = lambda s, step: [min(w, flip(w)) for w in (s.upper()[i : i + k] for i in range(0, len(s) - k, step))] if s else []
+    known = {w for _, s in parts for w in low(s, 3)}
+    found = {}
+    for name, s in seqs:
+        for w in low(s, 1):
+            if w in known:
+                found.setdefault(w, {}).setdefault(name, 0)
+                found[w][name] += 1
+    want, alone = [], {}
+    for w, names in found.items():
+        for name, n in names.items():
+            if len(names) > 1:
+                want.append((name, 1 if w == flip(w) else 2, n))
+            else:
+                alone[name] = alone.get(name, 0) + n
+    table, segments = (spark.createDataFrame(t, "def string, seq string").coalesce(2) for t in (seqs, parts))
+    for taken in (sequences.TAKEN, 300):
+        monkeypatch.setattr(sequences, "TAKEN", taken)
+        rows = cover.counted_words(table, k, segments if apart else None).collect()
+        assert sorted((r["def"], r["weight"], r["n"]) for r in rows if r["a"] is not None) == sorted(want) and len(want) > 200
+        sums = {}
+        for r in rows:
+            if r["a"] is None:
+                sums[r["def"]] = sums.get(r["def"], 0) + r["n"]
+        assert sums == alone
